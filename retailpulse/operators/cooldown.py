@@ -14,28 +14,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retailpulse.session import send_with_task, shuffle_width
+
+send_with_task(__name__)
+
 MICROS_PER_MINUTE = 60_000_000
-# A span of one level holds this many spans of the level below.
-FAN = 16
+# A span of one level holds this many spans of the level below; the lowest
+# span is this many cooldowns long.
+FAN = 64
+LEVELS = (1, 2)
+ANY_TIME = -(2**62)
+
 
+def _column(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
 
-def _successors(enter: np.ndarray, leave: np.ndarray) -> np.ndarray:
-    return np.searchsorted(enter, leave, side="left")
 
+def _in_order(table: pa.Table) -> pa.Table:
+    return table.take(pa.array(np.argsort(_column(table, "enter"), kind="stable")))
 
-def _summarise(keys: list[str], span: int, cooldown: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+
+def _summarise(keys: list[str], span: int, cooldown: int) -> Callable[[pa.Table], pa.Table]:
     """Steps of a span: where a chain that enters it comes out."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("enter", kind="stable")
-        enter, leave = group["enter"].to_numpy(), group["leave"].to_numpy()
+    def run(table: pa.Table) -> pa.Table:
+        table = _in_order(table)
+        enter, leave = _column(table, "enter"), _column(table, "leave")
         n = len(enter)
-        hop = np.append(_successors(enter, leave), n)
-        last = np.append(np.where(hop[:n] == n, np.arange(n), hop[:n]), n)
+        # Pointer doubling: from each step to the last one of its chain.
+        hop = np.searchsorted(enter, leave, side="left")
+        last = np.append(np.where(hop == n, np.arange(n), hop), n)
         while True:
             further = last[last]
             if np.array_equal(further, last):
@@ -45,33 +57,35 @@ def _summarise(keys: list[str], span: int, cooldown: int) -> Callable[[pd.DataFr
         # A chain arrives less than one cooldown after the span begins, so only
         # the steps up to the first one past that point can be entered.
         start = enter[0] // span * span
-        usable = np.searchsorted(enter, start + cooldown, side="left") + 1
-        enter, out = enter[:usable], out[:usable]
+        usable = int(np.searchsorted(enter, start + cooldown, side="left")) + 1
+        out = out[:usable]
         # Steps with the same outcome: the latest one answers for all.
-        kept = np.append(out[1:] != out[:-1], True)
-        result = pd.DataFrame({"enter": enter[kept], "leave": out[kept]})
-        for name in keys:
-            result[name] = group[name].iloc[0]
-        return result[[*keys, "enter", "leave"]]
+        kept = np.flatnonzero(np.append(out[1:] != out[:-1], True))
+        steps = table.select(keys).take(pa.array(kept))
+        return steps.append_column("enter", pa.array(enter[kept])).append_column("leave", pa.array(out[kept]))
 
     return run
 
 
-def _follow(keys: list[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """The steps a chain visits, given the time from which it is allowed."""
+def _follow(keys: list[str]) -> Callable[[pa.Table], pa.Table]:
+    """The steps a chain visits, each with the time it was allowed from."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("enter", kind="stable")
-        enter, leave = group["enter"].to_numpy(), group["leave"].to_numpy()
-        visited = []
-        at = int(np.searchsorted(enter, group["allowed"].iloc[0], side="left"))
+    def run(table: pa.Table) -> pa.Table:
+        table = _in_order(table)
+        enter, leave = _column(table, "enter"), _column(table, "leave")
+        allowed = _column(table, "allowed")[0]
+        visited, asked = [], []
+        at = int(np.searchsorted(enter, allowed, side="left"))
         while at < len(enter):
-            visited.append(enter[at])
-            at = int(np.searchsorted(enter, leave[at], side="left"))
-        result = pd.DataFrame({"visited": np.array(visited, dtype="int64")})
-        for name in keys:
-            result[name] = group[name].iloc[0]
-        return result[[*keys, "visited"]]
+            visited.append(at)
+            asked.append(allowed)
+            allowed = leave[at]
+            at = int(np.searchsorted(enter, allowed, side="left"))
+        index = np.array(visited, dtype="int64")
+        steps = table.select(keys).take(pa.array(index))
+        return steps.append_column("visited", pa.array(enter[index])).append_column(
+            "allowed", pa.array(np.array(asked, dtype="int64"))
+        )
 
     return run
 
@@ -85,9 +99,12 @@ def emitted_times(
     does between its batches.
     """
     cooldown = minutes * MICROS_PER_MINUTE
-    names = {name: alerts.schema[name].dataType.simpleString() for name in keys}
-    key_ddl = ", ".join(f"{name} {kind}" for name, kind in names.items())
-    steps_ddl, visited_ddl = f"{key_ddl}, enter bigint, leave bigint", f"{key_ddl}, visited bigint"
+    key_ddl = ", ".join(f"{name} {alerts.schema[name].dataType.simpleString()}" for name in keys)
+    steps_ddl = f"{key_ddl}, enter bigint, leave bigint"
+    visited_ddl = f"{key_ddl}, visited bigint, allowed bigint"
+    # A fixed width: groups cost CPU rather than bytes, and adaptive execution
+    # would put many of them into one task.
+    width = shuffle_width(alerts.sparkSession)
 
     base = (
         alerts.select(*keys, F.unix_micros(time).alias("enter"))
@@ -101,29 +118,25 @@ def emitted_times(
             .filter(F.col("again").isNull() | (F.col("enter") >= F.col("again")))
             .drop("again")
         )
-    levels, spans = [base], []
-    for depth in (1, 2, 3):
-        span = cooldown * FAN**depth
-        spans.append(span)
-        levels.append(
-            levels[-1]
-            .groupBy(*keys, F.floor(F.col("enter") / span).alias("span"))
-            .applyInPandas(_summarise(keys, span, cooldown), steps_ddl)
-        )
 
-    top = levels[-1].withColumn("allowed", F.lit(-(2**62)))
-    visited = top.groupBy(*keys).applyInPandas(_follow(keys), visited_ddl)
-    for level, span in zip(reversed(levels[:-1]), reversed(spans)):
-        entries = visited.select(
-            *keys,
-            F.floor(F.col("visited") / span).alias("span"),
-            F.col("visited").alias("allowed"),
-        )
+    def spanned(df: DataFrame, span: int, by: str = "enter") -> DataFrame:
+        return df.withColumn("span", F.floor(F.col(by) / span))
+
+    levels, spans = [base], [cooldown * FAN**depth for depth in LEVELS]
+    for span in spans:
+        cut = spanned(levels[-1], span).repartition(width, *keys, "span")
+        levels.append(cut.groupBy(*keys, "span").applyInArrow(_summarise(keys, span, cooldown), steps_ddl))
+
+    top = levels.pop().withColumn("allowed", F.lit(ANY_TIME))
+    visited = top.groupBy(*keys).applyInArrow(_follow(keys), visited_ddl)
+    for level, span in zip(reversed(levels), reversed(spans)):
+        entries = spanned(visited, span, "visited").drop("visited")
         visited = (
-            level.withColumn("span", F.floor(F.col("enter") / span))
+            spanned(level, span)
+            .repartition(width, *keys, "span")
             .join(entries, [*keys, "span"])
             .groupBy(*keys, "span")
-            .applyInPandas(_follow(keys), visited_ddl)
+            .applyInArrow(_follow(keys), visited_ddl)
         )
     return visited.select(*keys, F.timestamp_micros("visited").alias(time))
 

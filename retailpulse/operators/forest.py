@@ -15,54 +15,83 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailpulse.config import AnomalyParams
+from retailpulse.session import send_with_task, shuffle_width
+
+send_with_task(__name__)
 
 EULER_GAMMA = 0.5772156649015329
 
 
-def _average_path(n: int) -> float:
+def _average_path(n: np.ndarray) -> np.ndarray:
     """Mean depth of an unsuccessful search among ``n`` points."""
-    if n <= 1:
-        return 0.0
-    if n == 2:
-        return 1.0
-    return 2.0 * (np.log(n - 1.0) + EULER_GAMMA) - 2.0 * (n - 1.0) / n
-
-
-def _isolate(x, sample, rows, depth, limit, rng, total) -> None:
-    """Split ``sample`` at random and add the depth reached by ``rows``."""
-    low, high = x[sample].min(axis=0), x[sample].max(axis=0)
-    movable = np.flatnonzero(high > low)
-    if depth >= limit or len(sample) <= 1 or len(movable) == 0:
-        total[rows] += depth + _average_path(len(sample))
-        return
-    feature = rng.choice(movable)
-    cut = rng.uniform(low[feature], high[feature])
-    for side in (np.less_equal, np.greater):
-        _isolate(
-            x,
-            sample[side(x[sample, feature], cut)],
-            rows[side(x[rows, feature], cut)],
-            depth + 1, limit, rng, total,
-        )
-
-
-def _mean_depths(features: list[str], time: str, params: AnomalyParams) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    n = np.asarray(n, dtype="float64")
+    many = np.maximum(n, 3.0)
+    depth = 2.0 * (np.log(many - 1.0) + EULER_GAMMA) - 2.0 * (many - 1.0) / many
+    return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, depth))
+
+
+def _total_depths(x: np.ndarray, trees: int, size: int, rng: np.random.Generator) -> np.ndarray:
+    """Depth of every row summed over all trees.
+
+    All trees grow together, one level at a time: a node is a number, and the
+    sampled points and the scored rows carry the node they have reached.
+    """
+    n = len(x)
+    limit = int(np.ceil(np.log2(max(size, 2))))
+    stride = 2 ** (limit + 1)
+    picks = np.concatenate([rng.choice(n, size=size, replace=False) for _ in range(trees)])
+    point_node = np.repeat(np.arange(trees), size) * stride
+    rows = np.tile(np.arange(n), trees)
+    row_node = np.repeat(np.arange(trees), n) * stride
+    total = np.zeros(n)
+    for depth in range(limit + 1):
+        order = np.argsort(point_node, kind="stable")
+        nodes, first, count = np.unique(point_node[order], return_index=True, return_counts=True)
+        values = x[picks[order]]
+        low = np.minimum.reduceat(values, first, axis=0)
+        high = np.maximum.reduceat(values, first, axis=0)
+        movable = high > low
+        leaf = (count <= 1) | ~movable.any(axis=1) | (depth == limit)
+        # One of the features that still vary, and a cut inside its range.
+        feature = np.argmax(np.where(movable, rng.random(movable.shape), -1.0), axis=1)
+        at = np.arange(len(nodes))
+        cut = low[at, feature] + rng.random(len(nodes)) * (high[at, feature] - low[at, feature])
+
+        # Strictly below the maximum, so that both sides keep a sampled point.
+        cut = np.minimum(cut, np.nextafter(high[at, feature], low[at, feature]))
+
+        reached = np.searchsorted(nodes, row_node)
+        done = leaf[reached]
+        np.add.at(total, rows[done], depth + _average_path(count[reached[done]]))
+
+        def descend(where, node, index):
+            right = x[index, feature[where]] > cut[where]
+            tree, position = node // stride * stride, node % stride
+            return tree + 2 * position + 1 + right
+
+        rows, row_node, reached = rows[~done], row_node[~done], reached[~done]
+        row_node = descend(reached, row_node, rows)
+        where = np.searchsorted(nodes, point_node)
+        inner = ~leaf[where]
+        picks, point_node, where = picks[inner], point_node[inner], where[inner]
+        point_node = descend(where, point_node, picks)
+        if not len(rows):
+            break
+    return total
+
+
+def _mean_depths(
+    features: list[str], time: str, trees: int, subsample: int, seed: int
+) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         # Sorted rows and a fixed seed: the result does not depend on how
         # Spark happened to deliver the frame.
         frame = frame.sort_values(time, kind="stable")
         x = frame[features].to_numpy(dtype="float64")
-        n = len(x)
-        size = min(params.subsample, n)
-        limit = int(np.ceil(np.log2(max(size, 2))))
-        total = np.zeros(n)
-        for tree in range(params.trees):
-            rng = np.random.default_rng([params.seed, tree])
-            sample = rng.choice(n, size=size, replace=False)
-            _isolate(x, sample, np.arange(n), 0, limit, rng, total)
-        return frame.assign(
-            mean_depth=total / params.trees, usual_depth=_average_path(size) or 1.0
-        )
+        size = min(subsample, len(x))
+        total = _total_depths(x, trees, size, np.random.default_rng(seed))
+        usual = float(_average_path(size)) or 1.0
+        return frame.assign(mean_depth=total / trees, usual_depth=usual)
 
     return run
 
@@ -74,8 +103,11 @@ def forest_scores(
     numeric: list[Column] = [F.col(name).cast("double").alias(name) for name in features]
     rows = metrics.select(*frame, time, *numeric)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    depths = rows.groupBy(*frame).applyInPandas(
-        _mean_depths(features, time, params), f"{fields}, mean_depth double, usual_depth double"
+    # Frames cost CPU rather than bytes: keep them spread over the tasks.
+    spread = rows.repartition(shuffle_width(metrics.sparkSession), *frame)
+    depths = spread.groupBy(*frame).applyInPandas(
+        _mean_depths(features, time, params.trees, params.subsample, params.seed),
+        f"{fields}, mean_depth double, usual_depth double",
     )
     scored = depths.withColumn("score", -F.pow(F.lit(2.0), -F.col("mean_depth") / F.col("usual_depth")))
     offset = scored.groupBy(*frame).agg(

@@ -24,12 +24,12 @@ def _last(column: str, minutes: int) -> str:
     return f"{column} >= {_NOW} - INTERVAL {minutes} MINUTE"
 
 
-def _sum(table: str, value: str, where: str = "true", kind: str = "DOUBLE") -> str:
-    return f"(SELECT CAST(sum({value}) AS {kind}) FROM {table} WHERE {where})"
+def _sum(table: str, value: str, where: str = "true") -> str:
+    return f"(SELECT CAST(sum({value}) AS DOUBLE) FROM {table} WHERE {where})"
 
 
 def _count(table: str, where: str, value: str = "*") -> str:
-    return f"(SELECT nullif(count({value}), 0) FROM {table} WHERE {where})"
+    return f"(SELECT CAST(nullif(count({value}), 0) AS DOUBLE) FROM {table} WHERE {where})"
 
 
 _REVENUE_TODAY = _sum("fx_orders", "total_amount", _TODAY)
@@ -39,8 +39,8 @@ _PRIOR_5 = _sum("fx_sales", "revenue", f"{_last('window_start', 10)} AND window_
 _TREND = f"(coalesce({_LAST_5}, 0) - coalesce({_PRIOR_5}, 0))"
 _ORDERS_TODAY = _count("fx_orders", _TODAY, "DISTINCT order_id")
 _UNITS_TODAY = _sum("fx_order_items i JOIN fx_orders o ON i.order_id = o.order_id", "quantity",
-                    _TODAY.replace("order_timestamp", "o.order_timestamp"), "BIGINT")
-_STOCK = _sum("fx_stock", "stock_quantity", kind="BIGINT")
+                    _TODAY.replace("order_timestamp", "o.order_timestamp"))
+_STOCK = _sum("fx_stock", "stock_quantity")
 
 
 def _frac(top: str, bottom: str) -> str:
@@ -61,12 +61,12 @@ SCALARS = {
         "revenue_trend_arrow", f"CASE WHEN {_TREND} > 0 THEN '▲' WHEN {_TREND} < 0 THEN '▼' ELSE '▶' END"),
     "m9_average_order_value": (
         "average_order_value", _frac(_sum("fx_orders", "total_amount"), "(SELECT count(*) FROM fx_orders)")),
-    "m10_order_count": ("order_count", "(SELECT count(DISTINCT order_id) FROM fx_orders)"),
+    "m10_order_count": ("order_count", _count("fx_orders", "true", "DISTINCT order_id")),
     "m11_orders_today": ("orders_today", _ORDERS_TODAY),
     "m12_average_order_value_today": ("average_order_value_today", _frac(_REVENUE_TODAY, _ORDERS_TODAY)),
     "m13_orders_last_5_min": (
-        "orders_last_5_min", _sum("fx_sales", "order_count", _last("window_start", 5), "BIGINT")),
-    "m14_units_sold": ("units_sold", _sum("fx_order_items", "quantity", kind="BIGINT")),
+        "orders_last_5_min", _sum("fx_sales", "order_count", _last("window_start", 5))),
+    "m14_units_sold": ("units_sold", _sum("fx_order_items", "quantity")),
     "m15_units_sold_today": ("units_sold_today", _UNITS_TODAY),
     "m16_line_revenue": ("line_revenue", _sum("fx_order_items", "quantity * unit_price")),
     "m17_total_stock": ("total_stock", _STOCK),
@@ -92,10 +92,18 @@ SCALARS = {
 RATIOS = {"revenue_vs_yesterday_pct", "average_order_value", "average_order_value_today", "stock_coverage_days"}
 
 
+def _plain_numbers(row):
+    """Counts as doubles, so that BLANK looks the same in both engines."""
+    counts = [f.name for f in row.schema.fields if f.dataType.simpleString() == "bigint"]
+    ratios = [f.name for f in row.schema.fields if f.name in RATIOS]
+    return row.withColumns(
+        {n: F.col(n).cast("double") for n in counts} | {n: round_half_up(F.col(n), 6) for n in ratios}
+    )
+
+
 def _scalar(measure: str):
     def run(t):
-        row = evaluate(tq.model(t), [measure], t.now)
-        return row.withColumn(measure, round_half_up(F.col(measure), 6)) if measure in RATIOS else row
+        return _plain_numbers(evaluate(tq.model(t), [measure], t.now))
 
     return run
 
@@ -139,8 +147,7 @@ def _(t):
 
 @query("m_all_in_one_row", "SELECT " + ", ".join(f"{sql} AS {name}" for name, sql in SCALARS.values()))
 def _(t):
-    row = evaluate(tq.model(t), [name for name, _ in SCALARS.values()], t.now)
-    return row.withColumns({name: round_half_up(F.col(name), 6) for name in RATIOS})
+    return _plain_numbers(evaluate(tq.model(t), [name for name, _ in SCALARS.values()], t.now))
 
 
 @query("m_by_day", """
@@ -183,8 +190,7 @@ SELECT {_REVENUE_TODAY} AS total_revenue_today, {_ORDERS_TODAY} AS orders_today,
        {SCALARS['m23_critical_alerts'][1]} AS critical_alerts,
        coalesce({SCALARS['m23_critical_alerts'][1]}, 0) > 0 AS alert_card_red""")
 def _(t):
-    cards = dashboard.kpi_cards(tq.model(t), t.now)
-    return cards.withColumn("average_order_value_today", round_half_up(F.col("average_order_value_today"), 6))
+    return _plain_numbers(dashboard.kpi_cards(tq.model(t), t.now))
 
 
 @query("v2_revenue_per_minute", """

@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 
+def send_with_task(module: str) -> None:
+    """Ship a module's functions inside the tasks that call them.
+
+    Executors then need numpy and pandas, but not this package.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def build_session(
     app: str = "retailpulse",
     master: str | None = None,
@@ -55,3 +65,8 @@ def shared_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="retailpulse-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    """The configured number of shuffle partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
