@@ -12,6 +12,11 @@ def round_half_up(value: Column, digits: int) -> Column:
     return F.floor(value.cast("double") * scale + F.lit(0.5)) / scale
 
 
+def exact_mean(value: Column) -> Column:
+    """Mean of a decimal from its exact sum: the same whatever the row order."""
+    return F.try_divide(F.sum(value).cast("double"), F.count(value).cast("double"))
+
+
 def blank_as_zero(value: Column) -> Column:
     """BLANK counts as 0 inside differences and comparisons."""
     return F.coalesce(value, F.lit(0))

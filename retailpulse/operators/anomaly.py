@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from retailpulse.config import AnomalyParams
 from retailpulse.functions.clock import Clock, moment
+from retailpulse.functions.numbers import exact_mean
 from retailpulse.operators.forest import forest_scores
 from retailpulse.operators.shape import trailing
 
@@ -22,7 +23,7 @@ def zscore_by_frame(metrics: DataFrame, frame: list[str], params: AnomalyParams
     """
     revenue = F.col("revenue").cast("double")
     newest = F.max("window_start").over(W.partitionBy(*frame))
-    history = F.when(F.col("window_start") < F.col("_newest"), revenue)
+    earlier = F.col("window_start") < F.col("_newest")
     stats = (
         metrics.withColumn("_newest", newest)
         .groupBy(*frame)
@@ -30,8 +31,8 @@ def zscore_by_frame(metrics: DataFrame, frame: list[str], params: AnomalyParams
             F.count("*").alias("n_rows"),
             F.max("_newest").alias("window_start"),
             F.max(F.when(F.col("window_start") == F.col("_newest"), revenue)).alias("revenue"),
-            F.avg(history).alias("mean_revenue"),
-            F.stddev_pop(history).alias("std_revenue"),
+            exact_mean(F.when(earlier, F.col("revenue"))).alias("mean_revenue"),
+            F.stddev_pop(F.when(earlier, revenue)).alias("std_revenue"),
         )
     )
     usable = (F.col("n_rows") >= params.zscore_min_rows) & (F.col("std_revenue") > 0)

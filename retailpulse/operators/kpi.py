@@ -17,6 +17,11 @@ def _window_of(rules: DataFrame, metric: str) -> Column:
     return picked.agg(F.max("window_minutes")).scalar()
 
 
+def lookback_minutes(rules: DataFrame) -> Column:
+    """How far back the metrics of ``rules`` look: two of the longest windows."""
+    return rules.filter("enabled").agg(F.max("window_minutes")).scalar() * 2
+
+
 def _sum_where(condition: Column, column: str) -> Column:
     return F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0)).cast("double")
 

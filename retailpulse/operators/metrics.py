@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailpulse.functions.numbers import round_half_up
+from retailpulse.functions.clock import Clock, before
+from retailpulse.functions.numbers import exact_mean, round_half_up
 
 
 def average_order_value(revenue: str = "revenue", orders: str = "order_count"):
@@ -29,6 +30,17 @@ def minute_sales(orders: DataFrame, window: str = "1 minute") -> DataFrame:
     )
 
 
+def recent_minute_sales(orders: DataFrame, as_of: Clock, n_minutes: int | Column) -> DataFrame:
+    """Minute sales of the last ``n`` minutes straight from the orders.
+
+    A minute that starts inside the range has all its orders inside it, so the
+    orders are filtered by time first and only recent files are read.
+    """
+    start = before(as_of, n_minutes)
+    recent = orders.filter(F.col("order_timestamp") >= start)
+    return minute_sales(recent).filter(F.col("window_start") >= start)
+
+
 def product_minute_sales(items: DataFrame, window: str = "1 minute") -> DataFrame:
     """Units and revenue per event-time minute and product.
 
@@ -70,7 +82,7 @@ def series_stats(metrics: DataFrame, *by: str | Column) -> DataFrame:
     revenue = F.col("revenue").cast("double")
     return metrics.groupBy(*by).agg(
         F.count("*").alias("n_rows"),
-        F.avg(revenue).alias("mean_revenue"),
+        exact_mean(F.col("revenue")).alias("mean_revenue"),
         F.stddev_pop(revenue).alias("std_revenue"),
         F.median(revenue).alias("median_revenue"),
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from retailpulse.functions.clock import epoch_seconds
+from retailpulse.functions.numbers import exact_mean
 
 DAY = 86_400
 
@@ -109,10 +110,12 @@ def trailing_zscore(metrics: DataFrame, keys: list[str], n_minutes: int = 30) ->
         False,
         {
             "n_history": F.count("*"),
-            "mean_revenue": F.avg(revenue),
+            "sum_revenue": F.sum("revenue"),
             "std_revenue": F.stddev_pop(revenue),
         },
     )
+    mean = F.try_divide(F.col("sum_revenue").cast("double"), F.col("n_history").cast("double"))
+    stats = stats.withColumn("mean_revenue", mean).drop("sum_revenue")
     z = F.when(
         (F.col("n_history") >= 4) & (F.col("std_revenue") > 0),
         (revenue - F.col("mean_revenue")) / F.col("std_revenue"),
@@ -179,7 +182,7 @@ def with_reference_lines(points: DataFrame, value: str = "revenue") -> DataFrame
 
     return points.withColumns(
         {
-            f"avg_{value}": over_all(F.avg(F.col(value).cast("double"))),
+            f"avg_{value}": over_all(exact_mean(F.col(value))),
             f"min_{value}": over_all(F.min(value)),
             f"max_{value}": over_all(F.max(value)),
         }

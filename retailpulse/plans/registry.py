@@ -159,7 +159,7 @@ SELECT 'revenue_drop_pct', CASE WHEN p <= 0 THEN 0 ELSE greatest((p - c) / p * 1
     "fx_zscore": """
 SELECT *, CASE WHEN n_history >= 4 AND std_revenue > 0 THEN (revenue - mean_revenue) / std_revenue END AS z
 FROM (SELECT window_start, CAST(revenue AS DOUBLE) AS revenue, order_count,
-             count(*) OVER w AS n_history, avg(CAST(revenue AS DOUBLE)) OVER w AS mean_revenue,
+             count(*) OVER w AS n_history, CAST(sum(revenue) OVER w AS DOUBLE) / nullif(count(*) OVER w, 0) AS mean_revenue,
              stddev_pop(CAST(revenue AS DOUBLE)) OVER w AS std_revenue
       FROM fx_sales
       WINDOW w AS (ORDER BY window_start RANGE BETWEEN INTERVAL 29 MINUTE PRECEDING AND INTERVAL 1 MINUTE PRECEDING))""",

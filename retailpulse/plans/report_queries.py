@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from retailpulse.functions.labels import severity_color, stock_row_color
 from retailpulse.functions.numbers import round_half_up
 from retailpulse.operators import alerts as al
-from retailpulse.operators import inventory, star
+from retailpulse.operators import inventory, kpi, metrics, star
 from retailpulse.plans import dashboard
 from retailpulse.plans import series_queries as sq
 from retailpulse.plans import tables_queries as tq
@@ -196,11 +196,11 @@ def _(t):
 @query("v2_revenue_per_minute", """
 SELECT window_start, window_end, CAST(revenue AS DOUBLE) AS revenue, order_count, item_count,
        CAST(avg_order_value AS DOUBLE) AS avg_order_value,
-       floor(avg(CAST(revenue AS DOUBLE)) OVER () * 10000 + 0.5) / 10000 AS avg_revenue,
+       floor(CAST(sum(revenue) OVER () AS DOUBLE) / count(*) OVER () * 10000 + 0.5) / 10000 AS avg_revenue,
        CAST(min(revenue) OVER () AS DOUBLE) AS min_revenue, CAST(max(revenue) OVER () AS DOUBLE) AS max_revenue
 FROM fx_sales WHERE window_start >= (SELECT as_of FROM fx_now) - INTERVAL 120 MINUTE""")
 def _(t):
-    points = dashboard.revenue_per_minute(t.sales_metrics, t.now)
+    points = dashboard.revenue_per_minute(metrics.recent_minute_sales(t.orders, t.now, 120), t.now)
     return points.withColumn("avg_revenue", round_half_up(F.col("avg_revenue"), 4))
 
 
@@ -214,7 +214,8 @@ WITH {sq._VIOLATIONS.strip()}
 SELECT metric_name, floor(value * 10000 + 0.5) / 10000 AS value, op AS comparison_operator, used AS threshold_used, severity
 FROM violations""")
 def _(t):
-    strip = dashboard.breaching_rules(t.sales_metrics, t.stock, t.rules, t.now)
+    recent = metrics.recent_minute_sales(t.orders, t.now, kpi.lookback_minutes(t.rules))
+    strip = dashboard.breaching_rules(recent, t.stock, t.rules, t.now)
     return strip.withColumn("value", round_half_up(F.col("value"), 4))
 
 
@@ -256,7 +257,7 @@ def _(t):
 
 @query("v11_depletion_velocity", sq._VELOCITY)
 def _(t):
-    return inventory.depletion_velocity(t.product_sales_metrics, t.now)
+    return sq.velocity(t)
 
 
 @query("v12_alert_hours", tq._ALERT_HOURS)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from retailpulse.functions.clock import before
 from retailpulse.functions.labels import breaches
 from retailpulse.functions.numbers import round_half_up
 from retailpulse.operators import alerts as al
@@ -80,7 +81,7 @@ def _(t):
 
 @query("w6_reference_lines", """
 SELECT day, CAST(revenue AS DOUBLE) AS revenue,
-       floor(avg(CAST(revenue AS DOUBLE)) OVER () * 10000 + 0.5) / 10000 AS avg_revenue,
+       floor(CAST(sum(revenue) OVER () AS DOUBLE) / count(*) OVER () * 10000 + 0.5) / 10000 AS avg_revenue,
        CAST(min(revenue) OVER () AS DOUBLE) AS min_revenue, CAST(max(revenue) OVER () AS DOUBLE) AS max_revenue
 FROM (SELECT date_trunc('day', order_timestamp) AS day, sum(total_amount) AS revenue FROM fx_orders GROUP BY 1)""")
 def _(t):
@@ -148,8 +149,9 @@ FROM fx_psm WHERE window_start >= (SELECT as_of FROM fx_now) - INTERVAL 60 MINUT
 
 
 @query("o5_depletion_velocity", _VELOCITY)
-def _(t):
-    return inventory.depletion_velocity(t.product_sales_metrics, t.now)
+def velocity(t):
+    recent = t.order_items.filter(F.col("order_timestamp") >= before(t.now, 60))
+    return inventory.depletion_velocity(metrics.product_minute_sales(recent), t.now)
 
 
 _REORDER = """
@@ -235,7 +237,7 @@ _ZFRAME = """
 ranked AS (SELECT *, row_number() OVER (PARTITION BY frame ORDER BY window_start DESC) AS n FROM framed),
 stats AS (SELECT frame, count(*) AS n_rows, max(window_start) AS window_start,
                  max(CAST(revenue AS DOUBLE)) FILTER (n = 1) AS revenue,
-                 avg(CAST(revenue AS DOUBLE)) FILTER (n > 1) AS mean_revenue,
+                 CAST(sum(revenue) FILTER (n > 1) AS DOUBLE) / nullif(count(*) FILTER (n > 1), 0) AS mean_revenue,
                  stddev_pop(CAST(revenue AS DOUBLE)) FILTER (n > 1) AS std_revenue FROM ranked GROUP BY frame),
 judged AS (SELECT *, CASE WHEN n_rows >= 5 AND std_revenue > 0 THEN (revenue - mean_revenue) / std_revenue END AS z FROM stats)"""
 
@@ -248,7 +250,7 @@ SELECT n_rows, window_start, revenue, floor(mean_revenue * 1000 + 0.5) / 1000 AS
        CASE WHEN z >= 5 THEN 'CRITICAL' WHEN z >= 3 THEN 'HIGH' END AS severity
 FROM judged""")
 def _(t):
-    shown = shape.trailing(t.sales_metrics, "window_start", t.now, 30).withColumn("series", F.lit("all"))
+    shown = metrics.recent_minute_sales(t.orders, t.now, 30).withColumn("series", F.lit("all"))
     judged = anomaly.zscore_by_frame(shown, ["series"])
     return _rounded(judged, 3, "mean_revenue", "std_revenue", "z").drop("series")
 
@@ -304,16 +306,21 @@ def _(t):
 
 # --- KPI rules -----------------------------------------------------------------------
 
+def _values(t, rules):
+    recent = metrics.recent_minute_sales(t.orders, t.now, kpi.lookback_minutes(rules))
+    return kpi.metric_values(recent, t.stock, rules, t.now)
+
+
 def _judged(t, rules=None):
     rules = t.rules if rules is None else rules
-    return kpi.judge(kpi.metric_values(t.sales_metrics, t.stock, rules, t.now), rules)
+    return kpi.judge(_values(t, rules), rules)
 
 
 def _metric(name):
     sql = f"SELECT metric_name, floor(value * 10000 + 0.5) / 10000 AS value FROM fx_metric_values WHERE metric_name = '{name}'"
 
     def run(t):
-        values = kpi.metric_values(t.sales_metrics, t.stock, t.rules, t.now)
+        values = _values(t, t.rules)
         return _rounded(values.filter(F.col("metric_name") == name), 4, "value")
 
     return sql, run
@@ -431,7 +438,7 @@ UNION ALL
 SELECT 'REVENUE_SPIKE', CASE WHEN z >= 5 THEN 'CRITICAL' ELSE 'HIGH' END, 'WINDOW', CAST(window_start AS STRING), revenue, as_of, false
 FROM judged, fx_now WHERE z >= 3""")
 def _(t):
-    shown = shape.trailing(t.sales_metrics, "window_start", t.now, 30).withColumn("series", F.lit("all"))
+    shown = metrics.recent_minute_sales(t.orders, t.now, 30).withColumn("series", F.lit("all"))
     spikes = anomaly.zscore_spikes(anomaly.zscore_by_frame(shown, ["series"]))
     return al.unify(
         inventory.low_stock_alerts(t.stock, t.now),

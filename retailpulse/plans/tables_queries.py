@@ -173,7 +173,7 @@ def _(t):
 SELECT window_start, CAST(revenue AS DOUBLE) AS revenue, order_count
 FROM fx_sales WHERE window_start >= (SELECT as_of FROM fx_now) - INTERVAL 1440 MINUTE""")
 def _(t):
-    return shape.trailing(t.sales_metrics, "window_start", t.now, 1440).select(
+    return metrics.recent_minute_sales(t.orders, t.now, 1440).select(
         "window_start", "revenue", "order_count"
     )
 
@@ -355,7 +355,8 @@ SELECT metric_name, floor(value * 10000 + 0.5) / 10000 AS value, comparison_oper
        CAST(window_minutes AS BIGINT) AS window_minutes
 FROM fx_metric_values JOIN fx_rules USING (metric_name)""")
 def _(t):
-    judged = kpi.judge(kpi.metric_values(t.sales_metrics, t.stock, t.rules, t.now), t.rules)
+    recent = metrics.recent_minute_sales(t.orders, t.now, kpi.lookback_minutes(t.rules))
+    judged = kpi.judge(kpi.metric_values(recent, t.stock, t.rules, t.now), t.rules)
     return judged.select(
         "metric_name", round_half_up(F.col("value"), 4).alias("value"), "comparison_operator", "window_minutes"
     )
@@ -437,8 +438,12 @@ def _(t):
 
 
 def model(t: Testbed):
-    """Base tables of the measures, minute-grained."""
-    return star_model(t.orders, t.order_items, t.stock, t.sales_metrics, t.alerts)
+    """Base tables of the measures, minute-grained.
+
+    No measure looks back further than an hour over the minute metrics.
+    """
+    recent = metrics.recent_minute_sales(t.orders, t.now, 60)
+    return star_model(t.orders, t.order_items, t.stock, recent, t.alerts)
 
 
 @query("a7_distinct_counts", """
@@ -558,7 +563,7 @@ def _(t):
 
 @query("a16_series_statistics", """
 SELECT date_trunc('day', window_start) AS day, count(*) AS n_rows,
-       floor(avg(CAST(revenue AS DOUBLE)) * 10000 + 0.5) / 10000 AS mean_revenue,
+       floor(CAST(sum(revenue) AS DOUBLE) / count(*) * 10000 + 0.5) / 10000 AS mean_revenue,
        floor(stddev_pop(CAST(revenue AS DOUBLE)) * 10000 + 0.5) / 10000 AS std_revenue,
        floor(median(CAST(revenue AS DOUBLE)) * 10000 + 0.5) / 10000 AS median_revenue
 FROM fx_sales GROUP BY 1""")
