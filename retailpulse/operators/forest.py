@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from retailpulse.config import AnomalyParams
 from retailpulse.session import send_with_task, shuffle_width
@@ -110,7 +111,6 @@ def forest_scores(
         f"{fields}, mean_depth double, usual_depth double",
     )
     scored = depths.withColumn("score", -F.pow(F.lit(2.0), -F.col("mean_depth") / F.col("usual_depth")))
-    offset = scored.groupBy(*frame).agg(
-        F.percentile("score", F.lit(params.contamination)).alias("score_offset")
-    )
-    return scored.join(offset, frame).withColumn("decision", F.col("score") - F.col("score_offset"))
+    # Contamination: the share of rows that lie below the offset.
+    offset = F.percentile("score", F.lit(params.contamination)).over(W.partitionBy(*frame))
+    return scored.withColumn("decision", F.col("score") - offset)

@@ -50,22 +50,16 @@ def running_sum(
 ) -> DataFrame:
     """Sum of ``value`` up to each row, ordered by ``time`` then ``tie``.
 
-    Three levels: days per key, minutes per day, rows per minute. Only the last
-    level sees rows; the other two see one total per day or minute.
+    Two levels: rows within a minute, and one total per minute and key. The
+    second is ordered per key; its size is bounded by the clock (half a million
+    minutes a year), not by the number of rows.
     """
-    minute, day = F.date_trunc("minute", time), F.date_trunc("day", "_minute")
-    rows = df.withColumn("_minute", minute)
-    minutes = rows.groupBy(*keys, "_minute").agg(F.sum(value).alias("_sum")).withColumn("_day", day)
-    days = minutes.groupBy(*keys, "_day").agg(F.sum("_sum").alias("_day_sum"))
-
-    earlier = (W.unboundedPreceding, -1)
-    by_day = W.partitionBy(*keys).orderBy("_day").rowsBetween(*earlier)
-    by_minute = W.partitionBy(*keys, "_day").orderBy("_minute").rowsBetween(*earlier)
-    opening = days.withColumn("_opening", F.coalesce(F.sum("_day_sum").over(by_day), F.lit(0)))
+    rows = df.withColumn("_minute", F.date_trunc("minute", time))
+    earlier = W.partitionBy(*keys).orderBy("_minute").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        minutes.withColumn("_before", F.coalesce(F.sum("_sum").over(by_minute), F.lit(0)))
-        .join(opening, [*keys, "_day"])
-        .select(*keys, "_minute", (F.col("_opening") + F.col("_before")).alias("_offset"))
+        rows.groupBy(*keys, "_minute")
+        .agg(F.sum(value).alias("_sum"))
+        .select(*keys, "_minute", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
     )
     inside = W.partitionBy(*keys, "_minute").orderBy(time, tie).rowsBetween(W.unboundedPreceding, 0)
     return (

@@ -13,8 +13,8 @@ HEADER = ("order_id", "customer_id", "order_timestamp", "total_amount", "item_co
 WIDTHS = {"name": 490, "category": 78, "image_url": 495, "description": 2000}
 
 
-def order_headers(orders: DataFrame) -> DataFrame:
-    return orders.select(*HEADER, F.coalesce("status", F.lit("CREATED")).alias("status"))
+def order_headers(orders: DataFrame, *keep: str) -> DataFrame:
+    return orders.select(*HEADER, F.coalesce("status", F.lit("CREATED")).alias("status"), *keep)
 
 
 def order_lines(orders: DataFrame, *keep: str) -> DataFrame:

@@ -201,10 +201,12 @@ def star_model(
 ) -> dict[str, DataFrame]:
     """Base tables with the order -> item relationship in place.
 
-    Items are summed per order before they meet the order header.
+    A condition on the order's time is pushed to the orders, whose remaining
+    ids then decide (by broadcast or run-time filter) which items are moved.
     """
-    per_order = order_items.groupBy("order_id").agg(F.sum("quantity").alias("quantity"))
-    of_orders = per_order.join(orders.select("order_id", "order_timestamp"), "order_id")
+    of_orders = order_items.select("order_id", "quantity").join(
+        orders.select("order_id", "order_timestamp"), "order_id"
+    )
     return {
         "orders": orders,
         "order_items": order_items,

@@ -7,6 +7,7 @@ state here. Each batch is safe to run again (see `store`).
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -25,16 +26,12 @@ from retailpulse.operators.inventory import (
 from retailpulse.operators.metrics import minute_sales, product_minute_sales, units_by_product
 from retailpulse.operators.shape import order_headers, order_lines, with_line_total
 from retailpulse.sources.events import accepted, quarantined
-from retailpulse.streaming.store import Store
+from retailpulse.streaming.store import BatchTable, Store
 
 ALL = "all"
-# Orders are stored by hour of their event time. A batch touching more hours
-# than this is compared with all stored orders instead of a list of hours.
-HOURS_LISTED = 500
-
-
-def _hour(column: str = "order_timestamp"):
-    return F.date_format(column, "yyyy-MM-dd-HH")
+# A batch touching more partitions of the stored orders than this is compared
+# with all of them instead of a list.
+PARTS_LISTED = 500
 
 
 def _day(column: str):
@@ -44,21 +41,22 @@ def _day(column: str):
 def first_seen(store: Store, orders: DataFrame, batch_id: int) -> DataFrame:
     """Orders not stored by an earlier batch, one row per order id.
 
-    A repeated order has the same timestamp, hence the same hour: only the
-    hours present in the batch are read back, and only their ids.
+    A repeated order has the same timestamp, hence the same partition: only the
+    partitions present in the batch are read back, and only their ids.
     """
+    part = F.date_format("order_timestamp", store.order_format).alias("part")
     others = [c for c in orders.columns if c != "order_id"]
     # The payload with the least text wins, so a second run picks the same.
     unique = (
         orders.groupBy("order_id")
         .agg(F.min_by(F.struct(*others), F.to_json(F.struct(*others))).alias("o"))
         .select("order_id", "o.*")
-        .withColumn("part", _hour())
+        .select("*", part)
     )
-    hours = [row.part for row in orders.select(_hour().alias("part")).distinct().limit(HOURS_LISTED + 1).collect()]
+    parts = [row.part for row in orders.select(part).distinct().limit(PARTS_LISTED + 1).collect()]
     stored = store.orders.read(before=batch_id)
-    if len(hours) <= HOURS_LISTED:
-        stored = stored.filter(F.col("part").isin(hours))
+    if len(parts) <= PARTS_LISTED:
+        stored = stored.filter(F.col("part").isin(parts))
     return unique.join(stored.select("part", "order_id"), ["part", "order_id"], "left_anti")
 
 
@@ -79,24 +77,16 @@ def batch_handler(
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         fresh = None
         try:
-            store.quarantine.write(quarantined(batch).withColumn("part", F.lit(ALL)), batch_id)
-
             payload = [c for c in batch.columns if c not in ("json", "arrived_at")]
             fresh = first_seen(store, accepted(batch).select(*payload), batch_id)
             fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
-            items = order_lines(fresh, "order_timestamp", "part")
-
-            headers = order_headers(fresh).withColumn("part", _hour())
-            store.orders.write(headers, batch_id)
-            store.order_items.write(with_line_total(items), batch_id)
-            store.minute_sums.write(
-                minute_sales(fresh, params.stream.window).withColumn("part", _day("window_start")), batch_id
-            )
-            store.product_minute_sums.write(
-                product_minute_sales(items, params.stream.window).withColumn("part", _day("window_start")),
+            rejected = quarantined(batch).withColumn("part", F.lit(ALL))
+            write_all(
                 batch_id,
+                (store.quarantine, rejected),
+                *order_tables(store, fresh, params),
+                *inventory_tables(store, read_products(), fresh, batch_id, params),
             )
-            write_inventory(store, read_products(), items, fresh, batch_id, params)
         finally:
             if fresh is not None:
                 fresh.unpersist()
@@ -105,30 +95,55 @@ def batch_handler(
     return handle
 
 
-def write_inventory(
-    store: Store, products: DataFrame, items: DataFrame, orders: DataFrame, batch_id: int, params: Params
-) -> None:
+def write_all(batch_id: int, *outputs: tuple[BatchTable, DataFrame]) -> None:
+    """Write the batch's tables side by side; the first failure is raised.
+
+    No output reads what another one writes in the same batch, and each may be
+    written again, so their order does not matter.
+    """
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        jobs = [pool.submit(table.write, df, batch_id) for table, df in outputs]
+    for job in jobs:
+        job.result()
+
+
+def order_tables(store: Store, orders: DataFrame, params: Params) -> list[tuple[BatchTable, DataFrame]]:
+    items = order_lines(orders, "order_timestamp", "part")
+    window = params.stream.window
+    minutes = minute_sales(orders, window).withColumn("part", _day("window_start"))
+    product_minutes = product_minute_sales(items, window).withColumn("part", _day("window_start"))
+    return [
+        (store.orders, order_headers(orders, "part")),
+        (store.order_items, with_line_total(items)),
+        (store.minute_sums, minutes),
+        (store.product_minute_sums, product_minutes),
+    ]
+
+
+def inventory_tables(
+    store: Store, products: DataFrame, orders: DataFrame, batch_id: int, params: Params
+) -> list[tuple[BatchTable, DataFrame]]:
     """Stock movements of the batch and the low-stock alerts they lead to."""
+    items = order_lines(orders)
     now = latest(orders, "order_timestamp")
     opening = apply_sales(products, store.units_sold.totals(before=batch_id))
 
     sold = units_by_product(items).withColumnRenamed("qty", "quantity")
     known = sold.join(products.select("product_id"), "product_id", "left_semi")
-    store.units_sold.write(known.withColumn("part", F.lit(ALL)), batch_id)
-    store.unknown_products.write(
-        unknown_products(products, items).withColumn("part", F.lit(ALL)), batch_id
-    )
-
+    unknown = unknown_products(products, items)
     log = sale_movements(opening, items, now)
-    store.inventory_log.write(log.withColumn("part", _day("event_timestamp")), batch_id)
-
     candidates = low_stock_alerts(apply_sales(opening, items), now)
     raised = suppress_recent(
         candidates, store.alerts.read(before=batch_id), LOW_STOCK_KEY, now, params.cooldown.low_stock
     )
     # Nothing is alerted by a batch without a single new order.
     raised = raised.filter(F.col("detected_at").isNotNull())
-    store.alerts.write(raised.withColumn("part", _day("detected_at")), batch_id)
+    return [
+        (store.units_sold, known.withColumn("part", F.lit(ALL))),
+        (store.unknown_products, unknown.withColumn("part", F.lit(ALL))),
+        (store.inventory_log, log.withColumn("part", _day("event_timestamp"))),
+        (store.alerts, raised.withColumn("part", _day("detected_at"))),
+    ]
 
 
 def start(

@@ -117,10 +117,15 @@ class AdditiveTable(BatchTable):
 
 
 class Store:
-    """All tables of the monitoring job under one root folder."""
+    """All tables of the monitoring job under one root folder.
 
-    def __init__(self, spark: SparkSession, root: str):
+    Orders and their items are stored by ``order_part`` of their event time:
+    by hour for a busy shop, by day where an hour holds too little for a file.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, order_part: str = "hour"):
         self.spark, self.root = spark, root
+        self.order_format = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}[order_part]
 
     def _batch(self, name: str, schema: StructType) -> BatchTable:
         return BatchTable(self.spark, f"{self.root}/{name}", schema)
