@@ -37,12 +37,12 @@ def cart_histograms(carts: DataFrame) -> tuple[DataFrame, DataFrame]:
 def or_default(histogram: DataFrame, default: dict[int, int]) -> DataFrame:
     """The histogram, or the default weights if it has no rows.
 
-    The default rows carry a marker that an anti join removes as soon as one
-    observed row exists.
+    The default rows pass a filter on the number of observed rows, which Spark
+    evaluates once as a scalar subquery.
     """
     rows = ", ".join(f"({bucket}, {weight}L)" for bucket, weight in default.items())
     fallback = histogram.sparkSession.sql(
-        f"SELECT bucket, weight, 1 AS _marker FROM VALUES {rows} AS d(bucket, weight)"
+        f"SELECT bucket, weight FROM VALUES {rows} AS d(bucket, weight)"
     )
-    seen = histogram.agg(F.count("*").alias("n")).filter("n > 0").select(F.lit(1).alias("_marker"))
-    return histogram.unionByName(fallback.join(seen, "_marker", "left_anti").drop("_marker"))
+    observed = histogram.agg(F.count("*")).scalar()
+    return histogram.unionByName(fallback.filter(observed == 0))

@@ -16,6 +16,10 @@ from retailpulse.functions.clock import epoch_seconds
 from retailpulse.functions.numbers import exact_mean
 
 DAY = 86_400
+# More rows of one key than this in one unit of time are cut into instants;
+# rows of one instant are cut by ranges of this many ids.
+CROWDED = 1_000_000
+TIE_RANGE = 1_000_000
 
 
 def trailing_window(
@@ -45,28 +49,57 @@ def trailing_window(
     return spread.withColumns(named).filter("_block = _own").drop("_t", "_own", "_block")
 
 
+def _blocks(df: DataFrame, keys: list[str], time: str, tie: str, unit: str) -> DataFrame:
+    """Rows with the block (`_at`, `_slice`) they belong to.
+
+    Blocks are consecutive in the order of ``time`` then ``tie``. A block is
+    one ``unit`` of time of one key, unless that unit is crowded: then every
+    instant is a block of its own, cut further by ranges of ``tie``. So neither
+    a busy unit nor a pile of rows with one timestamp lands in a single task,
+    as long as ``tie`` is a number that tells the rows apart.
+    """
+    rows = df.withColumn("_unit", F.date_trunc(unit, time))
+    crowded = (
+        rows.groupBy(*keys, "_unit")
+        .agg(F.count("*").alias("_n"))
+        .filter(F.col("_n") > CROWDED)
+        .select(*keys, "_unit", F.lit(True).alias("_crowded"))
+    )
+    return (
+        rows.join(crowded, [*keys, "_unit"], "left")
+        .withColumns(
+            {
+                "_at": F.when(F.col("_crowded"), F.col(time)).otherwise(F.col("_unit")),
+                "_slice": F.when(F.col("_crowded"), F.floor(F.col(tie) / TIE_RANGE)).otherwise(F.lit(0)),
+            }
+        )
+        .drop("_unit", "_crowded")
+    )
+
+
 def running_sum(
     df: DataFrame, keys: list[str], time: str, tie: str, value: str, out: str
 ) -> DataFrame:
     """Sum of ``value`` up to each row, ordered by ``time`` then ``tie``.
 
-    Two levels: rows within a minute, and one total per minute and key. The
-    second is ordered per key; its size is bounded by the clock (half a million
-    minutes a year), not by the number of rows.
+    Rows are summed inside their block; what came before it is taken from the
+    blocks' totals, which are few: one per key and minute (half a million a
+    year) unless a minute is crowded.
     """
-    rows = df.withColumn("_minute", F.date_trunc("minute", time))
-    earlier = W.partitionBy(*keys).orderBy("_minute").rowsBetween(W.unboundedPreceding, -1)
+    block = [*keys, "_at", "_slice"]
+    rows = _blocks(df, keys, time, tie, "minute")
+    earlier = W.partitionBy(*keys).orderBy("_at", "_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy(*keys, "_minute")
+        rows.groupBy(*block)
         .agg(F.sum(value).alias("_sum"))
-        .select(*keys, "_minute", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+        .select(*block, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
     )
-    inside = W.partitionBy(*keys, "_minute").orderBy(time, tie).rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy(*block).orderBy(time, tie).rowsBetween(W.unboundedPreceding, 0)
     return (
         rows.withColumn("_inside", F.sum(value).over(inside))
-        .join(offsets, [*keys, "_minute"])
+        .join(offsets, block)
         .withColumn(out, F.col("_offset") + F.col("_inside"))
-        .drop("_minute", "_inside", "_offset")
+        .drop("_at", "_slice", "_inside", "_offset")
     )
 
 
@@ -75,21 +108,21 @@ def previous_value(
 ) -> DataFrame:
     """``value`` of the preceding row of the same key, by ``time`` then ``tie``.
 
-    Rows are ordered within the hour; the first row of an hour takes the last
-    value of the key's preceding non-empty hour.
+    The first row of a block takes the last value of the key's block before.
     """
-    rows = df.withColumn("_hour", F.date_trunc("hour", time))
-    closing = rows.groupBy(*keys, "_hour").agg(
+    block = [*keys, "_at", "_slice"]
+    rows = _blocks(df, keys, time, tie, "hour")
+    in_order = W.partitionBy(*keys).orderBy("_at", "_slice")
+    closing = rows.groupBy(*block).agg(
         F.max(F.struct(time, tie, value)).getField(value).alias("_closing")
     )
-    by_hour = W.partitionBy(*keys).orderBy("_hour")
-    carried = closing.select(*keys, "_hour", F.lag("_closing").over(by_hour).alias("_carried"))
-    inside = W.partitionBy(*keys, "_hour").orderBy(time, tie)
+    carried = closing.select(*block, F.lag("_closing").over(in_order).alias("_carried"))
+    inside = W.partitionBy(*block).orderBy(time, tie)
     return (
         rows.withColumns({"_prev": F.lag(value).over(inside), "_n": F.row_number().over(inside)})
-        .join(carried, [*keys, "_hour"])
+        .join(carried, block)
         .withColumn(out, F.when(F.col("_n") == 1, F.col("_carried")).otherwise(F.col("_prev")))
-        .drop("_hour", "_prev", "_n", "_carried")
+        .drop("_at", "_slice", "_prev", "_n", "_carried")
     )
 
 

@@ -96,6 +96,9 @@ def nest_orders(lines: DataFrame, item_columns: list[str], lines_per_document: i
     placed = blocks.join(totals, "order_id").withColumn(
         "part", F.pmod(F.xxhash64(*item_columns, "block"), F.col("parts"))
     )
+    # Without this shuffle the join's partitioning by order would be kept and
+    # bring all parts of a huge order back into one task.
+    placed = placed.repartition("order_id", "part")
     item = F.struct(*item_columns, "line_total")
     repeated = F.flatten(F.collect_list(F.array_repeat(item, F.col("times"))))
     return placed.groupBy("order_id", "total_amount", "item_count", "parts", "part").agg(

@@ -31,8 +31,6 @@ def build_session(
     """
     builder = (
         SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -44,13 +42,24 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return prepare(builder.getOrCreate())
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session zone: every minute, hour and day boundary is UTC."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings the operators rely on, for sessions made elsewhere.
+
+    Every minute, hour and day boundary is UTC. Skewed joins are split even
+    where this costs another shuffle: one product or order may hold a large
+    share of all rows.
+    """
+    wanted = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+    for key, value in wanted.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 

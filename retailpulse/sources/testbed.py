@@ -16,7 +16,7 @@ from retailpulse.functions.numbers import round_half_up
 from retailpulse.operators.inventory import apply_sales
 from retailpulse.operators.metrics import minute_sales, product_minute_sales
 from retailpulse.schemas import SEED_RULES
-from retailpulse.session import use_utc
+from retailpulse.session import prepare
 from retailpulse.sources.tables import seed_rules
 
 # Timestamps are declared as TIMESTAMP, not inferred as TIMESTAMP_NTZ: time
@@ -40,7 +40,7 @@ class Testbed:
     __test__ = False
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = use_utc(spark)
+        self.spark = prepare(spark)
         self.folder = folder
 
     def raw(self, name: str) -> DataFrame:

@@ -175,7 +175,11 @@ def sales_of(spark, n, products=4, seed=1, minutes=3000):
     return spark.createDataFrame(data, "event_id bigint, product_id int, quantity int, order_timestamp timestamp"), data
 
 
-def test_running_stock_matches_a_loop_and_the_decrement(spark):
+@pytest.mark.parametrize("crowded", [1_000_000, 3])
+def test_running_stock_matches_a_loop_and_the_decrement(spark, monkeypatch, crowded):
+    """A low limit makes every busy minute a crowded one."""
+    monkeypatch.setattr(series, "CROWDED", crowded)
+    monkeypatch.setattr(series, "TIE_RANGE", 50 if crowded == 3 else 1_000_000)
     products = product_frame(spark, [(i, 300, 10) for i in range(1, 5)])
     sales, data = sales_of(spark, 800)
     got = {r.event_id: r.stock_after for r in inventory.running_stock(products, sales, "order_timestamp", "event_id").collect()}
@@ -211,7 +215,10 @@ def test_trailing_window_across_blocks(spark):
             assert (r.s or 0) == sum(1 + p % 17 for p in inside)
 
 
-def test_previous_value_across_hours(spark):
+@pytest.mark.parametrize("crowded", [1_000_000, 3])
+def test_previous_value_across_hours(spark, monkeypatch, crowded):
+    monkeypatch.setattr(series, "CROWDED", crowded)
+    monkeypatch.setattr(series, "TIE_RANGE", 7 if crowded == 3 else 1_000_000)
     rng = random.Random(8)
     data = [(i, rng.choice("xy"), at(rng.choice([rng.uniform(0, 900), 70])), float(i)) for i in range(300)]
     frame = spark.createDataFrame(data, "id bigint, k string, t timestamp, v double")
