@@ -10,6 +10,8 @@ class StreamParams:
     topic: str = "orders"
     bootstrap_servers: str = "localhost:9092"
     starting_offsets: str = "latest"
+    # Upper bound of one micro-batch, for catching up; None takes all there is.
+    max_offsets_per_trigger: int | None = None
     trigger: str = "10 seconds"
     watermark: str = "10 minutes"
     window: str = "1 minute"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from retailpulse.functions.numbers import blank_as_zero
+from retailpulse.functions.numbers import blank_as_zero, round_half_up
 
 # Fixed values shown by the dashboard.
 ICON_OUT = "🔴 OUT"
@@ -105,8 +105,6 @@ def stock_bin(stock: Column, threshold: Column) -> Column:
 
 def synthesized_stock(rating_count: Column) -> dict[str, Column]:
     """Stock, reorder point and popularity weight derived from a rating count."""
-    from retailpulse.functions.numbers import round_half_up
-
     rated = F.greatest(F.coalesce(rating_count, F.lit(0)), F.lit(1)).cast("double")
     stock = F.least((F.lit(80.0) + F.sqrt(rated) * F.lit(12.0)).cast("int"), F.lit(600))
     reorder = F.greatest((stock.cast("double") * F.lit(0.2)).cast("int"), F.lit(10))

@@ -16,9 +16,9 @@ from retailpulse.functions.clock import epoch_seconds
 from retailpulse.functions.numbers import exact_mean
 
 DAY = 86_400
-# More rows of one key than this in one unit of time are cut into instants;
-# rows of one instant are cut by ranges of this many ids.
-CROWDED = 1_000_000
+# A day or minute of one key with more rows than this is cut further; rows of
+# one instant are cut by ranges of this many ids.
+CROWDED = 4_000_000
 TIE_RANGE = 1_000_000
 
 
@@ -49,31 +49,40 @@ def trailing_window(
     return spread.withColumns(named).filter("_block = _own").drop("_t", "_own", "_block")
 
 
-def _blocks(df: DataFrame, keys: list[str], time: str, tie: str, unit: str) -> DataFrame:
+def _crowded(rows: DataFrame, block: list[str], flag: str) -> DataFrame:
+    """The blocks with more than `CROWDED` rows.
+
+    There are at most (all rows / `CROWDED`) of them, a quarter of a million
+    for a trillion rows, which is what allows to broadcast them.
+    """
+    counted = rows.groupBy(*block).agg(F.count("*").alias("_n")).filter(F.col("_n") > CROWDED)
+    return F.broadcast(counted.select(*block, F.lit(True).alias(flag)))
+
+
+def _blocks(df: DataFrame, keys: list[str], time: str, tie: str) -> DataFrame:
     """Rows with the block (`_at`, `_slice`) they belong to.
 
     Blocks are consecutive in the order of ``time`` then ``tie``. A block is
-    one ``unit`` of time of one key, unless that unit is crowded: then every
-    instant is a block of its own, cut further by ranges of ``tie``. So neither
-    a busy unit nor a pile of rows with one timestamp lands in a single task,
-    as long as ``tie`` is a number that tells the rows apart.
+    one day of one key; a crowded day is cut into minutes; in a crowded minute
+    every instant is a block of its own, cut further by ranges of ``tie``. So
+    neither a busy key nor a pile of rows with one timestamp lands in a single
+    task, as long as ``tie`` is a number that tells the rows apart.
     """
-    rows = df.withColumn("_unit", F.date_trunc(unit, time))
-    crowded = (
-        rows.groupBy(*keys, "_unit")
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > CROWDED)
-        .select(*keys, "_unit", F.lit(True).alias("_crowded"))
+    rows = df.withColumns({"_day": F.date_trunc("day", time), "_minute": F.date_trunc("minute", time)})
+    days = _crowded(rows, [*keys, "_day"], "_busy_day")
+    in_busy_days = rows.join(days, [*keys, "_day"])
+    minutes = _crowded(in_busy_days, [*keys, "_minute"], "_busy_minute")
+    at = (
+        F.when(F.col("_busy_minute"), F.col(time))
+        .when(F.col("_busy_day"), F.col("_minute"))
+        .otherwise(F.col("_day"))
     )
+    part = F.when(F.col("_busy_minute"), F.floor(F.col(tie) / TIE_RANGE)).otherwise(F.lit(0))
     return (
-        rows.join(crowded, [*keys, "_unit"], "left")
-        .withColumns(
-            {
-                "_at": F.when(F.col("_crowded"), F.col(time)).otherwise(F.col("_unit")),
-                "_slice": F.when(F.col("_crowded"), F.floor(F.col(tie) / TIE_RANGE)).otherwise(F.lit(0)),
-            }
-        )
-        .drop("_unit", "_crowded")
+        rows.join(days, [*keys, "_day"], "left")
+        .join(minutes, [*keys, "_minute"], "left")
+        .withColumns({"_at": at, "_slice": part})
+        .drop("_day", "_minute", "_busy_day", "_busy_minute")
     )
 
 
@@ -83,11 +92,11 @@ def running_sum(
     """Sum of ``value`` up to each row, ordered by ``time`` then ``tie``.
 
     Rows are summed inside their block; what came before it is taken from the
-    blocks' totals, which are few: one per key and minute (half a million a
-    year) unless a minute is crowded.
+    blocks' totals, which are few: one per key and day, or minute where a day
+    is crowded, so at most half a million a year and key.
     """
     block = [*keys, "_at", "_slice"]
-    rows = _blocks(df, keys, time, tie, "minute")
+    rows = _blocks(df, keys, time, tie)
     earlier = W.partitionBy(*keys).orderBy("_at", "_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         rows.groupBy(*block)
@@ -111,10 +120,10 @@ def previous_value(
     The first row of a block takes the last value of the key's block before.
     """
     block = [*keys, "_at", "_slice"]
-    rows = _blocks(df, keys, time, tie, "hour")
+    rows = _blocks(df, keys, time, tie)
     in_order = W.partitionBy(*keys).orderBy("_at", "_slice")
     closing = rows.groupBy(*block).agg(
-        F.max(F.struct(time, tie, value)).getField(value).alias("_closing")
+        F.max_by(value, F.struct(time, tie)).alias("_closing")
     )
     carried = closing.select(*block, F.lag("_closing").over(in_order).alias("_carried"))
     inside = W.partitionBy(*block).orderBy(time, tie)

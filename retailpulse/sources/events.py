@@ -14,14 +14,15 @@ from retailpulse.schemas import ORDER_EVENT, REQUIRED_ORDER_FIELDS
 
 def kafka_events(spark: SparkSession, params: StreamParams = StreamParams()) -> DataFrame:
     """(json, arrived_at) from the order topic; needs the Kafka connector jar."""
-    raw = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", params.bootstrap_servers)
-        .option("subscribe", params.topic)
-        .option("startingOffsets", params.starting_offsets)
-        .option("failOnDataLoss", "false")
-        .load()
-    )
+    options = {
+        "kafka.bootstrap.servers": params.bootstrap_servers,
+        "subscribe": params.topic,
+        "startingOffsets": params.starting_offsets,
+        "failOnDataLoss": "false",
+    }
+    if params.max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(params.max_offsets_per_trigger)
+    raw = spark.readStream.format("kafka").options(**options).load()
     return raw.select(
         F.col("value").cast("string").alias("json"), F.col("timestamp").alias("arrived_at")
     )

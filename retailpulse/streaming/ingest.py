@@ -25,6 +25,7 @@ from retailpulse.operators.inventory import (
 )
 from retailpulse.operators.metrics import minute_sales, product_minute_sales, units_by_product
 from retailpulse.operators.shape import order_headers, order_lines, with_line_total
+from retailpulse.session import shared_folder
 from retailpulse.sources.events import accepted, quarantined
 from retailpulse.streaming.store import BatchTable, Store
 
@@ -72,11 +73,11 @@ def batch_handler(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         fresh = None
         try:
+            if batch.isEmpty():
+                return
             payload = [c for c in batch.columns if c not in ("json", "arrived_at")]
             fresh = first_seen(store, accepted(batch).select(*payload), batch_id)
             fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
@@ -149,11 +150,15 @@ def inventory_tables(
 def start(
     decoded: DataFrame,
     handler: Callable[[DataFrame, int], None],
-    checkpoint: str,
+    checkpoint: str | None = None,
     params: Params = DEFAULTS,
     drain: bool = False,
 ) -> StreamingQuery:
-    """Run the handler on every trigger, or once over what is there (``drain``)."""
+    """Run the handler on every trigger, or once over what is there (``drain``).
+
+    Progress is kept under the session's shared folder unless told otherwise.
+    """
+    checkpoint = checkpoint or f"{shared_folder(decoded.sparkSession)}/order-ingest"
     writer = (
         decoded.writeStream.foreachBatch(handler)
         .outputMode("append")

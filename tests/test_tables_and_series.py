@@ -175,9 +175,9 @@ def sales_of(spark, n, products=4, seed=1, minutes=3000):
     return spark.createDataFrame(data, "event_id bigint, product_id int, quantity int, order_timestamp timestamp"), data
 
 
-@pytest.mark.parametrize("crowded", [1_000_000, 3])
+@pytest.mark.parametrize("crowded", [1_000_000, 100, 3])
 def test_running_stock_matches_a_loop_and_the_decrement(spark, monkeypatch, crowded):
-    """A low limit makes every busy minute a crowded one."""
+    """Low limits make busy days and minutes crowded ones."""
     monkeypatch.setattr(series, "CROWDED", crowded)
     monkeypatch.setattr(series, "TIE_RANGE", 50 if crowded == 3 else 1_000_000)
     products = product_frame(spark, [(i, 300, 10) for i in range(1, 5)])
@@ -215,7 +215,7 @@ def test_trailing_window_across_blocks(spark):
             assert (r.s or 0) == sum(1 + p % 17 for p in inside)
 
 
-@pytest.mark.parametrize("crowded", [1_000_000, 3])
+@pytest.mark.parametrize("crowded", [1_000_000, 100, 3])
 def test_previous_value_across_hours(spark, monkeypatch, crowded):
     monkeypatch.setattr(series, "CROWDED", crowded)
     monkeypatch.setattr(series, "TIE_RANGE", 7 if crowded == 3 else 1_000_000)
