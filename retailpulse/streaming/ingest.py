@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from retailpulse.config import DEFAULTS, Params
-from retailpulse.functions.clock import latest
+from retailpulse.functions.clock import before, latest
 from retailpulse.operators.alerts import LOW_STOCK_KEY, suppress_recent
 from retailpulse.operators.inventory import (
     apply_sales,
@@ -134,9 +134,9 @@ def inventory_tables(
     unknown = unknown_products(products, items)
     log = sale_movements(opening, items, now)
     candidates = low_stock_alerts(apply_sales(opening, items), now)
-    raised = suppress_recent(
-        candidates, store.alerts.read(before=batch_id), LOW_STOCK_KEY, now, params.cooldown.low_stock
-    )
+    quiet = params.cooldown.low_stock
+    history = store.alerts.read(before=batch_id, since=before(now, quiet))
+    raised = suppress_recent(candidates, history, LOW_STOCK_KEY, now, quiet)
     # Nothing is alerted by a batch without a single new order.
     raised = raised.filter(F.col("detected_at").isNotNull())
     return [

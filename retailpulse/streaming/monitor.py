@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailpulse.config import DEFAULTS, Params
-from retailpulse.functions.clock import Clock, moment
+from retailpulse.functions.clock import Clock, before, moment
 from retailpulse.operators.alerts import KPI_KEY, SPIKE_KEY, suppress_recent, unify
 from retailpulse.operators.anomaly import detect, spike_alerts
 from retailpulse.operators.cooldown import suppress_repeats
-from retailpulse.operators.kpi import judge, metric_values, violation_alerts
+from retailpulse.operators.kpi import judge, lookback_minutes, metric_values, violation_alerts
 from retailpulse.streaming.store import Store
 
 
@@ -36,8 +36,11 @@ def evaluate_once(
 ) -> None:
     """Append the alerts due now. Runs are numbered apart from the ingest's
     batches by storing them as negative batch ids."""
-    history = store.alerts.read().filter(F.col("batch_id") != -run)
-    due = new_alerts(store.sales_metrics(), products, rules, history, as_of, params)
+    longest_cooldown = max(params.cooldown.spike, params.cooldown.kpi)
+    history = store.alerts.read(since=before(as_of, longest_cooldown)).filter(F.col("batch_id") != -run)
+    lookback = F.greatest(F.lit(params.anomaly.forest_minutes), lookback_minutes(rules))
+    sales = store.sales_metrics(since=before(as_of, lookback))
+    due = new_alerts(sales, products, rules, history, as_of, params)
     part = F.date_format(moment(as_of), "yyyy-MM-dd")
     store.alerts.write(due.withColumn("part", part), -run)
 
@@ -50,6 +53,8 @@ def alert_stream_step(
     Continues from the last alert emitted per key by earlier batches, so the
     result does not depend on how the stream was cut into batches.
     """
-    last = store.alerts.read(before=batch_id).groupBy(*keys).agg(F.max("detected_at").alias("last_at"))
+    earliest = candidates.agg(F.min("detected_at")).scalar()
+    history = store.alerts.read(before=batch_id, since=before(earliest, minutes))
+    last = history.groupBy(*keys).agg(F.max("detected_at").alias("last_at"))
     ranked = candidates.withColumn("_tie", F.xxhash64(*candidates.columns))
     return suppress_repeats(ranked, keys, "detected_at", minutes, "_tie", last).drop("_tie")

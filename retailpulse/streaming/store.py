@@ -11,7 +11,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -29,6 +29,10 @@ def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def _from_day(rows: DataFrame, since: Column | None) -> DataFrame:
+    return rows if since is None else rows.filter(F.col("part") >= F.date_format(since, "yyyy-MM-dd"))
+
+
 def _write(df: DataFrame, path: str, *partitions: str) -> None:
     """Replace just the partitions present in ``df``.
 
@@ -60,10 +64,15 @@ class BatchTable:
         rows = df.select(*columns, F.col(self.part).cast("string").alias(self.part))
         _write(rows.withColumn("batch_id", F.lit(batch_id).cast("long")), self.path, self.part, "batch_id")
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """All rows, or those of the batches before ``before``."""
+    def read(self, before: int | None = None, since: Column | None = None) -> DataFrame:
+        """All rows, or those of the batches before ``before``.
+
+        ``since`` skips the days before a moment, for tables with daily parts.
+        """
         rows = _read(self.spark, self.path, self._stored)
-        return rows if before is None else rows.filter(F.col("batch_id") < before)
+        if before is not None:
+            rows = rows.filter(F.col("batch_id") < before)
+        return _from_day(rows, since)
 
 
 class AdditiveTable(BatchTable):
@@ -81,17 +90,17 @@ class AdditiveTable(BatchTable):
     def _compacted(self) -> str:
         return f"{self.path}_compacted"
 
-    def _rows(self, before: int | None) -> DataFrame:
+    def _rows(self, before: int | None, since: Column | None = None) -> DataFrame:
         through = StructType([*self.schema.fields, StructField("part", StringType()), StructField("through", LongType())])
-        compacted = _read(self.spark, self._compacted, through)
+        compacted = _from_day(_read(self.spark, self._compacted, through), since)
         if before is not None:
             compacted = compacted.filter(F.col("through") < before)
         newest = compacted.groupBy("part").agg(F.max("through").alias("through"))
         base = compacted.join(newest, ["part", "through"], "left_semi").drop("through")
-        return base.unionByName(self._after(newest, before).drop("batch_id", "through"))
+        return base.unionByName(self._after(newest, before, since).drop("batch_id", "through"))
 
-    def _after(self, newest: DataFrame, before: int | None) -> DataFrame:
-        return self.read(before).join(newest, "part", "left").filter(
+    def _after(self, newest: DataFrame, before: int | None, since: Column | None = None) -> DataFrame:
+        return self.read(before, since).join(newest, "part", "left").filter(
             F.col("batch_id") > F.coalesce("through", F.lit(-1))
         )
 
@@ -101,8 +110,8 @@ class AdditiveTable(BatchTable):
             *[F.sum(name).cast(types[name]).alias(name) for name in self.sums]
         )
 
-    def totals(self, before: int | None = None) -> DataFrame:
-        return self._sum(self._rows(before))
+    def totals(self, before: int | None = None, since: Column | None = None) -> DataFrame:
+        return self._sum(self._rows(before, since))
 
     def compact(self, through: int) -> None:
         """Add up the batches up to ``through`` in every part that has new ones."""
@@ -178,11 +187,12 @@ class Store:
             self.spark, f"{self.root}/units_sold", StructType(fields), ["product_id"], ["quantity"]
         )
 
-    def sales_metrics(self, before: int | None = None) -> DataFrame:
-        return self.minute_sums.totals(before).withColumn("avg_order_value", average_order_value())
+    def sales_metrics(self, since: Column | None = None) -> DataFrame:
+        """Minute metrics, at least those from the day of ``since`` on."""
+        return self.minute_sums.totals(since=since).withColumn("avg_order_value", average_order_value())
 
-    def product_sales_metrics(self, before: int | None = None) -> DataFrame:
-        return self.product_minute_sums.totals(before)
+    def product_sales_metrics(self, since: Column | None = None) -> DataFrame:
+        return self.product_minute_sums.totals(since=since)
 
     def compact(self, through: int) -> None:
         for table in (self.minute_sums, self.product_minute_sums, self.units_sold):

@@ -221,7 +221,7 @@ def test_cooldown_step_continues_between_batches(spark, run):
         data = [("LOW_STOCK", "HIGH", "PRODUCT", "1", "m", at(m), False) for m in part]
         due = monitor.alert_stream_step(run.store, spark.createDataFrame(data, ddl), ["alert_type", "entity_id"], 5, batch_id)
         empty = [F.lit(None).alias(c) for c in ("detected_value", "expected_low", "expected_high")]
-        run.store.alerts.write(due.select("*", *empty, F.lit("x").alias("part")), batch_id)
+        run.store.alerts.write(due.select("*", *empty, F.date_format("detected_at", "yyyy-MM-dd").alias("part")), batch_id)
     assert sorted(r[0] for r in rows(run.store.alerts.read(), "detected_at")) == [at(m) for m in (0, 6, 11, 16, 30)]
 
 
