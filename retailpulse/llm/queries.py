@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpulse.llm import simhash_pivots
+from retailpulse.llm import simhash_pivots, url_filter
 from retailpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,8 @@ def op9_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_pivots.near_duplicates(table(spark, sf_dir, "documents"))
     text = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return found.select("doc_id", text, "component_id")
+
+
+@query("op3_url_filter")
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
