@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpulse.llm import simhash_pivots, url_filter
+from retailpulse.llm import piece_transducer, simhash_pivots, url_filter, wavelet
 from retailpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +35,21 @@ def op9_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_url_filter")
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op1_wavelet_tokens")
+def op1_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return wavelet.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op4_piece_transducer")
+def op4_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number and checksum of its ids, and whether decoding them restores the text.
+
+    The checksum is over the ids as little-endian 32-bit numbers; word marks in a text
+    come back as blanks.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return piece_transducer.digest(docs, model)
