@@ -89,7 +89,8 @@ class WaveletMatrix:
         for shift in reversed(range(max(1, top.bit_length()))):
             ones = (rest >> shift & 1).astype(bool)
             planes.append(Plane(np.packbits(ones).tobytes(), len(rest)))
-            rest = np.concatenate([rest[~ones], rest[ones]])
+            # Index lists are several times faster here than masks.
+            rest = np.concatenate([rest.take(np.flatnonzero(~ones)), rest.take(np.flatnonzero(ones))])
         return cls(planes, len(rest))
 
     def tokens(self) -> np.ndarray:
@@ -98,8 +99,8 @@ class WaveletMatrix:
         for shift, plane in enumerate(reversed(self.planes)):
             ones = plane.bits
             whole = np.empty_like(out)
-            whole[~ones] = out[:plane.zeros]
-            whole[ones] = out[plane.zeros:] | out.dtype.type(1 << shift)
+            whole[np.flatnonzero(~ones)] = out[:plane.zeros]
+            whole[np.flatnonzero(ones)] = out[plane.zeros:] | out.dtype.type(1 << shift)
             out = whole
         return out
 
