@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,3 +48,16 @@ def held_out(folds: int, column: str = "doc_id") -> Column:
 def text_bytes(column: str = "text") -> Column:
     """UTF-8 of a text; null counts as empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
+
+
+def slices(texts: list[str], chars: int = 2_000_000) -> Iterator[list[str]]:
+    """Runs of consecutive texts of about so many characters."""
+    some, held = [], 0
+    for text in texts:
+        some.append(text)
+        held += len(text)
+        if held >= chars:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpulse.llm import piece_transducer, simhash_pivots, url_filter, wavelet
-from retailpulse.llm.common import table
+from retailpulse.llm import piece_transducer, simhash_pivots, toxicity, url_filter, wavelet
+from retailpulse.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -53,3 +53,11 @@ def op4_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     model = public_tokenizers.path("piece_bpe_32k.model")
     return piece_transducer.digest(docs, model)
+
+
+@query("op10_toxicity_kernel")
+def op10_toxicity_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    found = toxicity.scored(docs, machine).withColumn("held_out", held_out(toxicity.FOLDS))
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from retailpulse.llm.common import shared_folder
+from retailpulse.llm.common import shared_folder, slices
 
 MAGIC = b"WMX1"
 HEAD = struct.Struct("<4sBIQ")  # magic, planes, documents, tokens
@@ -198,19 +198,6 @@ class Encoder:
             yield b"".join(map(self.known.__getitem__, words))
 
 
-def slices(texts: list[str], chars: int = 2_000_000) -> Iterator[list[str]]:
-    """Runs of consecutive texts of about so many characters."""
-    some, held = [], 0
-    for text in texts:
-        some.append(text)
-        held += len(text)
-        if held >= chars:
-            yield some
-            some, held = [], 0
-    if some:
-        yield some
-
-
 def write_shards(
     docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, shard_tokens: int = SHARD_TOKENS
 ) -> None:
