@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpulse.llm import piece_transducer, simhash_pivots, toxicity, url_filter, wavelet
+from retailpulse.llm import piece_transducer, secrets, simhash_pivots, toxicity, url_filter, wavelet
 from retailpulse.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,18 @@ def op10_toxicity_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     machine = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     found = toxicity.scored(docs, machine).withColumn("held_out", held_out(toxicity.FOLDS))
     return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op7_secret_novelty")
+def op7_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    return found.select(
+        "doc_id", number("assign"), number("access"), number("hex"),
+        F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"), number("novel"),
+    )
