@@ -124,7 +124,7 @@ def find(docs: DataFrame, column: str = "text", out: str = "spans", least: float
             )
 
     kind = StructType().add("kind", "string").add("start", "long").add("end", "long")
-    return chosen.mapInArrow(run, chosen.schema.add(out, ArrayType(kind)))
+    return chosen.mapInArrow(run, StructType(list(chosen.schema.fields)).add(out, ArrayType(kind)))
 
 
 def joined(spans: Column) -> Column:

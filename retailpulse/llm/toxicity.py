@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from retailpulse.llm.common import held_out, slices
 
@@ -285,7 +286,8 @@ def scored(docs: DataFrame, machine: Machine, column: str = "text", out: str = "
     already named ``out`` is replaced; all rows and other columns are kept.
     """
     kept = [c for c in docs.columns if c != out]
-    schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add(out, "double")
+    chosen = docs.select(*[F.col(f"`{c}`") for c in kept])
+    schema = StructType(list(chosen.schema.fields)).add(out, "double")
     remembered = 400_000
 
     def run(batches):
@@ -306,4 +308,4 @@ def scored(docs: DataFrame, machine: Machine, column: str = "text", out: str = "
             arrays = [batch.column(c) for c in kept] + [pa.array(found, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, out])
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
+    return chosen.mapInArrow(run, schema)
