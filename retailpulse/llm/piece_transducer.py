@@ -12,9 +12,9 @@ neighbours. The shortest path is taken in the tropical semiring (minimum, plus).
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +51,7 @@ class Transducer:
         self.prefixes = {p[:k] for p in self.pieces for k in range(1, len(p) + 1)}
         byte_ids = {int(model.id_to_piece(i)[3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.byte_ids = [byte_ids[b] for b in range(256)]
-        self.byte_weight = -min(model.get_score(i) for i in self.byte_ids) if self.by_merges is False else 0.0
+        self.byte_weight = 0.0 if self.by_merges else -min(model.get_score(i) for i in self.byte_ids)
         # What each id decodes to; control pieces decode to nothing.
         self.surface = [b"" for _ in range(n)]
         for piece, (i, _) in self.pieces.items():
@@ -59,66 +59,102 @@ class Transducer:
         for byte, i in byte_ids.items():
             self.surface[i] = bytes([byte])
         self.accepted: dict[tuple[str, str], bool] = {}
+        self.steps: dict[str, list[tuple[float, str, str]] | None] = {}
         self.known: dict[str, bytes] = {}
 
-    def merges(self, text: str) -> list[str]:
-        """What repeated merging leaves of the characters: best score first, then leftmost."""
+    def history(self, text: str) -> tuple[list[str], list[tuple[float, str, str]]]:
+        """Repeated merging of the characters, best score first, then leftmost.
+
+        Returns what is left, and after every merge its weight with the last and the
+        first part, the characters' own first.
+        """
         parts = list(text)
+        steps = [(-math.inf, parts[-1], parts[0])]
         while True:
             joined = [(self.pieces[p][1], k) for k in range(len(parts) - 1) if (p := parts[k] + parts[k + 1]) in self.pieces]
             if not joined:
-                return parts
-            k = min(joined)[1]
+                return parts, steps
+            weight, k = min(joined)
             parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            steps.append((weight, parts[-1], parts[0]))
+
+    def steps_of(self, piece: str) -> list[tuple[float, str, str]] | None:
+        """The merges that make ``piece`` from its characters; None if merging ends otherwise."""
+        if piece not in self.steps:
+            if len(self.steps) > self.REMEMBERED:
+                self.steps.clear()
+            left, steps = self.history(piece)
+            self.steps[piece] = steps if len(left) == 1 else None
+        return self.steps[piece]
 
     def accepts(self, left: str, right: str) -> bool:
-        """Whether two pieces may be neighbours; an empty ``left`` asks for ``right`` alone."""
-        if not self.by_merges:
-            return True
+        """Whether merging the joined characters of two pieces leaves just these two.
+
+        The merges within either piece run in the order they have there; the pair is
+        refused if a merge across the border comes first at any time.
+        """
         key = (left, right)
         found = self.accepted.get(key)
-        if found is None:
-            if len(self.accepted) > self.REMEMBERED:
-                self.accepted.clear()
-            want = [left, right] if left else [right]
-            found = self.accepted[key] = self.merges(left + right) == want
+        if found is not None:
+            return found
+        if len(self.accepted) > self.REMEMBERED:
+            self.accepted.clear()
+        a, b = self.steps_of(left), self.steps_of(right)
+        i = j = 0
+        found = True
+        while found:
+            across = self.pieces.get(a[i][1] + b[j][2])
+            next_a = a[i + 1][0] if i + 1 < len(a) else math.inf
+            next_b = b[j + 1][0] if j + 1 < len(b) else math.inf
+            # Of equal merges the leftmost comes first.
+            if across is not None and across[1] < next_a and across[1] <= next_b:
+                found = False
+            elif next_a == next_b == math.inf:
+                break
+            elif next_a <= next_b:
+                i += 1
+            else:
+                j += 1
+        self.accepted[key] = found
         return found
 
-    def arcs(self, text: str, start: int) -> Iterator[tuple[str, float]]:
-        """Pieces of ``text`` at ``start`` with their weights."""
-        for end in range(start + 1, min(len(text), start + self.longest) + 1):
-            piece = text[start:end]
-            if piece not in self.prefixes:
-                break
-            if piece in self.pieces:
-                yield piece, self.pieces[piece][1]
-        if text[start] not in self.pieces:
-            yield text[start], self.byte_weight
+    def arcs(self, text: str) -> list[list[tuple[int, str, float]]]:
+        """For each end, the arcs (start, piece, weight) of the lattice, longest first."""
+        ends: list[list[tuple[int, str, float]]] = [[] for _ in range(len(text) + 1)]
+        pieces, prefixes = self.pieces, self.prefixes
+        for start in range(len(text)):
+            for end in range(start + 1, min(len(text), start + self.longest) + 1):
+                piece = text[start:end]
+                if piece not in prefixes:
+                    break
+                if piece in pieces:
+                    ends[end].append((start, piece, pieces[piece][1]))
+            if text[start] not in pieces:
+                ends[start + 1].append((start, text[start], self.byte_weight))
+        return ends
 
     def shortest_path(self, text: str) -> list[str]:
         """The pieces on the lightest path through normalised ``text``."""
-        # For each position, the last piece of a path (all pieces alike for unigram
-        # vocabularies) with the path's weight and its state before.
-        states: list[dict[str, tuple[float, int, str, str]]] = [{} for _ in range(len(text) + 1)]
-        states[0][""] = (0.0, 0, "", "")
-        for start in range(len(text)):
-            if not states[start]:
-                continue
-            for piece, weight in self.arcs(text, start):
-                if not self.accepts("", piece):
+        best: list[tuple[float, int, str] | None] = [None] * (len(text) + 1)
+        best[0] = (0.0, 0, "")
+        for end, arcs in enumerate(self.arcs(text)):
+            for start, piece, weight in arcs:
+                before = best[start]
+                if before is None:
                     continue
-                target = states[start + len(piece)]
-                for last, (so_far, *_rest) in states[start].items():
-                    if last and not self.accepts(last, piece):
+                if self.by_merges:
+                    if self.steps_of(piece) is None or start and not self.accepts(before[2], piece):
                         continue
-                    name = piece if self.by_merges else "any"
-                    if name not in target or so_far + weight < target[name][0]:
-                        target[name] = (so_far + weight, start, last, piece)
-        end, last, path = len(text), min(states[-1], key=lambda s: states[-1][s][0]), []
+                    # Merging has one result, so one path alone is accepted up to here.
+                    best[end] = (before[0] + weight, start, piece)
+                    break
+                if best[end] is None or before[0] + weight < best[end][0]:
+                    best[end] = (before[0] + weight, start, piece)
+        end, path = len(text), []
         while end:
-            _, start, before, piece = states[end][last]
+            _, start, piece = best[end]
             path.append(piece)
-            end, last = start, before
+            end = start
         return path[::-1]
 
     def emitted(self, path: list[str]) -> list[int]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpulse.llm import piece_transducer, secrets, simhash_pivots, toxicity, url_filter, wavelet
+from retailpulse.llm import lattice_lm, piece_transducer, secrets, simhash_pivots, toxicity, url_filter, wavelet
 from retailpulse.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def op7_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"),
         secrets.joined(F.col("spans")).alias("spans"), number("novel"),
     )
+
+
+@query("op2_lattice_likelihood")
+def op2_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lattice_lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from retailpulse.llm.common import shared_folder, slices
 
 MAGIC = b"WMX1"
-HEAD = struct.Struct("<4sBIQ")  # magic, planes, documents, tokens
+HEAD = "<4sBIQ"  # magic, planes, documents, tokens
 SHARD_TOKENS = 1 << 20
 SHARD_SCHEMA = "part int, seq int, n_docs long, n_tokens long, image binary"
 
@@ -150,17 +150,17 @@ def image(doc_ids: list[int | None], counts: list[int], ids: np.ndarray) -> byte
     sections = [numbers.tobytes(), np.packbits(present).tobytes(), np.array(counts, "<u4").tobytes()]
     sections += [p.packed.tobytes() for p in matrix.planes]
     packed = [zstandard.ZstdCompressor(level=1).compress(s) for s in sections]
-    head = HEAD.pack(MAGIC, len(matrix.planes), len(doc_ids), len(ids))
+    head = struct.pack(HEAD, MAGIC, len(matrix.planes), len(doc_ids), len(ids))
     return head + struct.pack(f"<{len(packed)}I", *map(len, packed)) + b"".join(packed)
 
 
 def opened(data: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
     """Document ids, token counts and wavelet matrix of an image."""
-    magic, n_planes, n_docs, n_tokens = HEAD.unpack_from(data)
+    magic, n_planes, n_docs, n_tokens = struct.unpack_from(HEAD, data)
     if magic != MAGIC:
         raise ValueError("not a wavelet shard")
-    sizes = struct.unpack_from(f"<{n_planes + 3}I", data, HEAD.size)
-    at, sections = HEAD.size + 4 * len(sizes), []
+    sizes = struct.unpack_from(f"<{n_planes + 3}I", data, struct.calcsize(HEAD))
+    at, sections = struct.calcsize(HEAD) + 4 * len(sizes), []
     for size in sizes:
         sections.append(zstandard.ZstdDecompressor().decompress(data[at:at + size]))
         at += size
