@@ -58,7 +58,11 @@ class Transducer:
             self.surface[i] = piece.replace(MARK, " ").encode()
         for byte, i in byte_ids.items():
             self.surface[i] = bytes([byte])
-        self.accepted: dict[tuple[str, str], bool] = {}
+        # Whether a text is a piece (True) or only the start of one (False).
+        self.lookup = {p: p in self.pieces for p in self.prefixes}
+        self.packed = {p: np.array([i], "<i4").tobytes() for p, (i, _) in self.pieces.items()}
+        self.accepted: dict[str, dict[str, bool]] = {}
+        self.decided = 0
         self.steps: dict[str, list[tuple[float, str, str]] | None] = {}
         self.known: dict[str, bytes] = {}
 
@@ -81,8 +85,6 @@ class Transducer:
     def steps_of(self, piece: str) -> list[tuple[float, str, str]] | None:
         """The merges that make ``piece`` from its characters; None if merging ends otherwise."""
         if piece not in self.steps:
-            if len(self.steps) > self.REMEMBERED:
-                self.steps.clear()
             left, steps = self.history(piece)
             self.steps[piece] = steps if len(left) == 1 else None
         return self.steps[piece]
@@ -93,13 +95,9 @@ class Transducer:
         The merges within either piece run in the order they have there; the pair is
         refused if a merge across the border comes first at any time.
         """
-        key = (left, right)
-        found = self.accepted.get(key)
-        if found is not None:
-            return found
-        if len(self.accepted) > self.REMEMBERED:
-            self.accepted.clear()
         a, b = self.steps_of(left), self.steps_of(right)
+        if a is None or b is None:
+            return False
         i = j = 0
         found = True
         while found:
@@ -115,7 +113,6 @@ class Transducer:
                 i += 1
             else:
                 j += 1
-        self.accepted[key] = found
         return found
 
     def arcs(self, text: str) -> list[list[tuple[int, str, float]]]:
@@ -135,36 +132,59 @@ class Transducer:
 
     def shortest_path(self, text: str) -> list[str]:
         """The pieces on the lightest path through normalised ``text``."""
+        if self.by_merges:
+            return self._only_path(text)
         best: list[tuple[float, int, str] | None] = [None] * (len(text) + 1)
         best[0] = (0.0, 0, "")
         for end, arcs in enumerate(self.arcs(text)):
             for start, piece, weight in arcs:
-                before = best[start]
-                if before is None:
-                    continue
-                if self.by_merges:
-                    if self.steps_of(piece) is None or start and not self.accepts(before[2], piece):
-                        continue
-                    # Merging has one result, so one path alone is accepted up to here.
-                    best[end] = (before[0] + weight, start, piece)
-                    break
-                if best[end] is None or before[0] + weight < best[end][0]:
-                    best[end] = (before[0] + weight, start, piece)
+                if best[end] is None or best[start][0] + weight < best[end][0]:
+                    best[end] = (best[start][0] + weight, start, piece)
         end, path = len(text), []
         while end:
-            _, start, piece = best[end]
+            _, end, piece = best[end]
             path.append(piece)
-            end = start
         return path[::-1]
 
-    def emitted(self, path: list[str]) -> list[int]:
-        out = []
-        for piece in path:
-            if piece in self.pieces:
-                out.append(self.pieces[piece][0])
-            else:
-                out.extend(self.byte_ids[b] for b in piece.encode())
-        return out
+    def _only_path(self, text: str) -> list[str]:
+        """The same for merge-based vocabularies.
+
+        Merging has one result, so of the paths to a position one alone is accepted,
+        and the search may leave a position once it has found it.
+        """
+        size, found, accepted = len(text), self.lookup.get, self.accepted
+        last: list[str | None] = [None] * (size + 1)
+        last[0] = ""
+        for start in range(size):
+            left = last[start]
+            if left is None:
+                continue
+            after = accepted.setdefault(left, {})
+            for end in range(start + 1, min(size, start + self.longest) + 1):
+                piece = text[start:end]
+                state = found(piece)
+                if state is None and end > start + 1:
+                    break
+                # A character without a piece has its byte arc.
+                if last[end] is None and (state or end == start + 1):
+                    fits = after.get(piece)
+                    if fits is None:
+                        self.decided += 1
+                        fits = after[piece] = self.accepts(left, piece) if left else self.steps_of(piece) is not None
+                    if fits:
+                        last[end] = piece
+        path, end = [], size
+        while end:
+            path.append(last[end])
+            end -= len(last[end])
+        return path[::-1]
+
+    def emitted(self, path: list[str]) -> bytes:
+        """Ids of a path, bytes for characters without a piece."""
+        return b"".join([
+            self.packed[p] if p in self.packed else np.array([self.byte_ids[b] for b in p.encode()], "<i4").tobytes()
+            for p in path
+        ])
 
     # Chunks that no piece crosses: blanks with what follows them, and line feeds.
     _CHUNKS = re.compile(r" +[^ \n]*|\n+|[^ \n]+")
@@ -186,10 +206,16 @@ class Transducer:
             chunks = [text]
         if len(known) > self.REMEMBERED:
             known.clear()
-        for chunk in chunks:
-            if chunk not in known:
-                known[chunk] = np.array(self.emitted(self.shortest_path(chunk.replace(" ", MARK))), "<i4").tobytes()
-        return b"".join([known[c] for c in chunks])
+        if self.decided > 5 * self.REMEMBERED or len(self.steps) > self.REMEMBERED:
+            self.decided = 0
+            self.accepted.clear()
+            self.steps.clear()
+        try:
+            return b"".join([known[c] for c in chunks])
+        except KeyError:
+            for chunk in set(chunks).difference(known):
+                known[chunk] = self.emitted(self.shortest_path(chunk.replace(" ", MARK)))
+            return b"".join([known[c] for c in chunks])
 
     def decode(self, ids: list[int]) -> str:
         """Text of ``ids``: bytes joined, word marks as blanks, the leading one removed."""
