@@ -7,6 +7,8 @@ first piece carries the word mark, the others follow until a stop. The marginal
 probability comes from a forward recursion in log space over the lattice of pieces.
 The vocabulary's own scores start the piece weights; expectation maximisation over
 all distinct training words (forward-backward over the same lattice) adapts them.
+Training texts of different classes (languages) have counts and piece weights of
+their own; a text's probability is the sum over the classes, whatever its own is.
 
 Counts meet the texts without any word being sent per document: texts are dealt into
 chunks of bounded size, each chunk asks once for each of its distinct words.
@@ -31,6 +33,10 @@ BASE_ADDED = 0.1
 ITERATIONS = 2
 #: Added to the expected count of every piece.
 SMOOTHING = 0.02
+#: Share of the remainder that goes by the counts of all classes together.
+BACKGROUND = 0.2
+#: Most classes; the values with fewest training texts, and null, share the last.
+CLASSES = 8
 CHUNK_BYTES = 16_000_000
 #: Words up to this length go through the recursion in arrays of equal lengths, longer ones alone.
 ARRAY_LENGTH = 64
@@ -81,9 +87,8 @@ def normalised(names: list[str], counts: np.ndarray, stop: float) -> Weights:
 class Lattice:
     """All segmentations of words, many words of one length at a time."""
 
-    def __init__(self, weights: Weights):
-        self.weights = weights
-        names = weights.names
+    def __init__(self, names: list[str]):
+        self.size = len(names)
         self.byte = {int(n[3:5], 16): k for k, n in enumerate(names) if len(n) == 6 and n.startswith("<0x")}
         text = [k for k in range(len(names)) if k not in set(self.byte.values())]
         self.number = {names[k]: k for k in text}
@@ -104,26 +109,25 @@ class Lattice:
             left = np.delete(left, first)
         if len(left):
             raise ValueError("piece hashes collide twice")
-        self.fallbacks: dict[int, tuple[float, list[int]]] = {}
+        self.fallbacks: dict[int, list[int]] = {}
 
     def _hash(self, piece: str) -> np.uint64:
         chars = np.frombuffer(piece.encode("utf-32-le"), np.uint32).astype(np.uint64)
         return (chars * self.powers[: len(chars)][::-1]).sum(dtype=np.uint64)
 
-    def fallback(self, char: int) -> tuple[float, list[int]]:
+    def fallback(self, char: int, weights: Weights) -> tuple[float, list[int]]:
         """Log weight and byte pieces of a character that no piece stands for."""
         if char not in self.fallbacks:
-            ids = [self.byte[b] for b in chr(char).encode("utf-8", "replace")]
-            self.fallbacks[char] = (float(self.weights.logs[ids].sum()), ids)
-        return self.fallbacks[char]
+            self.fallbacks[char] = [self.byte[b] for b in chr(char).encode("utf-8", "replace")]
+        ids = self.fallbacks[char]
+        return float(weights.logs[ids].sum()), ids
 
     def cells(self, words: list[str]):
-        """{(i, j): (piece numbers, log weights)} for equally long words, their mark included."""
+        """Characters of equally long words, their mark included, and {(i, j): piece numbers}, -1 for none."""
         length = len(words[0])
         chars = np.array(words, f"<U{length}").view(np.uint32).reshape(len(words), length)
         wide = chars.astype(np.uint64)
         found = {}
-        padded = np.append(self.weights.logs, -np.inf)
         for i in range(length):
             with np.errstate(over="ignore"):
                 value = np.zeros(len(words), np.uint64)
@@ -134,21 +138,28 @@ class Lattice:
                     for shift, keys, values in self.tables:
                         slots = (value >> shift & np.uint64((1 << _SLOTS) - 1)).astype(np.int64)
                         numbers = np.where(keys[slots] == value, values[slots], numbers)
-                    logs = padded[numbers]
-                    if j == i + 1 and (numbers < 0).any():
-                        missing = np.flatnonzero(numbers < 0)
-                        logs = logs.copy()
-                        logs[missing] = [self.fallback(int(c))[0] for c in chars[missing, i]]
-                    elif (numbers < 0).all():
-                        continue
-                    found[i, j] = (numbers, logs)
+                    if j == i + 1 or (numbers >= 0).any():
+                        found[i, j] = numbers
         return chars, found
 
-    def forward(self, cells, n: int, length: int) -> np.ndarray:
+    def weighed(self, chars: np.ndarray, cells, weights: Weights):
+        """{(i, j): log weights} of the cells."""
+        padded = np.append(weights.logs, -np.inf)
+        found = {}
+        for (i, j), numbers in cells.items():
+            logs = padded[numbers]
+            if j == i + 1:
+                missing = np.flatnonzero(numbers < 0)
+                logs[missing] = [self.fallback(int(c), weights)[0] for c in chars[missing, i]]
+            found[i, j] = logs
+        return found
+
+    @staticmethod
+    def forward(logs, n: int, length: int) -> np.ndarray:
         alpha = np.full((length + 1, n), -np.inf)
         alpha[0] = 0.0
-        for (i, j), (_, logs) in cells.items():
-            alpha[j] = np.logaddexp(alpha[j], alpha[i] + logs)
+        for (i, j), weight in logs.items():
+            alpha[j] = np.logaddexp(alpha[j], alpha[i] + weight)
         return alpha
 
     def grouped(self, words: list[str]):
@@ -159,25 +170,26 @@ class Lattice:
             for part in range(0, len(rows), 4000):
                 yield length, rows[part:part + 4000]
 
-    def log_marginals(self, words: list[str]) -> np.ndarray:
-        """Natural log of the summed probability of all segmentations, stop included."""
-        out = np.empty(len(words))
+    def log_marginals(self, words: list[str], several: list[Weights]) -> np.ndarray:
+        """Natural log of the summed probability of all segmentations, stop included; a row per weights."""
+        out = np.empty((len(several), len(words)))
         for length, rows in self.grouped(words):
             if length > ARRAY_LENGTH:
-                for k in rows:
-                    out[k] = self.alone(MARK + words[k])[0][-1]
+                for k, weights in enumerate(several):
+                    out[k, rows] = [self.alone(MARK + words[r], weights)[0][-1] for r in rows]
                 continue
-            _, cells = self.cells([MARK + words[k] for k in rows])
-            out[rows] = self.forward(cells, len(rows), length)[-1]
-        return out + self.weights.stop
+            chars, cells = self.cells([MARK + words[r] for r in rows])
+            for k, weights in enumerate(several):
+                out[k, rows] = self.forward(self.weighed(chars, cells, weights), len(rows), length)[-1]
+        return out + np.array([[w.stop] for w in several])
 
-    def alone(self, word: str) -> tuple[list[float], list[list[tuple[int, float, list[int]]]]]:
+    def alone(self, word: str, weights: Weights) -> tuple[list[float], list[list[tuple[int, float, list[int]]]]]:
         """Forward logs of one word, and for each end the arcs (start, log weight, pieces)."""
-        logs, number = self.weights.logs, self.number
+        logs, number = weights.logs, self.number
         arcs: list[list[tuple[int, float, list[int]]]] = [[] for _ in range(len(word) + 1)]
         for i in range(len(word)):
             if word[i] not in number:
-                weight, ids = self.fallback(ord(word[i]))
+                weight, ids = self.fallback(ord(word[i]), weights)
                 arcs[i + 1].append((i, weight, ids))
             for j in range(i + 1, min(len(word), i + self.longest) + 1):
                 piece = word[i:j]
@@ -190,32 +202,32 @@ class Lattice:
             alpha[j] = float(np.logaddexp.reduce([alpha[i] + w for i, w, _ in arcs[j]])) if arcs[j] else -math.inf
         return alpha, arcs
 
-    def expected(self, words: list[str]) -> np.ndarray:
+    def expected(self, words: list[str], weights: Weights) -> np.ndarray:
         """Expected number of uses of each piece over all segmentations of ``words``."""
-        counts = np.zeros(len(self.weights.names))
+        counts = np.zeros(self.size)
         for length, rows in self.grouped(words):
             if length > ARRAY_LENGTH:
-                for k in rows:
-                    self._expected_alone(MARK + words[k], counts)
+                for r in rows:
+                    self._expected_alone(MARK + words[r], weights, counts)
                 continue
-            chars, cells = self.cells([MARK + words[k] for k in rows])
-            alpha = self.forward(cells, len(rows), length)
+            chars, cells = self.cells([MARK + words[r] for r in rows])
+            logs = self.weighed(chars, cells, weights)
+            alpha = self.forward(logs, len(rows), length)
             beta = np.full((length + 1, len(rows)), -np.inf)
             beta[length] = 0.0
-            for (i, j), (numbers, logs) in sorted(cells.items(), key=lambda c: -c[0][1]):
-                beta[i] = np.logaddexp(beta[i], logs + beta[j])
-            total = alpha[-1]
-            for (i, j), (numbers, logs) in cells.items():
-                share = np.exp(alpha[i] + logs + beta[j] - total)
+            for i, j in sorted(cells, key=lambda c: -c[0]):
+                beta[i] = np.logaddexp(beta[i], logs[i, j] + beta[j])
+            for (i, j), numbers in cells.items():
+                share = np.exp(alpha[i] + logs[i, j] + beta[j] - alpha[-1])
                 known = numbers >= 0
-                counts += np.bincount(numbers[known], share[known], minlength=len(counts))
+                counts += np.bincount(numbers[known], share[known], minlength=self.size)
                 if j == i + 1:
-                    for k in np.flatnonzero(~known):
-                        counts[self.fallback(int(chars[k, i]))[1]] += share[k]
+                    for r in np.flatnonzero(~known):
+                        counts[self.fallback(int(chars[r, i]), weights)[1]] += share[r]
         return counts
 
-    def _expected_alone(self, word: str, counts: np.ndarray) -> None:
-        alpha, arcs = self.alone(word)
+    def _expected_alone(self, word: str, weights: Weights, counts: np.ndarray) -> None:
+        alpha, arcs = self.alone(word, weights)
         beta = [-math.inf] * len(word) + [0.0]
         for j in range(len(word), 0, -1):
             for i, weight, ids in arcs[j]:
@@ -230,112 +242,201 @@ def tokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def chunked(docs: DataFrame, folds: int, chunk_bytes: int) -> DataFrame:
-    """(chunk, doc_id, held_out, data), in so many chunks as the size of all texts asks for."""
+@dataclass
+class Counts:
+    """Of one class's training texts, or of all."""
+
+    texts: int
+    tokens: int  # without ends
+    types: int
+    once: int
+    twice: int
+
+    @property
+    def discount(self) -> float:
+        return self.once / (self.once + 2 * self.twice) if self.twice else 0.5
+
+    @property
+    def size(self) -> int:
+        return self.tokens + self.texts
+
+    @property
+    def remainder(self) -> float:
+        """Mass of the words that the discounted counts leave, a little for an empty class too."""
+        return (self.discount * self.types + 0.5) / (self.size + 1)
+
+    @property
+    def end(self) -> float:
+        return (self.texts + 0.5) / (self.size + 1)
+
+
+def chunked(docs: DataFrame, folds: int, chunk_bytes: int, class_column: str | None) -> tuple[DataFrame, list[int]]:
+    """(chunk, doc_id, held_out, data, class) and the number of training texts of each class.
+
+    As many chunks as the size of all texts asks for.
+    """
     size = docs.agg(F.sum(F.octet_length(text_bytes()))).first()[0] or 0
     n = max(1, math.ceil(size / chunk_bytes))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("data"))
+    name = F.col(f"`{class_column}`").cast("string") if class_column else F.lit("all")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("data"), name.alias("name"))
     keyed = keyed.withColumn("held_out", held_out(folds))
-    return keyed.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "data"), F.lit(n)).cast("int"))
+    found = keyed.where("not held_out").groupBy("name").count()
+    # At most CLASSES names reach the driver.
+    top = found.where("name is not null").orderBy(F.desc("count"), "name").limit(CLASSES - 1).collect()
+    names, texts = [r["name"] for r in top], [r["count"] for r in top]
+    texts.append((found.agg(F.sum("count")).first()[0] or 0) - sum(texts))
+    number = F.lit(len(names))
+    for k, value in enumerate(names):
+        number = F.when(F.col("name") == value, k).otherwise(number)
+    keyed = keyed.withColumn("class", number.cast("int")).drop("name")
+    return keyed.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "data"), F.lit(n)).cast("int")), texts
+
+
+def counted(n_classes: int) -> list[str]:
+    return [f"n{k}" for k in range(n_classes)]
 
 
-def chunk_words(keyed: DataFrame) -> DataFrame:
-    """(chunk, word, n): each chunk's distinct words with their number in training texts."""
+def chunk_words(keyed: DataFrame, n_classes: int) -> DataFrame:
+    """(chunk, word, n0, n1, ...): each chunk's distinct words with their number in each class's training texts."""
+    names = counted(n_classes)
+
     def run(batches):
-        trained: dict[int, Counter] = defaultdict(Counter)
+        seen: dict[int, list[Counter]] = defaultdict(lambda: [Counter() for _ in range(n_classes + 1)])
         for batch in batches:
-            for chunk, held, data in zip(batch["chunk"].to_pylist(), batch["held_out"].to_pylist(), batch["data"].to_pylist()):
+            columns = [batch[c].to_pylist() for c in ("chunk", "held_out", "class", "data")]
+            for chunk, held, number, data in zip(*columns):
                 if held:
-                    trained[chunk].update(dict.fromkeys(tokens(data), 0))
+                    seen[chunk][n_classes].update(dict.fromkeys(tokens(data), 0))
                 else:
-                    trained[chunk].update(tokens(data))
-        for chunk, counts in trained.items():
-            words = pa.array(list(counts), pa.binary()).cast(pa.string())
-            numbers = pa.array(list(counts.values()), pa.int64())
+                    seen[chunk][number].update(tokens(data))
+        for chunk in list(seen):
+            counters = seen.pop(chunk)
+            words = list(set().union(*counters))
             for part in range(0, len(words), 50_000):
                 some = words[part:part + 50_000]
+                numbers = [pa.array([c.get(w, 0) for w in some], pa.int64()) for c in counters[:n_classes]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * len(some), pa.int32()), some, numbers[part:part + 50_000]], names=["chunk", "word", "n"]
+                    [pa.array([chunk] * len(some), pa.int32()), pa.array(some, pa.binary()).cast(pa.string()), *numbers],
+                    names=["chunk", "word", *names],
                 )
 
-    return keyed.repartition("chunk").mapInArrow(run, "chunk int, word string, n long")
+    schema = "chunk int, word string, " + ", ".join(f"{n} long" for n in names)
+    return keyed.repartition("chunk").mapInArrow(run, schema)
+
 
+def piece_counts(words: DataFrame, several: list[Weights]) -> np.ndarray:
+    """Expected piece counts over the words of each class; one row per class and piece reaches the driver."""
+    names = counted(len(several))
 
-def piece_counts(words: DataFrame, weights: Weights) -> np.ndarray:
-    """Expected piece counts over all ``words`` (word); one row per piece reaches the driver."""
     def run(batches):
-        lattice, counts = Lattice(weights), np.zeros(len(weights.names))
+        lattice, counts = Lattice(several[0].names), np.zeros((len(several), len(several[0].names)))
         for batch in batches:
-            counts += lattice.expected(batch["word"].to_pylist())
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], names=["piece", "n"])
-
-    found = words.select("word").mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
-    counts = np.zeros(len(weights.names))
-    for row in found.collect():
-        counts[row["piece"]] = row["n"]
+            words = batch["word"].to_pylist()
+            for k, weights in enumerate(several):
+                own = np.flatnonzero(batch[names[k]].to_numpy())
+                counts[k] += lattice.expected([words[r] for r in own], weights)
+        kind, piece = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(kind.astype(np.int32)), pa.array(piece.astype(np.int32)), pa.array(counts[kind, piece])],
+            names=["class", "piece", "n"],
+        )
+
+    found = words.select("word", *names).mapInArrow(run, "class int, piece int, n double")
+    counts = np.zeros((len(several), len(several[0].names)))
+    for row in found.groupBy("class", "piece").agg(F.sum("n").alias("n")).collect():
+        counts[row["class"], row["piece"]] = row["n"]
     return counts
 
 
-def word_logs(words: DataFrame, weights: Weights) -> DataFrame:
-    """(word, c, sub): ``words`` (word, c) with the log10 of their lattice probability."""
+def word_logs(words: DataFrame, several: list[Weights], classes: list[Counts], tokens_of_all: int) -> DataFrame:
+    """(word, c, p0, p1, ...): the count of each of ``words`` and its log10 probability in each class."""
+    names, n = counted(len(several)), len(several)
+    background = BACKGROUND if tokens_of_all else 0.0
+
     def run(batches):
-        lattice = Lattice(weights)
+        lattice = Lattice(several[0].names)
         for batch in batches:
-            logs = lattice.log_marginals(batch["word"].to_pylist()) / math.log(10)
-            yield pa.RecordBatch.from_arrays([batch["word"], batch["c"], pa.array(logs)], names=["word", "c", "sub"])
-
-    return words.select("word", "c").mapInArrow(run, "word string, c long, sub double")
-
-
-def score(docs: DataFrame, vocabulary: str, folds: int = FOLDS, iterations: int = ITERATIONS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Scores of every row of ``docs`` (doc_id, text, anything else).
+            counts = np.stack([batch[c].to_numpy() for c in names]).astype(float)
+            logs = lattice.log_marginals(batch["word"].to_pylist(), several) / math.log(10)
+            total = counts.sum(axis=0)
+            out = []
+            for k, own in enumerate(classes):
+                rest = own.remainder * (1 - background)
+                direct = np.maximum(counts[k] - own.discount, 0) / (own.size + 1)
+                direct += own.remainder * background * total / max(1, tokens_of_all)
+                with np.errstate(divide="ignore"):
+                    # The sum of both in logs: the lattice's part may be too small for a double.
+                    out.append(np.logaddexp(np.log(direct), (logs[k] + math.log10(rest)) * math.log(10)) / math.log(10))
+            yield pa.RecordBatch.from_arrays(
+                [batch["word"], pa.array(total.astype(np.int64)), *[pa.array(p.astype(np.float32)) for p in out]],
+                names=["word", "c", *[f"p{k}" for k in range(n)]],
+            )
+
+    return words.mapInArrow(run, "word string, c long, " + ", ".join(f"p{k} float" for k in range(n)))
+
+
+def score(
+    docs: DataFrame,
+    vocabulary: str,
+    folds: int = FOLDS,
+    iterations: int = ITERATIONS,
+    chunk_bytes: int = CHUNK_BYTES,
+    class_column: str | None = None,
+) -> DataFrame:
+    """Scores of every row of ``docs`` (doc_id, text, perhaps ``class_column``, anything else).
 
     Returns doc_id, held_out, n_tokens (the end included), n_known (tokens seen in
     training), train_tokens, base_score and score (log10 probabilities). Nothing is
     learned from held-out rows. Null texts count as empty: their only token is the
     end. Repeated rows are scored, and counted, each. Without training rows the
-    lattice of the vocabulary's own scores decides alone. An empty table gives an
-    empty one.
+    lattice of the vocabulary's own scores decides alone. A text's own class is never
+    looked at when it is scored. An empty table gives an empty one.
     """
-    keyed = chunked(docs, folds, chunk_bytes)
-    asked = stored(chunk_words(keyed))
-    words = stored(asked.groupBy("word").agg(F.sum("n").alias("c")))
-    n_ends = keyed.where(~F.col("held_out")).count()
-    totals = words.where("c > 0").agg(
-        F.count("*").alias("types"), F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"),
-        F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice"),
-    ).first()
-    n, types = totals["tokens"] + n_ends, totals["types"]
-    discount = totals["once"] / (totals["once"] + 2 * totals["twice"]) if totals["twice"] else 0.5
-    weights = start_weights(vocabulary)
-    if types:
-        for _ in range(iterations):
-            counts = piece_counts(words.where("c > 0"), weights)
-            weights = normalised(weights.names, counts + SMOOTHING, float(types))
-    scale = math.log10(n + BASE_ADDED * (types + (n_ends > 0) + 1))
-    rest = (discount * types + 0.5) / (n + 1)
-    end_base = math.log10(n_ends + BASE_ADDED) - scale
-    end_score = math.log10((n_ends + 0.5) / (n + 1))
-    lexicon = asked.select("chunk", "word").join(word_logs(words, weights), "word")
+    keyed, texts = chunked(docs, folds, chunk_bytes, class_column)
+    names = counted(len(texts))
+    asked = stored(chunk_words(keyed, len(texts)))
+    words = stored(asked.groupBy("word").agg(*[F.sum(n).alias(n) for n in names]))
+    total = sum((F.col(n) for n in names), F.lit(0))
+    found = words.agg(*[
+        f.alias(f"{what}_{n}") for n, c in [*((n, F.col(n)) for n in names), ("all", total)]
+        for what, f in (("tokens", F.coalesce(F.sum(c), F.lit(0))), ("types", F.count_if(c > 0)),
+                        ("once", F.count_if(c == 1)), ("twice", F.count_if(c == 2)))
+    ]).first()
+    classes = [
+        Counts(t, *(found[f"{what}_{n}"] for what in ("tokens", "types", "once", "twice")))
+        for n, t in [*zip(names, texts), ("all", sum(texts))]
+    ]
+    whole = classes.pop()
+    several = [start_weights(vocabulary)] * len(classes)
+    for _ in range(iterations if whole.types else 0):
+        counts = piece_counts(words.where(total > 0), several)
+        several = [
+            normalised(w.names, c + SMOOTHING, float(own.types)) if own.types else w
+            for w, c, own in zip(several, counts, classes)
+        ]
+    scale = math.log10(whole.size + BASE_ADDED * (whole.types + (whole.texts > 0) + 1))
+    end_base = math.log10(whole.texts + BASE_ADDED) - scale
+    ends = np.array([math.log10(own.end) for own in classes])
+    priors = np.log10([(own.texts + 0.5) / (whole.texts + 0.5 * len(classes)) for own in classes])
+    lexicon = asked.select("chunk", "word").join(word_logs(words, several, classes, whole.tokens), "word")
 
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
         index = {w: k for k, w in enumerate(known["word"].cast(pa.binary()).to_pylist())}
         c = known["c"].to_numpy().astype(float)
         base = np.log10(c + BASE_ADDED) - scale
-        own = np.log10(np.maximum(c - discount, 0) / (n + 1) + rest * np.power(10.0, known["sub"].to_numpy())) if len(c) else c
-        # Where the lattice underflows, the sum is its own logarithm.
-        if len(c):
-            own = np.where(np.isfinite(own), own, math.log10(rest) + known["sub"].to_numpy())
+        own = np.stack([known[f"p{k}"].to_numpy() for k in range(len(ends))], axis=1).astype(float)
         rows = []
         for data in texts["data"].to_pylist():
             at = np.array([index[w] for w in tokens(data)], np.int64)
-            rows.append((len(at) + 1, int((c[at] > 0).sum()) + (n_ends > 0), base[at].sum() + end_base, own[at].sum() + end_score))
+            sums = own[at].sum(axis=0) + ends + priors
+            top = sums.max()
+            value = top + math.log10(np.power(10.0, sums - top).sum())
+            rows.append((len(at) + 1, int((c[at] > 0).sum()) + (whole.texts > 0), base[at].sum() + end_base, value))
         columns = list(zip(*rows)) or [[], [], [], []]
         return pa.table({
             "doc_id": texts["doc_id"], "held_out": texts["held_out"],
             "n_tokens": pa.array(columns[0], pa.int64()), "n_known": pa.array(columns[1], pa.int64()),
-            "train_tokens": pa.array([n] * len(rows), pa.int64()),
+            "train_tokens": pa.array([whole.size] * len(rows), pa.int64()),
             "base_score": pa.array(columns[2], pa.float64()), "score": pa.array(columns[3], pa.float64()),
         })
 

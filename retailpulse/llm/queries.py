@@ -80,5 +80,5 @@ def op7_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_lattice_likelihood")
 def op2_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lattice_lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return lattice_lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"), class_column="lang")
