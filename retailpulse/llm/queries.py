@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpulse.llm import lattice_lm, piece_transducer, secrets, simhash_pivots, toxicity, url_filter, wavelet
+from retailpulse.llm import lattice_lm, line_chunks, piece_transducer, secrets, simhash_pivots, toxicity, url_filter, wavelet
 from retailpulse.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,14 @@ def op7_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return lattice_lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"), class_column="lang")
+
+
+@query("op5_line_chunks")
+def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines taken out, and size and checksum of the text left."""
+    found = line_chunks.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    left = F.coalesce("text", F.lit(""))
+    return found.select(
+        "doc_id", "n_removed", F.length(left).cast("long").alias("chars_left"),
+        F.crc32(left.cast("binary")).alias("text_crc32"),
+    )
