@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpulse.llm import lattice_lm, line_chunks, piece_transducer, secrets, simhash_pivots, toxicity, url_filter, wavelet
+from retailpulse.llm import decontamination, lattice_lm, line_chunks, piece_transducer, secrets, simhash_pivots, toxicity, url_filter, wavelet
 from retailpulse.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,14 @@ def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_removed", F.length(left).cast("long").alias("chars_left"),
         F.crc32(left.cast("binary")).alias("text_crc32"),
     )
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: whether it repeats a benchmark item, how many, and which."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.judged(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"),
+        F.array_join(F.col("items").cast("array<string>"), ",").alias("items"),
+    )
