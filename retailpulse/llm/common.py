@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,3 +63,11 @@ def slices(texts: list[str], chars: int = 2_000_000) -> Iterator[list[str]]:
             some, held = [], 0
     if some:
         yield some
+
+
+def once_per_worker(key: tuple, make: Callable):
+    """What ``make`` returns, kept for later tasks of the same Python worker."""
+    kept = sys.modules.setdefault("_retailpulse_worker", types.ModuleType("_retailpulse_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

@@ -22,6 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+from retailpulse.llm.common import once_per_worker, slices
+from retailpulse.llm.lattice_lm import Lattice
+
 MARK = "▁"
 
 
@@ -63,6 +66,15 @@ class Transducer:
         self.packed = {p: np.array([i], "<i4").tobytes() for p, (i, _) in self.pieces.items()}
         self.accepted: dict[str, dict[str, bool]] = {}
         self.decided = 0
+        # For whole arrays of chunks: the lattice over piece numbers, and the decided pairs in order.
+        self.names = list(self.pieces)
+        self.characters = {c for c in self.pieces if len(c) == 1} - {MARK} | {" "}
+        self.ids = np.array([self.pieces[p][0] for p in self.names], "<i4")
+        self.lengths = np.array(list(map(len, self.names)))
+        self.in_arrays = self.by_merges and all(c in self.pieces for p in self.pieces for c in p)
+        self.lattice = Lattice(self.names) if self.in_arrays else None
+        self.pairs = np.array([np.iinfo(np.int64).max])
+        self.fitting = np.array([False])
         self.steps: dict[str, list[tuple[float, str, str]] | None] = {}
         self.known: dict[str, bytes] = {}
 
@@ -179,6 +191,63 @@ class Transducer:
             end -= len(last[end])
         return path[::-1]
 
+    def _fit(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``accepts`` of pairs of piece numbers; the left one is -1 at the start of a chunk."""
+        keys = (left.astype(np.int64) + 1) * len(self.names) + right
+        at = np.searchsorted(self.pairs, keys)
+        new = np.unique(keys[self.pairs[at] != keys])
+        if len(new):
+            if len(self.pairs) > 10 * self.REMEMBERED:
+                self.pairs, self.fitting = self.pairs[-1:], self.fitting[-1:]
+                new = np.unique(keys)
+            found = []
+            for key in new.tolist():
+                before, piece = key // len(self.names) - 1, self.names[key % len(self.names)]
+                alone = self.steps_of(piece) is not None
+                found.append(alone and (before < 0 or self.accepts(self.names[before], piece)))
+            order = np.searchsorted(self.pairs, new)
+            self.pairs, self.fitting = np.insert(self.pairs, order, new), np.insert(self.fitting, order, found)
+            at = np.searchsorted(self.pairs, keys)
+        return self.fitting[at]
+
+    def _paths(self, chunks: list[str]) -> list[bytes]:
+        """Ids of equally long chunks, all of whose characters are pieces."""
+        n, size = len(chunks), len(chunks[0])
+        cells = self.lattice.cells(chunks)[1]
+        last = np.full((size + 1, n), -2, np.int64)
+        last[0] = -1
+        for end in range(1, size + 1):
+            for start in range(max(0, end - self.longest), end):
+                numbers = cells.get((start, end))
+                if numbers is None:
+                    continue
+                rows = np.flatnonzero((last[end] == -2) & (numbers >= 0) & (last[start] > -2))
+                rows = rows[self._fit(last[start, rows], numbers[rows])]
+                last[end, rows] = numbers[rows]
+        path = np.full((n, size), -1, np.int64)
+        at, column, rows = np.full(n, size), size, np.arange(n)
+        while len(rows):
+            column -= 1
+            path[rows, column] = last[at[rows], rows]
+            at[rows] -= self.lengths[path[rows, column]]
+            rows = rows[at[rows] > 0]
+        used = path >= 0
+        flat, ends = self.ids[path[used]].tobytes(), used.sum(axis=1).cumsum().tolist()
+        return [flat[4 * a:4 * b] for a, b in zip([0, *ends], ends)]
+
+    def learn(self, chunks: list[str]) -> None:
+        """Remember the ids of ``chunks`` (blanks for word marks)."""
+        groups: dict[int, list[str]] = {}
+        for chunk in chunks:
+            if self.in_arrays and len(chunk) <= 64 and self.characters.issuperset(chunk):
+                groups.setdefault(len(chunk), []).append(chunk)
+            else:
+                self.known[chunk] = self.emitted(self.shortest_path(chunk.replace(" ", MARK)))
+        for group in groups.values():
+            for part in range(0, len(group), 5000):
+                some = group[part:part + 5000]
+                self.known.update(zip(some, self._paths([c.replace(" ", MARK) for c in some])))
+
     def emitted(self, path: list[str]) -> bytes:
         """Ids of a path, bytes for characters without a piece."""
         return b"".join([
@@ -189,33 +258,26 @@ class Transducer:
     # Chunks that no piece crosses: blanks with what follows them, and line feeds.
     _CHUNKS = re.compile(r" +[^ \n]*|\n+|[^ \n]+")
 
-    def encode(self, text: str) -> bytes:
-        """Ids of ``text`` as bytes of little-endian signed 32-bit numbers; none for an empty text.
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as bytes of little-endian signed 32-bit numbers; none for an empty text.
 
-        A path through the text is a path through its chunks, for no piece holds a
-        word mark behind another character; unigram or line-feed pieces that would
-        cross a chunk switch the cutting off.
+        A path through a text is a path through its chunks, for no piece holds a word
+        mark behind another character. Vocabularies with pieces across line feeds or
+        without merges are searched text by text.
         """
-        if not text:
-            return b""
-        text = " " + text.replace(MARK, " ")
-        known = self.known
-        if self.by_merges and "\n" not in self.prefixes:
-            chunks = self._CHUNKS.findall(text)
-        else:
-            chunks = [text]
-        if len(known) > self.REMEMBERED:
-            known.clear()
+        whole = not self.by_merges or "\n" in self.prefixes
+        marked = [" " + t.replace(MARK, " ") if t else "" for t in texts]
+        cut = [[t] if whole and t else self._CHUNKS.findall(t) for t in marked]
+        new = set().union(*cut).difference(self.known)
+        if len(self.known) + len(new) > self.REMEMBERED:
+            self.known.clear()
+            new = set().union(*cut)
         if self.decided > 5 * self.REMEMBERED or len(self.steps) > self.REMEMBERED:
             self.decided = 0
             self.accepted.clear()
             self.steps.clear()
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            for chunk in set(chunks).difference(known):
-                known[chunk] = self.emitted(self.shortest_path(chunk.replace(" ", MARK)))
-            return b"".join([known[c] for c in chunks])
+        self.learn(list(new))
+        return [b"".join([self.known[c] for c in chunks]) for chunks in cut]
 
     def decode(self, ids: list[int]) -> str:
         """Text of ``ids``: bytes joined, word marks as blanks, the leading one removed."""
@@ -233,11 +295,13 @@ def encode(docs: DataFrame, model: str, column: str = "text", out: str = "ids")
     schema = StructType([docs.schema[c] for c in kept] + [StructField(out, ArrayType(IntegerType(), False), True)])
 
     def run(batches):
-        machine = Transducer(model)
+        machine = once_per_worker(("transducer", model), lambda: Transducer(model))
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                coded = [machine.encode(t or "") for t in part.column(column).to_pylist()]
+            at = 0
+            for texts in slices([t or "" for t in batch.column(column).to_pylist()]):
+                part = batch.slice(at, len(texts))
+                at += len(texts)
+                coded = machine.encode(texts)
                 ends = np.cumsum([0] + [len(c) // 4 for c in coded])
                 values = pa.array(np.frombuffer(b"".join(coded), "<i4"))
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
@@ -252,7 +316,7 @@ def decode(encoded: DataFrame, model: str, column: str = "ids", out: str = "deco
     schema = StructType([encoded.schema[c] for c in kept]).add(out, "string")
 
     def run(batches):
-        machine = Transducer(model)
+        machine = once_per_worker(("transducer", model), lambda: Transducer(model))
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)

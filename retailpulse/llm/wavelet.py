@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from retailpulse.llm.common import shared_folder, slices
+from retailpulse.llm.common import once_per_worker, shared_folder, slices
 
 MAGIC = b"WMX1"
 HEAD = "<4sBIQ"  # magic, planes, documents, tokens
@@ -209,7 +209,7 @@ def write_shards(
     An empty table writes a folder without shards.
     """
     def run(batches):
-        encoder = Encoder(tokenizer)
+        encoder = once_per_worker(("encoder", tokenizer), lambda: Encoder(tokenizer))
         end = np.array([end_id], "<u4").tobytes()
         part, seq = TaskContext.get().partitionId(), 0
         doc_ids, parts, held = [], [], 0
