@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpulse.llm import decontamination, lattice_lm, line_chunks, piece_transducer, secrets, simhash_pivots, toxicity, url_filter, wavelet
+from retailpulse.llm import cross_polytope, decontamination, lattice_lm, line_chunks, piece_transducer, secrets, simhash_pivots, toxicity, url_filter, wavelet
 from retailpulse.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"),
         F.array_join(F.col("items").cast("array<string>"), ",").alias("items"),
     )
+
+
+@query("op8_cross_polytope")
+def op8_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cross_polytope.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
