@@ -37,7 +37,7 @@ SMOOTHING = 0.02
 BACKGROUND = 0.2
 #: Most classes; the values with fewest training texts, and null, share the last.
 CLASSES = 8
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 24_000_000
 #: Words up to this length go through the recursion in arrays of equal lengths, longer ones alone.
 ARRAY_LENGTH = 64
 FOLDS = 10
@@ -97,18 +97,13 @@ class Lattice:
         with np.errstate(over="ignore"):
             self.powers = np.cumprod(np.full(self.longest + 1, _BASE, np.uint64)) * np.uint64(0xD1B54A32D192ED03)
             hashes = np.array([self._hash(names[k]) for k in text], np.uint64)
-        # Two tables by different bits of the hash; the second takes what collides in the first.
-        self.tables = []
-        left = np.arange(len(text))
-        for shift in (64 - _SLOTS, 64 - 2 * _SLOTS):
-            slots = (hashes[left] >> np.uint64(shift) & np.uint64((1 << _SLOTS) - 1)).astype(np.int64)
-            _, first = np.unique(slots, return_index=True)
-            keys, values = np.zeros(1 << _SLOTS, np.uint64), np.full(1 << _SLOTS, -1, np.int32)
-            keys[slots[first]], values[slots[first]] = hashes[left[first]], np.array(text, np.int32)[left[first]]
-            self.tables.append((np.uint64(shift), keys, values))
-            left = np.delete(left, first)
-        if len(left):
-            raise ValueError("piece hashes collide twice")
+        # A slot names its first piece, a piece the next one of its slot.
+        self.hashes = np.zeros(len(names), np.uint64)
+        self.hashes[text] = hashes
+        self.slot = np.full(1 << _SLOTS, -1, np.int32)
+        self.next = np.full(len(names), -1, np.int32)
+        for k, slot in zip(text, (hashes >> np.uint64(64 - _SLOTS)).tolist()):
+            self.next[k], self.slot[slot] = self.slot[slot], k
         self.fallbacks: dict[int, list[int]] = {}
 
     def _hash(self, piece: str) -> np.uint64:
@@ -134,17 +129,19 @@ class Lattice:
                 for j in range(i + 1, min(length, i + self.longest) + 1):
                     # Appending a character multiplies what is there by the base.
                     value = value * _BASE + wide[:, j - 1] * self.powers[0]
-                    numbers = np.full(len(words), -1, np.int32)
-                    for shift, keys, values in self.tables:
-                        slots = (value >> shift & np.uint64((1 << _SLOTS) - 1)).astype(np.int64)
-                        numbers = np.where(keys[slots] == value, values[slots], numbers)
+                    numbers = self.slot[(value >> np.uint64(64 - _SLOTS)).view(np.int64)]
+                    rows = np.flatnonzero(numbers >= 0)
+                    while len(rows):
+                        rows = rows[self.hashes[numbers[rows]] != value[rows]]
+                        numbers[rows] = self.next[numbers[rows]]
+                        rows = rows[numbers[rows] >= 0]
                     if j == i + 1 or (numbers >= 0).any():
                         found[i, j] = numbers
         return chars, found
 
-    def weighed(self, chars: np.ndarray, cells, weights: Weights):
+    def weighed(self, chars: np.ndarray, cells, weights: Weights, kind=np.float64):
         """{(i, j): log weights} of the cells."""
-        padded = np.append(weights.logs, -np.inf)
+        padded = np.append(weights.logs, -np.inf).astype(kind)
         found = {}
         for (i, j), numbers in cells.items():
             logs = padded[numbers]
@@ -156,7 +153,7 @@ class Lattice:
 
     @staticmethod
     def forward(logs, n: int, length: int) -> np.ndarray:
-        alpha = np.full((length + 1, n), -np.inf)
+        alpha = np.full((length + 1, n), -np.inf, logs[0, 1].dtype)
         alpha[0] = 0.0
         for (i, j), weight in logs.items():
             alpha[j] = np.logaddexp(alpha[j], alpha[i] + weight)
@@ -211,9 +208,10 @@ class Lattice:
                     self._expected_alone(MARK + words[r], weights, counts)
                 continue
             chars, cells = self.cells([MARK + words[r] for r in rows])
-            logs = self.weighed(chars, cells, weights)
+            # Single precision is enough for expected counts.
+            logs = self.weighed(chars, cells, weights, np.float32)
             alpha = self.forward(logs, len(rows), length)
-            beta = np.full((length + 1, len(rows)), -np.inf)
+            beta = np.full((length + 1, len(rows)), -np.inf, np.float32)
             beta[length] = 0.0
             for i, j in sorted(cells, key=lambda c: -c[0]):
                 beta[i] = np.logaddexp(beta[i], logs[i, j] + beta[j])
