@@ -47,6 +47,25 @@ def held_out(folds: int, column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def packed(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """(own_id, own_mark, row): identity of each document and its ``columns`` in one struct.
+
+    Joins need no care for the names of a document's own columns then. Rows equal in
+    id and text have the same identity.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+    return docs.select(F.col("doc_id").cast("long").alias("own_id"), F.xxhash64(text).alias("own_mark"), row)
+
+
 def text_bytes(column: str = "text") -> Column:
     """UTF-8 of a text; null counts as empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")

@@ -18,7 +18,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailpulse.llm.common import stored
+from retailpulse.llm.common import packed, stored
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -166,14 +166,14 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, rad
     return best.select("doc_id", "mark", "item_id", (-F.col("best.start")).alias("start"), F.col("best.similarity").alias("similarity"))
 
 
-def judged(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` with items (array<long>, ascending): the benchmark items each repeats, empty for clean ones.
+def judged(docs: DataFrame, items: DataFrame, out: str = "items", **options) -> DataFrame:
+    """``docs`` with ``out`` (array<long>, ascending): the benchmark items each repeats, empty for clean ones.
 
-    All rows and other columns are kept; a column named items is replaced.
+    All rows and other columns are kept; a column already named ``out`` is replaced.
     """
     found = matches(docs, items, **options).groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set("item_id")).alias("found"))
-    found = found.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_of"), "found")
-    kept = [c for c in docs.columns if c != "items"]
-    own = docs.withColumn("_mark", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = own.join(found, own["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_of")), "left")
-    return joined.select(*[own[f"`{c}`"] for c in kept], F.coalesce("found", F.array().cast("array<long>")).alias("items"))
+    kept = [c for c in docs.columns if c != out]
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_mark") == F.col("mark"))
+    joined = packed(docs, kept).join(found, same, "left")
+    own = [F.col(f"row.`{c}`").alias(c) for c in kept]
+    return joined.select(*own, F.coalesce("found", F.array().cast("array<long>")).alias(out))

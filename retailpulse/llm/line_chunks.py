@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retailpulse.llm.common import stored
+from retailpulse.llm.common import packed, stored
 
 #: A chunk ends where the rolling hash leaves less than CUT_BELOW of CUT_OF.
 CUT_OF, CUT_BELOW = 4, 3
@@ -32,9 +32,9 @@ def rotated(value: str, by: str) -> Column:
 
 
 def marked(docs: DataFrame) -> DataFrame:
-    """``docs`` with _id and _mark; rows equal in both id and text count as one document."""
+    """(_id, _mark, text); rows equal in both id and text count as one document."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumns({"_id": F.col("doc_id").cast("long"), "_mark": F.xxhash64(text)})
+    return docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(text).alias("_mark"), "text")
 
 
 def chunk_lines(docs: DataFrame) -> DataFrame:
@@ -138,22 +138,24 @@ def keep_masks(lines: DataFrame, repeated: DataFrame) -> DataFrame:
     return masks.where("n_removed > 0")
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, anything else) with repeated passages taken out of ``text``, and n_removed (long).
+def without_repeats(docs: DataFrame, out: str = "n_removed") -> DataFrame:
+    """``docs`` (doc_id, text, anything else) with repeated passages taken out of ``text``, and ``out`` (long).
 
-    A passage stays where it comes first (ids ascending, null ids last). Null texts
-    stay null. Rows equal in id and text are one document and change alike. Blank
-    lines repeat too but are not counted. A single repeated line goes only if it has
-    at least ``PASSAGE_WORDS`` words. All rows and other columns are kept; a column
-    n_removed is replaced. An empty table gives an empty one.
+    ``out`` counts the lines taken out. A passage stays where it comes first (ids
+    ascending, null ids last). Null texts stay null. Rows equal in id and text are one
+    document and change alike. Blank lines repeat too but are not counted. A single
+    repeated line goes only if it has at least ``PASSAGE_WORDS`` words. All rows and
+    other columns are kept; a column already named ``out`` is replaced. An empty table
+    gives an empty one.
     """
     lines = stored(chunk_lines(docs))
-    repeated = stored(compared(docs, repeated_segments(lines)))
-    masks = keep_masks(lines, repeated).withColumnsRenamed({"_id": "m_id", "_mark": "m_mark", "n_removed": "m_removed"})
-    kept = [c for c in docs.columns if c != "n_removed"]
-    joined = marked(docs.select(*[F.col(f"`{c}`") for c in kept]))
-    joined = joined.join(masks, F.col("_id").eqNullSafe(F.col("m_id")) & (F.col("_mark") == F.col("m_mark")), "left")
-    rest = F.filter(F.arrays_zip(F.split("text", "\n", -1).alias("line"), F.col("keep").alias("keep")), lambda x: x["keep"])
-    text = F.when(F.col("keep").isNull(), F.col("text")).otherwise(F.array_join(F.transform(rest, lambda x: x["line"]), "\n"))
-    columns = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in kept]
-    return joined.select(*columns, F.coalesce("m_removed", F.lit(0)).cast("long").alias("n_removed"))
+    repeated = stored(compared(docs, stored(repeated_segments(lines))))
+    kept = [c for c in docs.columns if c != out]
+    rows, masks = packed(docs, kept), keep_masks(lines, repeated)
+    joined = rows.join(masks, F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_mark") == F.col("_mark")), "left")
+    split = F.split("row.text", "\n", -1)
+    rest = F.filter(F.arrays_zip(split.alias("line"), F.col("keep").alias("keep")), lambda x: x["keep"])
+    left = F.array_join(F.transform(rest, lambda x: x["line"]), "\n")
+    text = F.when(F.col("keep").isNull(), F.col("row.text")).otherwise(left)
+    columns = [text.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in kept]
+    return joined.select(*columns, F.coalesce("n_removed", F.lit(0)).cast("long").alias(out))

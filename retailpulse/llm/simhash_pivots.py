@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailpulse.llm.common import stored, text_bytes
+from retailpulse.llm.common import packed, stored, text_bytes
 from retailpulse.llm.graph import components
 
 RADIUS = 3
@@ -224,6 +224,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "mark")
     first = near_duplicates(docs).groupBy("root").agg(F.min(order).alias("first"))
     chosen = first.select(F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_of")).distinct()
-    marked = docs.withColumns({"_key": F.col("doc_id").cast("long"), "_mark": F.xxhash64(text_bytes())})
-    same = F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_of"))
-    return marked.join(chosen, same, "left_semi").dropDuplicates(["_key", "_mark"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    same = F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_mark") == F.col("_of"))
+    kept = packed(docs, docs.columns).join(chosen, same, "left_semi").dropDuplicates(["own_id", "own_mark"])
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
