@@ -28,14 +28,39 @@ from retailpulse.llm.lattice_lm import Lattice
 MARK = "▁"
 
 
-class Transducer:
-    #: Encoded chunks and accepted neighbours that are remembered at most.
-    REMEMBERED = 300_000
+class Decoder:
+    """Texts of ids: the transducer read backwards."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        # What each id decodes to; control pieces decode to nothing.
+        self.surface = []
+        for i in range(model.get_piece_size()):
+            piece = model.id_to_piece(i)
+            if model.is_byte(i):
+                self.surface.append(bytes([int(piece[3:5], 16)]))
+            elif model.is_control(i) or model.is_unknown(i):
+                self.surface.append(b"")
+            else:
+                self.surface.append(piece.replace(MARK, " ").encode())
+
+    def decode(self, ids: list[int]) -> str:
+        """Text of ``ids``: bytes joined, word marks as blanks, the leading one removed."""
+        text = b"".join([self.surface[i] for i in ids]).decode("utf-8", "replace")
+        return text[1:] if text.startswith(" ") else text
+
+
+class Transducer(Decoder):
+    #: Encoded chunks of a generation, and accepted neighbours, that are remembered at most.
+    REMEMBERED = 250_000
 
     def __init__(self, path: str):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
+        super().__init__(path)
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         proto = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as file:
@@ -55,12 +80,6 @@ class Transducer:
         byte_ids = {int(model.id_to_piece(i)[3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.byte_ids = [byte_ids[b] for b in range(256)]
         self.byte_weight = 0.0 if self.by_merges else -min(model.get_score(i) for i in self.byte_ids)
-        # What each id decodes to; control pieces decode to nothing.
-        self.surface = [b"" for _ in range(n)]
-        for piece, (i, _) in self.pieces.items():
-            self.surface[i] = piece.replace(MARK, " ").encode()
-        for byte, i in byte_ids.items():
-            self.surface[i] = bytes([byte])
         # Whether a text is a piece (True) or only the start of one (False).
         self.lookup = {p: p in self.pieces for p in self.prefixes}
         self.packed = {p: np.array([i], "<i4").tobytes() for p, (i, _) in self.pieces.items()}
@@ -76,7 +95,9 @@ class Transducer:
         self.pairs = np.array([np.iinfo(np.int64).max])
         self.fitting = np.array([False])
         self.steps: dict[str, list[tuple[float, str, str]] | None] = {}
-        self.known: dict[str, bytes] = {}
+        # Chunks seen lately and before that, with their ids.
+        self.lately: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def history(self, text: str) -> tuple[list[str], list[tuple[float, str, str]]]:
         """Repeated merging of the characters, best score first, then leftmost.
@@ -235,18 +256,20 @@ class Transducer:
         flat, ends = self.ids[path[used]].tobytes(), used.sum(axis=1).cumsum().tolist()
         return [flat[4 * a:4 * b] for a, b in zip([0, *ends], ends)]
 
-    def learn(self, chunks: list[str]) -> None:
-        """Remember the ids of ``chunks`` (blanks for word marks)."""
+    def learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of ``chunks`` (blanks for word marks)."""
+        found: dict[str, bytes] = {}
         groups: dict[int, list[str]] = {}
         for chunk in chunks:
             if self.in_arrays and len(chunk) <= 64 and self.characters.issuperset(chunk):
                 groups.setdefault(len(chunk), []).append(chunk)
             else:
-                self.known[chunk] = self.emitted(self.shortest_path(chunk.replace(" ", MARK)))
+                found[chunk] = self.emitted(self.shortest_path(chunk.replace(" ", MARK)))
         for group in groups.values():
-            for part in range(0, len(group), 5000):
-                some = group[part:part + 5000]
-                self.known.update(zip(some, self._paths([c.replace(" ", MARK) for c in some])))
+            for part in range(0, len(group), 20_000):
+                some = group[part:part + 20_000]
+                found.update(zip(some, self._paths([c.replace(" ", MARK) for c in some])))
+        return found
 
     def emitted(self, path: list[str]) -> bytes:
         """Ids of a path, bytes for characters without a piece."""
@@ -268,21 +291,27 @@ class Transducer:
         whole = not self.by_merges or "\n" in self.prefixes
         marked = [" " + t.replace(MARK, " ") if t else "" for t in texts]
         cut = [[t] if whole and t else self._CHUNKS.findall(t) for t in marked]
-        new = set().union(*cut).difference(self.known)
-        if len(self.known) + len(new) > self.REMEMBERED:
-            self.known.clear()
-            new = set().union(*cut)
+        here = dict.fromkeys(set().union(*cut))
+        new = []
+        for chunk in here:
+            known = self.lately.get(chunk)
+            if known is None:
+                known = self.before.get(chunk)
+                if known is None:
+                    new.append(chunk)
+                    continue
+                self.lately[chunk] = known
+            here[chunk] = known
+        found = self.learn(new)
+        here.update(found)
+        self.lately.update(found)
+        if len(self.lately) > self.REMEMBERED:
+            self.before, self.lately = self.lately, {}
         if self.decided > 5 * self.REMEMBERED or len(self.steps) > self.REMEMBERED:
             self.decided = 0
             self.accepted.clear()
             self.steps.clear()
-        self.learn(list(new))
-        return [b"".join([self.known[c] for c in chunks]) for chunks in cut]
-
-    def decode(self, ids: list[int]) -> str:
-        """Text of ``ids``: bytes joined, word marks as blanks, the leading one removed."""
-        text = b"".join([self.surface[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+        return [b"".join(map(here.__getitem__, chunks)) for chunks in cut]
 
 
 def encode(docs: DataFrame, model: str, column: str = "text", out: str = "ids") -> DataFrame:
@@ -298,7 +327,8 @@ def encode(docs: DataFrame, model: str, column: str = "text", out: str = "ids")
         machine = once_per_worker(("transducer", model), lambda: Transducer(model))
         for batch in batches:
             at = 0
-            for texts in slices([t or "" for t in batch.column(column).to_pylist()]):
+            # Many texts at a time, for long arrays of new chunks.
+            for texts in slices([t or "" for t in batch.column(column).to_pylist()], 5_000_000):
                 part = batch.slice(at, len(texts))
                 at += len(texts)
                 coded = machine.encode(texts)
@@ -316,7 +346,7 @@ def decode(encoded: DataFrame, model: str, column: str = "ids", out: str = "deco
     schema = StructType([encoded.schema[c] for c in kept]).add(out, "string")
 
     def run(batches):
-        machine = once_per_worker(("transducer", model), lambda: Transducer(model))
+        machine = once_per_worker(("decoder", model), lambda: Decoder(model))
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
