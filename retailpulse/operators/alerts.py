@@ -49,7 +49,7 @@ def alert_feed(alerts: DataFrame, limit: int = 15) -> DataFrame:
     """The newest open alerts with their row colour."""
     newest = unresolved(alerts).orderBy(F.desc("detected_at"), F.desc("alert_id")).limit(limit)
     return newest.select(
-        "alert_id", "detected_at", "severity", "alert_type", "entity_id",
+        "alert_id", "detected_at", "severity", "alert_type", "entity_id", "message",
         severity_color(F.col("severity")).alias("color"),
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -89,11 +89,14 @@ def forest_spikes(judged: DataFrame) -> DataFrame:
 def method_by_frame(metrics: DataFrame, frame: list[str], params: AnomalyParams = DEFAULT) -> DataFrame:
     """Which detector each frame gets: too young for the forest means z-score."""
     rows = metrics.groupBy(*frame).agg(F.count("*").alias("n_rows"))
-    return rows.withColumn(
-        "method",
-        F.when(F.col("n_rows") >= params.forest_min_rows, "isolation_forest")
-        .when(F.col("n_rows") >= params.zscore_min_rows, "zscore")
-        .otherwise("none"),
+    return rows.withColumn("method", method_for(F.col("n_rows"), params))
+
+
+def method_for(n_rows: Column, params: AnomalyParams = DEFAULT) -> Column:
+    return (
+        F.when(n_rows >= params.forest_min_rows, "isolation_forest")
+        .when(n_rows >= params.zscore_min_rows, "zscore")
+        .otherwise("none")
     )
 
 

@@ -29,8 +29,12 @@ def date_dimension(spark: SparkSession, as_of: Clock) -> DataFrame:
 def by_calendar(orders: DataFrame, calendar: DataFrame, *by: str) -> DataFrame:
     """Orders and revenue per calendar attribute.
 
-    Orders are summed per day first; one row per day meets the calendar.
+    Only the calendar's days are read. Orders are summed per day first; one row per
+    day meets the calendar.
     """
+    first = calendar.agg(F.min("date").cast("timestamp")).scalar()
+    end = calendar.agg(F.date_add(F.max("date"), 1).cast("timestamp")).scalar()
+    orders = orders.filter((F.col("order_timestamp") >= first) & (F.col("order_timestamp") < end))
     daily = orders.groupBy(F.to_date("order_timestamp").alias("date")).agg(
         F.count("*").alias("orders"), F.sum("total_amount").alias("revenue")
     )

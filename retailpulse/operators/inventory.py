@@ -23,6 +23,20 @@ def apply_sales(products: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def restock_movements(catalog: DataFrame, sold: DataFrame, levels: DataFrame) -> DataFrame:
+    """(product_id, quantity): what to count as sold besides ``sold`` so that the stock becomes that of ``levels``.
+
+    ``sold`` (product_id, quantity) holds all movements so far, ``levels`` (product_id,
+    stock_quantity) the new stock, the largest if a product occurs twice. Products
+    that the catalog lacks are left out.
+    """
+    wanted = levels.groupBy("product_id").agg(F.max("stock_quantity").alias("wanted"))
+    moved = sold.groupBy("product_id").agg(F.sum("quantity").alias("moved"))
+    known = catalog.select("product_id", "stock_quantity").join(wanted, "product_id").join(moved, "product_id", "left")
+    quantity = F.col("stock_quantity") - F.col("wanted") - F.coalesce("moved", F.lit(0))
+    return known.select("product_id", quantity.cast("bigint").alias("quantity"))
+
+
 def sale_movements(products: DataFrame, items: DataFrame, at: Clock | None = None) -> DataFrame:
     """Inventory log rows of one batch of sold items."""
     stock = F.greatest(F.lit(0), F.col("stock_quantity") - F.col("qty")).cast("int")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +28,10 @@ def _sum_where(condition: Column, column: str) -> Column:
     return F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0)).cast("double")
 
 
-def metric_values(sales: DataFrame, products: DataFrame, rules: DataFrame, as_of: Clock) -> DataFrame:
-    """(metric_name, value) of every known metric from one scan of the minutes.
+def metric_values(
+    sales: DataFrame, products: DataFrame, rules: DataFrame, as_of: Clock, names: Iterable[str] | None = None
+) -> DataFrame:
+    """(metric_name, value) of every known metric, or those in ``names``, from one scan of the minutes.
 
     The windows come from the rules, so editing a rule changes its window. The
     scan is limited to twice the longest window.
@@ -54,15 +58,18 @@ def metric_values(sales: DataFrame, products: DataFrame, rules: DataFrame, as_of
     drop = F.when(F.col("prior") <= 0, F.lit(0.0)).otherwise(
         F.greatest((F.col("prior") - F.col("current")) / F.col("prior") * 100.0, F.lit(0.0))
     )
-    low = low_stock(products).agg(F.count("*").cast("double")).scalar()
     values = {
-        "revenue_per_5min": F.col("revenue"),
-        "orders_per_5min": F.col("orders"),
-        "low_stock_count": low,
-        "avg_order_value": F.col("mean_value"),
-        "revenue_drop_pct": drop,
+        "revenue_per_5min": lambda: F.col("revenue"),
+        "orders_per_5min": lambda: F.col("orders"),
+        "low_stock_count": lambda: low_stock(products).agg(F.count("*").cast("double")).scalar(),
+        "avg_order_value": lambda: F.col("mean_value"),
+        "revenue_drop_pct": lambda: drop,
     }
-    pairs = [F.struct(F.lit(name).alias("metric_name"), value.alias("value")) for name, value in values.items()]
+    wanted = values if names is None else set(names)
+    pairs = [
+        F.struct(F.lit(name).alias("metric_name"), value().alias("value"))
+        for name, value in values.items() if name in wanted
+    ]
     return sums.select(F.explode(F.array(*pairs)).alias("m")).select("m.*")
 
 

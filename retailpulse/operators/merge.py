@@ -45,7 +45,15 @@ RESTOCK = {"replace": ["price", "stock_quantity"], "fill": []}
 def merge_catalog(
     target: DataFrame, incoming: DataFrame, rule: dict[str, list[str]] = REFRESH, key: str = "product_id"
 ) -> DataFrame:
-    """Upsert products: unknown keys are inserted whole, known ones by ``rule``."""
+    """Upsert products: unknown keys are inserted whole, known ones by ``rule``.
+
+    Columns that only ``incoming`` has are added, empty for products it does not
+    bring, and taken from it for those it does. Of several incoming rows with one key
+    the one whose text is largest is used; rows without a key are left out.
+    """
+    others = [c for c in incoming.columns if c != key]
+    last = F.max_by(F.struct(*others), F.to_json(F.struct(*others)))
+    incoming = incoming.filter(F.col(key).isNotNull()).groupBy(key).agg(last.alias("_row")).select(key, "_row.*")
     old = target.withColumn("_old", F.lit(True)).alias("old")
     new = incoming.withColumn("_new", F.lit(True)).alias("new")
     both = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
@@ -66,4 +74,5 @@ def merge_catalog(
         elif name in rule["fill"]:
             value = value.when(matched, F.coalesce(kept, given))
         merged.append(value.otherwise(kept).alias(name))
+    merged += [F.col(f"new.{name}").alias(name) for name in others if name not in target.columns]
     return both.select(*merged)

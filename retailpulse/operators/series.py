@@ -16,9 +16,7 @@ from retailpulse.functions.clock import epoch_seconds
 from retailpulse.functions.numbers import exact_mean
 
 DAY = 86_400
-# A day or minute of one key with more rows than this is cut further; rows of
-# one instant are cut by ranges of this many ids.
-CROWDED = 4_000_000
+# Rows of one instant are cut by ranges of this many ids.
 TIE_RANGE = 1_000_000
 
 
@@ -49,41 +47,16 @@ def trailing_window(
     return spread.withColumns(named).filter("_block = _own").drop("_t", "_own", "_block")
 
 
-def _crowded(rows: DataFrame, block: list[str], flag: str) -> DataFrame:
-    """The blocks with more than `CROWDED` rows.
+def _blocks(df: DataFrame, time: str, tie: str) -> DataFrame:
+    """Rows with the block (`_minute`, `_at`, `_slice`) they belong to.
 
-    There are at most (all rows / `CROWDED`) of them, a quarter of a million
-    for a trillion rows, which is what allows to broadcast them.
+    A block is one instant of one key, cut further by ranges of ``tie``; blocks are
+    consecutive in the order of ``time`` then ``tie``. Whatever the size of the data,
+    no busy key and no pile of rows with one timestamp lands in a single task, as
+    long as ``tie`` is a number that tells the rows apart.
     """
-    counted = rows.groupBy(*block).agg(F.count("*").alias("_n")).filter(F.col("_n") > CROWDED)
-    return F.broadcast(counted.select(*block, F.lit(True).alias(flag)))
-
-
-def _blocks(df: DataFrame, keys: list[str], time: str, tie: str) -> DataFrame:
-    """Rows with the block (`_at`, `_slice`) they belong to.
-
-    Blocks are consecutive in the order of ``time`` then ``tie``. A block is
-    one day of one key; a crowded day is cut into minutes; in a crowded minute
-    every instant is a block of its own, cut further by ranges of ``tie``. So
-    neither a busy key nor a pile of rows with one timestamp lands in a single
-    task, as long as ``tie`` is a number that tells the rows apart.
-    """
-    rows = df.withColumns({"_day": F.date_trunc("day", time), "_minute": F.date_trunc("minute", time)})
-    days = _crowded(rows, [*keys, "_day"], "_busy_day")
-    in_busy_days = rows.join(days, [*keys, "_day"])
-    minutes = _crowded(in_busy_days, [*keys, "_minute"], "_busy_minute")
-    at = (
-        F.when(F.col("_busy_minute"), F.col(time))
-        .when(F.col("_busy_day"), F.col("_minute"))
-        .otherwise(F.col("_day"))
-    )
-    part = F.when(F.col("_busy_minute"), F.floor(F.col(tie) / TIE_RANGE)).otherwise(F.lit(0))
-    return (
-        rows.join(days, [*keys, "_day"], "left")
-        .join(minutes, [*keys, "_minute"], "left")
-        .withColumns({"_at": at, "_slice": part})
-        .drop("_day", "_minute", "_busy_day", "_busy_minute")
-    )
+    part = F.floor(F.col(tie) / TIE_RANGE)
+    return df.withColumns({"_minute": F.date_trunc("minute", time), "_at": F.col(time), "_slice": part})
 
 
 def running_sum(
@@ -91,24 +64,25 @@ def running_sum(
 ) -> DataFrame:
     """Sum of ``value`` up to each row, ordered by ``time`` then ``tie``.
 
-    Rows are summed inside their block; what came before it is taken from the
-    blocks' totals, which are few: one per key and day, or minute where a day
-    is crowded, so at most half a million a year and key.
+    Rows are summed inside their block. What came before it is added from the block
+    totals of the same minute and the minute totals, of which a key has at most half
+    a million a year.
     """
-    block = [*keys, "_at", "_slice"]
-    rows = _blocks(df, keys, time, tie)
-    earlier = W.partitionBy(*keys).orderBy("_at", "_slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(*block)
-        .agg(F.sum(value).alias("_sum"))
-        .select(*block, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    inside = W.partitionBy(*block).orderBy(time, tie).rowsBetween(W.unboundedPreceding, 0)
+    block = [*keys, "_minute", "_at", "_slice"]
+    rows = _blocks(df, time, tie)
+    zero = F.lit(0)
+    totals = rows.groupBy(*block).agg(F.sum(value).alias("_sum"))
+    in_minute = W.partitionBy(*keys, "_minute").orderBy("_at", "_slice").rowsBetween(W.unboundedPreceding, -1)
+    totals = totals.select(*block, F.coalesce(F.sum("_sum").over(in_minute), zero).alias("_within"))
+    minutes = df.groupBy(*keys, F.date_trunc("minute", time).alias("_minute")).agg(F.sum(value).alias("_sum"))
+    earlier = W.partitionBy(*keys).orderBy("_minute").rowsBetween(W.unboundedPreceding, -1)
+    minutes = minutes.select(*keys, "_minute", F.coalesce(F.sum("_sum").over(earlier), zero).alias("_before"))
+    inside = W.partitionBy(*block).orderBy(tie).rowsBetween(W.unboundedPreceding, 0)
     return (
         rows.withColumn("_inside", F.sum(value).over(inside))
-        .join(offsets, block)
-        .withColumn(out, F.col("_offset") + F.col("_inside"))
-        .drop("_at", "_slice", "_inside", "_offset")
+        .join(totals.join(minutes, [*keys, "_minute"]), block)
+        .withColumn(out, F.col("_before") + F.col("_within") + F.col("_inside"))
+        .drop("_minute", "_at", "_slice", "_inside", "_within", "_before")
     )
 
 
@@ -117,21 +91,24 @@ def previous_value(
 ) -> DataFrame:
     """``value`` of the preceding row of the same key, by ``time`` then ``tie``.
 
-    The first row of a block takes the last value of the key's block before.
+    The first row of a block takes the last value of the block before in its minute,
+    the first block of a minute that of the key's minute before.
     """
-    block = [*keys, "_at", "_slice"]
-    rows = _blocks(df, keys, time, tie)
-    in_order = W.partitionBy(*keys).orderBy("_at", "_slice")
-    closing = rows.groupBy(*block).agg(
-        F.max_by(value, F.struct(time, tie)).alias("_closing")
-    )
-    carried = closing.select(*block, F.lag("_closing").over(in_order).alias("_carried"))
-    inside = W.partitionBy(*block).orderBy(time, tie)
+    block = [*keys, "_minute", "_at", "_slice"]
+    rows = _blocks(df, time, tie)
+    last = F.max_by(F.struct(F.col(value).alias("v")), F.struct(time, tie))
+    closing = rows.groupBy(*block).agg(last.alias("_closing"))
+    in_minute = W.partitionBy(*keys, "_minute").orderBy("_at", "_slice")
+    closing = closing.select(*block, F.lag("_closing").over(in_minute).alias("_within"))
+    minutes = df.groupBy(*keys, F.date_trunc("minute", time).alias("_minute")).agg(last.alias("_closing"))
+    minutes = minutes.select(*keys, "_minute", F.lag("_closing").over(W.partitionBy(*keys).orderBy("_minute")).alias("_before"))
+    inside = W.partitionBy(*block).orderBy(tie)
+    carried = F.coalesce("_within", "_before")["v"]
     return (
         rows.withColumns({"_prev": F.lag(value).over(inside), "_n": F.row_number().over(inside)})
-        .join(carried, block)
-        .withColumn(out, F.when(F.col("_n") == 1, F.col("_carried")).otherwise(F.col("_prev")))
-        .drop("_at", "_slice", "_prev", "_n", "_carried")
+        .join(closing.join(minutes, [*keys, "_minute"]), block)
+        .withColumn(out, F.when(F.col("_n") == 1, carried).otherwise(F.col("_prev")))
+        .drop("_minute", "_at", "_slice", "_prev", "_n", "_within", "_before")
     )
 
 

@@ -74,33 +74,16 @@ def order_totals(lines: DataFrame) -> DataFrame:
     )
 
 
-def nest_orders(lines: DataFrame, item_columns: list[str], lines_per_document: int = 5000) -> DataFrame:
-    """Assemble order documents with an ``items`` array.
-
-    An order of ordinary size gives one document. A huge order is dealt out
-    over ``parts`` documents of about ``lines_per_document`` items, each
-    carrying the order's totals, so no single row or task has to hold all
-    lines of one order. Equal lines are counted before the shuffle and only
-    repeated inside the final arrays.
+def nest_orders(lines: DataFrame, item_columns: list[str]) -> DataFrame:
+    """One document per order, with its totals and an ``items`` array; one scan, one shuffle.
+
+    A document holds all lines of its order, so its size is that of the order.
     """
-    copies = with_line_total(lines).groupBy("order_id", *item_columns, "line_total").agg(
-        F.count("*").alias("copies")
-    )
-    size = F.lit(lines_per_document)
-    blocks = copies.withColumn(
-        "block", F.explode(F.sequence(F.lit(1).cast("bigint"), F.ceil(F.col("copies") / size)))
-    ).withColumn("times", F.least(size, F.col("copies") - (F.col("block") - 1) * size).cast("int"))
-    totals = order_totals(lines).withColumn("parts", F.ceil(F.col("n_lines") / size))
-    placed = blocks.join(totals, "order_id").withColumn(
-        "part", F.pmod(F.xxhash64(*item_columns, "block"), F.col("parts"))
-    )
-    # Without this shuffle the join's partitioning by order would be kept and
-    # bring all parts of a huge order back into one task.
-    placed = placed.repartition("order_id", "part")
     item = F.struct(*item_columns, "line_total")
-    repeated = F.flatten(F.collect_list(F.array_repeat(item, F.col("times"))))
-    return placed.groupBy("order_id", "total_amount", "item_count", "parts", "part").agg(
-        F.sort_array(repeated).alias("items")
+    return with_line_total(lines).groupBy("order_id").agg(
+        F.sum("line_total").cast("decimal(12,2)").alias("total_amount"),
+        F.sum("quantity").cast("int").alias("item_count"),
+        F.sort_array(F.collect_list(item)).alias("items"),
     )
 
 

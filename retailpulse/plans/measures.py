@@ -37,12 +37,20 @@ class Formula:
     value: Callable[[dict[str, Column]], Column]
 
 
-def _since(column: str, n_minutes: int) -> Callable[[Clock], Column]:
-    return lambda as_of: F.col(column) >= before(as_of, n_minutes)
+@dataclass(frozen=True)
+class Span:
+    """The rows from ``start`` to before ``end`` minutes ago; without ``end`` up to now."""
+
+    column: str
+    start: int
+    end: int | None = None
 
+    def __call__(self, as_of: Clock) -> Column:
+        inside = F.col(self.column) >= before(as_of, self.start)
+        return inside if self.end is None else inside & (F.col(self.column) < before(as_of, self.end))
 
-def _between(column: str, start: int, end: int) -> Callable[[Clock], Column]:
-    return lambda as_of: (F.col(column) >= before(as_of, start)) & (F.col(column) < before(as_of, end))
+
+_since = _between = Span
 
 
 def _today(as_of: Clock) -> Column:
@@ -156,7 +164,10 @@ def _one_table(table: DataFrame, wanted: dict[str, Base], by: list[str], as_of:
     if not distinct:
         return table.groupBy(*by).agg(*[_plain(m, as_of).alias(n) for n, m in wanted.items()])
 
-    ident = next(iter(distinct.values())).value()
+    idents = {str(m.value()): m.value() for m in distinct.values()}
+    if len(idents) > 1:
+        raise ValueError(f"distinct counts of one table over several columns: {sorted(idents)}")
+    (ident,) = idents.values()
     first, second = [], []
     for name, m in wanted.items():
         if m.kind == "distinct":
@@ -215,3 +226,15 @@ def star_model(
         "sales_metrics": sales_metrics,
         "alerts": alerts,
     }
+
+
+def lookback_minutes(table: str, names: Iterable[str] = tuple(MEASURES)) -> int:
+    """How far back the measures ``names`` look over the rows of ``table``."""
+    furthest = 0
+    for name in names:
+        measure = MEASURES[name]
+        if isinstance(measure, Formula):
+            furthest = max(furthest, lookback_minutes(table, measure.needs))
+        elif measure.table == table and isinstance(measure.where, Span):
+            furthest = max(furthest, measure.where.start)
+    return furthest

@@ -123,7 +123,11 @@ SELECT event_id AS alert_id,
             ELSE CASE event_id % 5 WHEN 0 THEN 'revenue_per_5min' WHEN 1 THEN 'orders_per_5min'
                  WHEN 2 THEN 'low_stock_count' WHEN 3 THEN 'avg_order_value' ELSE 'revenue_drop_pct' END
             END AS entity_id,
-       CAST(value AS DECIMAL(14,4)) AS detected_value, ts AS detected_at, event_id % 3 = 0 AS resolved
+       'event ' || event_id || ' of user ' || user_id AS message,
+       CAST(value AS DECIMAL(14,4)) AS detected_value,
+       CASE WHEN event_type = 'signup' THEN CAST(CAST(json_extract_string(props, '$.k') AS INT) AS DECIMAL(14,4)) END AS expected_low,
+       CASE WHEN event_type = 'signup' THEN CAST(2 * CAST(json_extract_string(props, '$.k') AS INT) AS DECIMAL(14,4)) END AS expected_high,
+       ts AS detected_at, event_id % 3 = 0 AS resolved
 FROM events WHERE event_type IN ('error', 'signup', 'click')""",
     "fx_lines": """
 SELECT CAST(l_orderkey AS STRING) AS order_id, CAST(l_partkey AS INT) AS product_id,

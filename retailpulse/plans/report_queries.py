@@ -279,6 +279,6 @@ def _(t):
     return tq._heatmap(t)
 
 
-@query("v15_alert_log", sq._LOG)
+@query("v15_alert_log", f"{sq._LOG} WHERE alert_type = 'REVENUE_SPIKE'")
 def _(t):
-    return al.alert_log(t.alerts)
+    return al.alert_log(t.alerts, "REVENUE_SPIKE")

@@ -119,7 +119,7 @@ def _(t):
 
 
 _FEED = """
-SELECT alert_id, detected_at, severity, alert_type, entity_id,
+SELECT alert_id, detected_at, severity, alert_type, entity_id, message,
        CASE severity WHEN 'CRITICAL' THEN '#C0392B' WHEN 'HIGH' THEN '#E67E22' WHEN 'WARNING' THEN '#F1C40F'
             ELSE '#BDC3C7' END AS color
 FROM fx_alerts WHERE NOT resolved ORDER BY detected_at DESC, alert_id DESC LIMIT 15"""
@@ -131,8 +131,8 @@ def _(t):
 
 
 _LOG = """
-SELECT alert_id, alert_type, severity, entity_type, entity_id, CAST(detected_value AS DOUBLE) AS detected_value,
-       detected_at, resolved,
+SELECT alert_id, alert_type, severity, entity_type, entity_id, message, CAST(detected_value AS DOUBLE) AS detected_value,
+       CAST(expected_low AS DOUBLE) AS expected_low, CAST(expected_high AS DOUBLE) AS expected_high, detected_at, resolved,
        CASE severity WHEN 'CRITICAL' THEN '#C0392B' WHEN 'HIGH' THEN '#E67E22' WHEN 'WARNING' THEN '#F1C40F'
             ELSE '#BDC3C7' END AS color
 FROM fx_alerts"""
@@ -219,7 +219,8 @@ def _(t):
 @query("t11_ingestion_lag", """
 SELECT date_trunc('month', o_orderdate) AS month, count(*) AS n_events,
        floor(avg(epoch_ms(l_shipdate) - epoch_ms(o_orderdate)) * 1000 + 0.5) / 1000 AS avg_lag_ms,
-       max(epoch_ms(l_shipdate) - epoch_ms(o_orderdate)) AS max_lag_ms
+       max(epoch_ms(l_shipdate) - epoch_ms(o_orderdate)) AS max_lag_ms,
+       quantile_disc(epoch_ms(l_shipdate) - epoch_ms(o_orderdate), 0.95) AS p95_lag_ms
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
 def _(t):
     ordered = t.raw("orders").select("o_orderkey", "o_orderdate")
@@ -228,7 +229,7 @@ def _(t):
     lag = metrics.ingestion_lag(
         joined, "o_orderdate", "l_shipdate", F.date_trunc("month", "o_orderdate").alias("month")
     )
-    return _rounded(lag.drop("p95_lag_ms"), 3, "avg_lag_ms")
+    return _rounded(lag, 3, "avg_lag_ms")
 
 
 # --- anomaly detection -----------------------------------------------------------
@@ -282,10 +283,9 @@ SELECT frame, n_rows, CASE WHEN n_rows >= 15 THEN 'isolation_forest' WHEN n_rows
 FROM judged""")
 def _(t):
     framed = t.sales_metrics.withColumn("frame", F.date_trunc("hour", "window_start"))
-    methods = anomaly.method_by_frame(framed, ["frame"])
-    scores = anomaly.zscore_by_frame(framed, ["frame"]).select("frame", "z")
+    scores = anomaly.zscore_by_frame(framed, ["frame"])
     cold = F.when(F.col("n_rows") < 15, round_half_up(F.col("z"), 3))
-    return methods.join(scores, "frame").withColumn("z", cold)
+    return scores.select("frame", "n_rows", anomaly.method_for(F.col("n_rows")).alias("method"), cold.alias("z"))
 
 
 @query("d4_spike_alerts", """
@@ -306,9 +306,9 @@ def _(t):
 
 # --- KPI rules -----------------------------------------------------------------------
 
-def _values(t, rules):
+def _values(t, rules, names=None):
     recent = metrics.recent_minute_sales(t.orders, t.now, kpi.lookback_minutes(rules))
-    return kpi.metric_values(recent, t.stock, rules, t.now)
+    return kpi.metric_values(recent, t.stock, rules, t.now, names)
 
 
 def _judged(t, rules=None):
@@ -320,8 +320,7 @@ def _metric(name):
     sql = f"SELECT metric_name, floor(value * 10000 + 0.5) / 10000 AS value FROM fx_metric_values WHERE metric_name = '{name}'"
 
     def run(t):
-        values = _values(t, t.rules)
-        return _rounded(values.filter(F.col("metric_name") == name), 4, "value")
+        return _rounded(_values(t, t.rules, [name]), 4, "value")
 
     return sql, run
 
@@ -364,19 +363,24 @@ def _(t):
     )
 
 
-@query("k8_rule_severity", """
-SELECT window_start, metric_name,
-       CASE WHEN value < CAST(critical_threshold AS DOUBLE) THEN 'CRITICAL'
-            WHEN value < CAST(warning_threshold AS DOUBLE) THEN 'WARNING' END AS severity,
-       CASE WHEN value < CAST(critical_threshold AS DOUBLE) THEN CAST(critical_threshold AS DOUBLE)
-            WHEN value < CAST(warning_threshold AS DOUBLE) THEN CAST(warning_threshold AS DOUBLE) END AS threshold_used
+def _hit(threshold):
+    return (f"CASE op WHEN '<' THEN value < {threshold} WHEN '<=' THEN value <= {threshold} "
+            f"WHEN '>' THEN value > {threshold} WHEN '>=' THEN value >= {threshold} ELSE value = {threshold} END")
+
+
+@query("k8_rule_severity", f"""
+SELECT window_start, metric_name, op AS comparison_operator,
+       CASE WHEN {_hit("critical")} THEN 'CRITICAL' WHEN {_hit("warning")} THEN 'WARNING' END AS severity,
+       CASE WHEN {_hit("critical")} THEN critical WHEN {_hit("warning")} THEN warning END AS threshold_used
 FROM (SELECT window_start, 'revenue_per_5min' AS metric_name, CAST(revenue AS DOUBLE) AS value FROM fx_sales
       UNION ALL SELECT window_start, 'orders_per_5min', order_count FROM fx_sales
       UNION ALL SELECT window_start, 'avg_order_value', CAST(avg_order_value AS DOUBLE) FROM fx_sales)
-JOIN fx_rules USING (metric_name)""")
+JOIN (SELECT metric_name, CAST(critical_threshold AS DOUBLE) AS critical, CAST(warning_threshold AS DOUBLE) AS warning,
+             unnest(['<', '<=', '>', '>=', '==']) AS op FROM fx_rules) USING (metric_name)""")
 def _(t):
-    judged = kpi.judge(kpi.minute_metric_values(t.sales_metrics), t.rules)
-    return judged.select("window_start", "metric_name", "severity", "threshold_used")
+    operators = F.explode(F.array(*[F.lit(o) for o in ("<", "<=", ">", ">=", "==")]))
+    judged = kpi.judge(kpi.minute_metric_values(t.sales_metrics), t.rules.withColumn("comparison_operator", operators))
+    return judged.select("window_start", "metric_name", "comparison_operator", "severity", "threshold_used")
 
 
 _VIOLATIONS = """

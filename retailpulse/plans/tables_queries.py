@@ -9,7 +9,7 @@ from retailpulse.functions.labels import synthesized_stock
 from retailpulse.functions.numbers import round_half_up
 from retailpulse.operators import alerts as al
 from retailpulse.operators import basket, calendar, inventory, kpi, merge, metrics, shape, star
-from retailpulse.plans.measures import evaluate, star_model
+from retailpulse.plans.measures import evaluate, lookback_minutes, star_model
 from retailpulse.plans.registry import query
 from retailpulse.sources import events as ev
 from retailpulse.sources import tables
@@ -441,9 +441,9 @@ def _(t):
 def model(t: Testbed):
     """Base tables of the measures, minute-grained.
 
-    No measure looks back further than an hour over the minute metrics.
+    The minute metrics reach back as far as the measure that looks furthest.
     """
-    recent = metrics.recent_minute_sales(t.orders, t.now, 60)
+    recent = metrics.recent_minute_sales(t.orders, t.now, lookback_minutes("sales_metrics"))
     return star_model(t.orders, t.order_items, t.stock, recent, t.alerts)
 
 
@@ -549,7 +549,7 @@ def _(t):
 
 @query("a15_order_assembly", """
 SELECT order_id, CAST(sum(CAST(quantity * unit_price AS DECIMAL(12,2))) AS DOUBLE) AS total_amount,
-       CAST(sum(quantity) AS BIGINT) AS item_count, CAST(1 AS BIGINT) AS parts, count(*) AS n_items,
+       CAST(sum(quantity) AS BIGINT) AS item_count, count(*) AS n_items,
        CAST(sum(CAST(quantity * unit_price AS DECIMAL(12,2))) AS DOUBLE) AS items_amount
 FROM fx_lines GROUP BY order_id""")
 def _(t):
@@ -558,7 +558,7 @@ def _(t):
         "items", F.lit(0).cast("decimal(22,2)"), lambda a, x: (a + x.line_total).cast("decimal(22,2)")
     )
     return orders.select(
-        "order_id", "total_amount", "item_count", "parts", F.size("items").alias("n_items"), amount.alias("items_amount")
+        "order_id", "total_amount", "item_count", F.size("items").alias("n_items"), amount.alias("items_amount")
     )
 
 
@@ -616,11 +616,32 @@ def _(t):
 
 
 @query("c3_catalog_refresh", """
-WITH stored AS (SELECT * FROM fx_products WHERE category <> 'SMALL')
-SELECT CAST(c.product_id AS BIGINT) AS product_id, left(repeat(c.name || ' ', 60), 490) AS name, c.category,
+WITH stored AS (SELECT * FROM fx_products WHERE category <> 'SMALL'),
+     documents AS (SELECT product_id, stock_quantity > 100 AS pictured FROM fx_products)
+SELECT CAST(c.weight AS DOUBLE) AS popularity_weight,
+       CASE WHEN pictured THEN 'img-' || c.product_id ELSE '' END AS image_url,
+       left(repeat(c.category || '/', 400), 2000) AS description, CAST(c.rating_count % 5 AS DOUBLE) AS rating_rate,
+       CAST(c.rating_count AS BIGINT) AS rating_count, 'catalog_api' AS source,
+       CAST(c.product_id AS BIGINT) AS product_id, left(repeat(c.name || ' ', 60), 490) AS name, c.category,
        CAST(c.price AS DOUBLE) AS price, CAST(coalesce(s.stock_quantity, c.stock) AS BIGINT) AS stock_quantity,
        CAST(coalesce(s.reorder_threshold, greatest(CAST(floor(c.stock * CAST(0.2 AS DOUBLE)) AS INT), 10)) AS BIGINT) AS reorder_threshold
-FROM fx_catalog c LEFT JOIN stored s ON c.product_id = s.product_id""")
+FROM fx_catalog c JOIN documents d ON c.product_id = d.product_id LEFT JOIN stored s ON c.product_id = s.product_id""")
 def _(t):
     stored = t.products.filter(F.col("category") != "SMALL")
     return hydrate(product_documents(t), stored)
+
+
+@query("t9_current_stock", """
+WITH sold AS (SELECT product_id, sum(CASE WHEN event_id % 2 = 0 THEN quantity END) AS earlier,
+                     sum(CASE WHEN event_id % 2 = 1 THEN quantity END) AS later FROM fx_purchases GROUP BY product_id)
+SELECT CAST(p.product_id AS BIGINT) AS product_id, category,
+       CAST(greatest(0, CASE WHEN p.product_id % 3 = 0 THEN 77 ELSE stock_quantity - coalesce(earlier, 0) END
+                        - coalesce(later, 0)) AS BIGINT) AS stock_quantity
+FROM fx_products p LEFT JOIN sold s ON p.product_id = s.product_id""")
+def _(t):
+    """Stock after sales, a restock of every third product to 77, and more sales."""
+    sales = t.purchases.select("product_id", F.col("quantity").cast("bigint").alias("quantity"), "event_id")
+    earlier, later = (sales.filter(F.col("event_id") % 2 == k).drop("event_id") for k in (0, 1))
+    levels = t.products.filter("product_id % 3 = 0").select("product_id", F.lit(77).alias("stock_quantity"))
+    moved = inventory.restock_movements(t.products, earlier, levels)
+    return inventory.apply_sales(t.products, earlier.union(moved).union(later)).select("product_id", "category", "stock_quantity")

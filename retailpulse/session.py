@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
@@ -69,15 +68,10 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    Only where the session names none (tests, local runs) is a scratch folder
-    made and set.
-    """
+    """The folder all executors can reach, as the session names it in ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="retailpulse-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise ValueError("name a folder that all executors share: pass a path or start Spark with spark.checkpoint.dir")
     return folder
 
 

@@ -148,7 +148,10 @@ class Testbed:
             F.when(kind == "error", product)
             .when(kind == "signup", F.date_trunc("minute", F.col("ts")).cast("string"))
             .otherwise(metric).alias("entity_id"),
+            F.concat(F.lit("event "), "event_id", F.lit(" of user "), "user_id").alias("message"),
             F.col("value").cast("decimal(14,4)").alias("detected_value"),
+            F.when(kind == "signup", product.cast("int")).cast("decimal(14,4)").alias("expected_low"),
+            F.when(kind == "signup", product.cast("int") * 2).cast("decimal(14,4)").alias("expected_high"),
             F.col("ts").alias("detected_at"),
             (F.col("event_id") % 3 == 0).alias("resolved"),
         )

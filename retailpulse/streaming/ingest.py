@@ -27,23 +27,19 @@ from retailpulse.operators.metrics import minute_sales, product_minute_sales, un
 from retailpulse.operators.shape import order_headers, order_lines, with_line_total
 from retailpulse.session import shared_folder
 from retailpulse.sources.events import accepted, quarantined
-from retailpulse.streaming.store import BatchTable, Store
+from retailpulse.streaming.store import MAIN, BatchTable, Store
 
 ALL = "all"
-# A batch touching more partitions of the stored orders than this is compared
-# with all of them instead of a list.
-PARTS_LISTED = 500
 
 
 def _day(column: str):
     return F.date_format(column, "yyyy-MM-dd")
 
 
-def first_seen(store: Store, orders: DataFrame, batch_id: int) -> DataFrame:
-    """Orders not stored by an earlier batch, one row per order id.
+def first_seen(store: Store, orders: DataFrame, batch_id: int, run: str = MAIN) -> DataFrame:
+    """Orders not stored by an earlier batch, one row per order id, whatever its timestamp.
 
-    A repeated order has the same timestamp, hence the same partition: only the
-    partitions present in the batch are read back, and only their ids.
+    Only stored ids are read back, no other column.
     """
     part = F.date_format("order_timestamp", store.order_format).alias("part")
     others = [c for c in orders.columns if c != "order_id"]
@@ -54,11 +50,13 @@ def first_seen(store: Store, orders: DataFrame, batch_id: int) -> DataFrame:
         .select("order_id", "o.*")
         .select("*", part)
     )
-    parts = [row.part for row in orders.select(part).distinct().limit(PARTS_LISTED + 1).collect()]
-    stored = store.orders.read(before=batch_id)
-    if len(parts) <= PARTS_LISTED:
-        stored = stored.filter(F.col("part").isin(parts))
-    return unique.join(stored.select("part", "order_id"), ["part", "order_id"], "left_anti")
+    stored = store.order_ids.read(before=batch_id, run=run).select("order_id")
+    return unique.join(stored, "order_id", "left_anti")
+
+
+def run_of(batch: DataFrame) -> str:
+    """The run a micro-batch belongs to: its query's id, which lives with the checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or MAIN
 
 
 def batch_handler(
@@ -78,15 +76,17 @@ def batch_handler(
         try:
             if batch.isEmpty():
                 return
+            run = run_of(batch)
             payload = [c for c in batch.columns if c not in ("json", "arrived_at")]
-            fresh = first_seen(store, accepted(batch).select(*payload), batch_id)
+            fresh = first_seen(store, accepted(batch).select(*payload), batch_id, run)
             fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
             rejected = quarantined(batch).withColumn("part", F.lit(ALL))
             write_all(
                 batch_id,
+                run,
                 (store.quarantine, rejected),
                 *order_tables(store, fresh, params),
-                *inventory_tables(store, read_products(), fresh, batch_id, params),
+                *inventory_tables(store, read_products(), fresh, batch_id, params, run),
             )
         finally:
             if fresh is not None:
@@ -96,14 +96,14 @@ def batch_handler(
     return handle
 
 
-def write_all(batch_id: int, *outputs: tuple[BatchTable, DataFrame]) -> None:
+def write_all(batch_id: int, run: str, *outputs: tuple[BatchTable, DataFrame]) -> None:
     """Write the batch's tables side by side; the first failure is raised.
 
     No output reads what another one writes in the same batch, and each may be
     written again, so their order does not matter.
     """
     with ThreadPoolExecutor(max_workers=4) as pool:
-        jobs = [pool.submit(table.write, df, batch_id) for table, df in outputs]
+        jobs = [pool.submit(table.write, df, batch_id, run) for table, df in outputs]
     for job in jobs:
         job.result()
 
@@ -115,6 +115,7 @@ def order_tables(store: Store, orders: DataFrame, params: Params) -> list[tuple[
     product_minutes = product_minute_sales(items, window).withColumn("part", _day("window_start"))
     return [
         (store.orders, order_headers(orders, "part")),
+        (store.order_ids, orders.select("order_id", store.id_part().alias("part"))),
         (store.order_items, with_line_total(items)),
         (store.minute_sums, minutes),
         (store.product_minute_sums, product_minutes),
@@ -122,12 +123,17 @@ def order_tables(store: Store, orders: DataFrame, params: Params) -> list[tuple[
 
 
 def inventory_tables(
-    store: Store, products: DataFrame, orders: DataFrame, batch_id: int, params: Params
+    store: Store, products: DataFrame, orders: DataFrame, batch_id: int, params: Params, run: str = MAIN
 ) -> list[tuple[BatchTable, DataFrame]]:
-    """Stock movements of the batch and the low-stock alerts they lead to."""
+    """Stock movements of the batch and the low-stock alerts they lead to.
+
+    The clock is the newest order of this and all earlier batches: late orders do
+    not turn it back.
+    """
     items = order_lines(orders)
-    now = latest(orders, "order_timestamp")
-    opening = apply_sales(products, store.units_sold.totals(before=batch_id))
+    newest = latest(orders, "order_timestamp")
+    now = F.when(newest.isNotNull(), F.greatest(newest, store.newest_order(batch_id, run)))
+    opening = apply_sales(products, store.units_sold.totals(before=batch_id, run=run))
 
     sold = units_by_product(items).withColumnRenamed("qty", "quantity")
     known = sold.join(products.select("product_id"), "product_id", "left_semi")
@@ -135,7 +141,8 @@ def inventory_tables(
     log = sale_movements(opening, items, now)
     candidates = low_stock_alerts(apply_sales(opening, items), now)
     quiet = params.cooldown.low_stock
-    history = store.alerts.read(before=batch_id, since=before(now, quiet))
+    history = store.alerts.read(before=batch_id, since=before(now, quiet), run=run)
+    history = history.filter(F.col("detected_at") <= now)
     raised = suppress_recent(candidates, history, LOW_STOCK_KEY, now, quiet)
     # Nothing is alerted by a batch without a single new order.
     raised = raised.filter(F.col("detected_at").isNotNull())
@@ -156,7 +163,8 @@ def start(
 ) -> StreamingQuery:
     """Run the handler on every trigger, or once over what is there (``drain``).
 
-    Progress is kept under the session's shared folder unless told otherwise.
+    Progress is kept in ``checkpoint``, a folder that all executors share; without
+    one, below the folder the session names in ``spark.checkpoint.dir``.
     """
     checkpoint = checkpoint or f"{shared_folder(decoded.sparkSession)}/order-ingest"
     writer = (

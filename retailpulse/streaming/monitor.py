@@ -18,6 +18,9 @@ from retailpulse.operators.kpi import judge, lookback_minutes, metric_values, vi
 from retailpulse.streaming.store import Store
 
 
+MONITOR = "monitor"
+
+
 def new_alerts(
     sales: DataFrame, products: DataFrame, rules: DataFrame, history: DataFrame, as_of: Clock,
     params: Params = DEFAULTS,
@@ -34,15 +37,17 @@ def new_alerts(
 def evaluate_once(
     store: Store, products: DataFrame, rules: DataFrame, as_of: Clock, run: int, params: Params = DEFAULTS
 ) -> None:
-    """Append the alerts due now. Runs are numbered apart from the ingest's
-    batches by storing them as negative batch ids."""
+    """Append the alerts due now, against the stock left after all stored sales.
+
+    ``products`` is the catalog. Runs are numbered apart from the ingest's batches
+    by storing them as negative batch ids."""
     longest_cooldown = max(params.cooldown.spike, params.cooldown.kpi)
-    history = store.alerts.read(since=before(as_of, longest_cooldown)).filter(F.col("batch_id") != -run)
+    history = store.alerts.read(since=before(as_of, longest_cooldown)).filter((F.col("run") != MONITOR) | (F.col("batch_id") != -run))
     lookback = F.greatest(F.lit(params.anomaly.forest_minutes), lookback_minutes(rules))
     sales = store.sales_metrics(since=before(as_of, lookback))
-    due = new_alerts(sales, products, rules, history, as_of, params)
+    due = new_alerts(sales, store.products(products), rules, history, as_of, params)
     part = F.date_format(moment(as_of), "yyyy-MM-dd")
-    store.alerts.write(due.withColumn("part", part), -run)
+    store.alerts.write(due.withColumn("part", part), -run, MONITOR)
 
 
 def alert_stream_step(

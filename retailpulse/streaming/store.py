@@ -1,9 +1,11 @@
-"""Parquet tables fed by numbered micro-batches.
-
-Every row lies in the partition of the batch that wrote it, so running a batch
-again replaces its own rows and nothing else. Measures that add up over batches
-are stored as per-batch sums and added when read; nothing is read, changed and
-written back, and late orders simply arrive in a later batch.
+"""Parquet tables fed by numbered micro-batches of runs.
+
+A run is the life of one stream checkpoint: batch numbers start again with a new
+checkpoint, so a batch is named by run and number. Every batch has a folder of its
+own in each table; running it again replaces that folder whole, also by nothing, and
+touches no other. Measures that add up over batches are stored as per-batch sums and
+added when read; nothing is read, changed and written back, and late orders simply
+arrive in a later batch.
 """
 
 from __future__ import annotations
@@ -16,9 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from retailpulse import schemas
+from retailpulse.operators.inventory import apply_sales, restock_movements
 from retailpulse.operators.metrics import average_order_value
 
 
+# The run of batches that no stream checkpoint names.
+MAIN = "main"
+# Order ids lie in so many parts by their hash.
+ID_PARTS = 64
+
+
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table, or an empty frame as long as nothing was written."""
     try:
@@ -33,75 +42,80 @@ def _from_day(rows: DataFrame, since: Column | None) -> DataFrame:
     return rows if since is None else rows.filter(F.col("part") >= F.date_format(since, "yyyy-MM-dd"))
 
 
-def _write(df: DataFrame, path: str, *partitions: str) -> None:
-    """Replace just the partitions present in ``df``.
+def _write(df: DataFrame, folder: str) -> None:
+    """Replace ``folder`` by ``df``, by part.
 
-    The rebalance hint gives each partition few files but splits a busy one
-    over several tasks.
+    The rebalance hint gives each part few files but splits a busy one over several
+    tasks.
     """
     (
-        df.hint("rebalance", partitions[0])
+        df.hint("rebalance", "part")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("part")
+        .parquet(folder)
     )
 
 
-class BatchTable:
-    """Rows appended per batch, partitioned by ``part`` and batch."""
+PART = StructField("part", StringType())
+BATCH = [StructField("run", StringType()), StructField("batch_id", LongType())]
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, part: str = "part"):
-        self.spark, self.path, self.schema, self.part = spark, path, schema, part
 
-    @property
-    def _stored(self) -> StructType:
-        extra = [StructField(self.part, StringType()), StructField("batch_id", LongType())]
-        return StructType([*self.schema.fields, *extra])
+class BatchTable:
+    """Rows by batch and ``part``."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType):
+        self.spark, self.path, self.schema = spark, path, schema
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def write(self, df: DataFrame, batch_id: int, run: str = MAIN) -> None:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        rows = df.select(*columns, F.col(self.part).cast("string").alias(self.part))
-        _write(rows.withColumn("batch_id", F.lit(batch_id).cast("long")), self.path, self.part, "batch_id")
+        rows = df.select(*columns, F.col("part").cast("string").alias("part"))
+        _write(rows, f"{self.path}/run={run}/batch_id={batch_id}")
 
-    def read(self, before: int | None = None, since: Column | None = None) -> DataFrame:
-        """All rows, or those of the batches before ``before``.
+    def read(self, before: int | None = None, since: Column | None = None, run: str = MAIN) -> DataFrame:
+        """All rows, or without those of ``run`` from batch ``before`` on.
 
         ``since`` skips the days before a moment, for tables with daily parts.
         """
-        rows = _read(self.spark, self.path, self._stored)
+        rows = _read(self.spark, self.path, StructType([*self.schema.fields, PART, *BATCH]))
         if before is not None:
-            rows = rows.filter(F.col("batch_id") < before)
+            rows = rows.filter((F.col("run") != run) | (F.col("batch_id") < before))
         return _from_day(rows, since)
 
 
 class AdditiveTable(BatchTable):
     """Per-batch sums by key; the table's content is their total.
 
-    ``compact`` adds up all batches so far into one file set per part. Readers
-    take a part's newest compaction and the batches after it.
+    ``compact`` adds up all batches so far into one file set per part, and then notes
+    up to which batch of which run. Readers take a part's newest noted compaction and
+    the batches it does not cover.
     """
 
     def __init__(self, spark, path, schema, keys: list[str], sums: list[str]):
         super().__init__(spark, path, schema)
         self.keys, self.sums = keys, sums
 
-    @property
-    def _compacted(self) -> str:
-        return f"{self.path}_compacted"
-
-    def _rows(self, before: int | None, since: Column | None = None) -> DataFrame:
-        through = StructType([*self.schema.fields, StructField("part", StringType()), StructField("through", LongType())])
-        compacted = _from_day(_read(self.spark, self._compacted, through), since)
+    def _covered(self, before: int | None, run: str) -> DataFrame:
+        """(part, seq, run, through) of the newest compaction of each part."""
+        fields = [BATCH[0], StructField("through", LongType()), PART, StructField("seq", LongType())]
+        notes = _read(self.spark, f"{self.path}_covered", StructType(fields))
         if before is not None:
-            compacted = compacted.filter(F.col("through") < before)
-        newest = compacted.groupBy("part").agg(F.max("through").alias("through"))
-        base = compacted.join(newest, ["part", "through"], "left_semi").drop("through")
-        return base.unionByName(self._after(newest, before, since).drop("batch_id", "through"))
-
-    def _after(self, newest: DataFrame, before: int | None, since: Column | None = None) -> DataFrame:
-        return self.read(before, since).join(newest, "part", "left").filter(
-            F.col("batch_id") > F.coalesce("through", F.lit(-1))
+            late = notes.filter((F.col("run") == run) & (F.col("through") >= before)).select("part", "seq").distinct()
+            notes = notes.join(late, ["part", "seq"], "left_anti")
+        newest = notes.groupBy("part").agg(F.max("seq").alias("seq"))
+        return notes.join(newest, ["part", "seq"], "left_semi")
+
+    def _rows(self, before: int | None, since: Column | None = None, run: str = MAIN) -> DataFrame:
+        covered = self._covered(before, run)
+        fields = [*self.schema.fields, PART, StructField("seq", LongType())]
+        compacted = _from_day(_read(self.spark, f"{self.path}_compacted", StructType(fields)), since)
+        base = compacted.join(covered.select("part", "seq").distinct(), ["part", "seq"], "left_semi").drop("seq")
+        return base.unionByName(self._after(covered, before, since, run).drop("batch_id", "run", "through"))
+
+    def _after(self, covered: DataFrame, before: int | None, since: Column | None, run: str) -> DataFrame:
+        through = covered.select("part", "run", "through")
+        return self.read(before, since, run).join(through, ["part", "run"], "left").filter(
+            F.col("through").isNull() | (F.col("batch_id") > F.col("through"))
         )
 
     def _sum(self, rows: DataFrame, *extra: str) -> DataFrame:
@@ -110,19 +124,21 @@ class AdditiveTable(BatchTable):
             *[F.sum(name).cast(types[name]).alias(name) for name in self.sums]
         )
 
-    def totals(self, before: int | None = None, since: Column | None = None) -> DataFrame:
-        return self._sum(self._rows(before, since))
+    def totals(self, before: int | None = None, since: Column | None = None, run: str = MAIN) -> DataFrame:
+        return self._sum(self._rows(before, since, run))
 
-    def compact(self, through: int) -> None:
-        """Add up the batches up to ``through`` in every part that has new ones."""
-        done = _read(
-            self.spark, self._compacted,
-            StructType([StructField("part", StringType()), StructField("through", LongType())]),
-        ).groupBy("part").agg(F.max("through").alias("through"))
-        touched = self._after(done, through + 1).select("part").distinct()
-        rows = self._rows(through + 1).join(touched, "part", "left_semi")
-        merged = self._sum(rows, "part").withColumn("through", F.lit(through).cast("long"))
-        _write(merged, self._compacted, "part", "through")
+    def compact(self, through: int, run: str = MAIN) -> None:
+        """Add up, in every part with new batches, all runs' batches and those of ``run`` up to ``through``."""
+        before = through + 1
+        new = self._after(self._covered(before, run), before, None, run)
+        touched = new.select("part").distinct()
+        seq = (_read(self.spark, f"{self.path}_covered", StructType([StructField("seq", LongType())]))
+               .agg(F.max("seq")).first()[0] or 0) + 1
+        merged = self._sum(self._rows(before, run=run).join(touched, "part", "left_semi"), "part")
+        _write(merged, f"{self.path}_compacted/seq={seq}")
+        notes = self.read(before, run=run).join(touched, "part", "left_semi")
+        notes = notes.groupBy("part", "run").agg(F.max("batch_id").alias("through"))
+        _write(notes, f"{self.path}_covered/seq={seq}")
 
 
 class Store:
@@ -144,6 +160,15 @@ class Store:
         fields = [f for f in schemas.ORDERS.fields if f.name != "inserted_at"]
         return self._batch("orders", StructType(fields))
 
+    @cached_property
+    def order_ids(self) -> BatchTable:
+        """The ids of all stored orders, by their hash (see ``id_part``)."""
+        return self._batch("order_ids", StructType([StructField("order_id", StringType())]))
+
+    @staticmethod
+    def id_part() -> Column:
+        return F.pmod(F.xxhash64("order_id"), F.lit(ID_PARTS)).cast("string")
+
     @cached_property
     def order_items(self) -> BatchTable:
         return self._batch("order_items", schemas.ORDER_ITEMS)
@@ -194,6 +219,26 @@ class Store:
     def product_sales_metrics(self, since: Column | None = None) -> DataFrame:
         return self.product_minute_sums.totals(since=since)
 
-    def compact(self, through: int) -> None:
+    def newest_order(self, before: int | None = None, run: str = MAIN) -> Column:
+        """Time of the newest order stored so far, from the last part alone; null without one."""
+        orders = self.orders.read(before, run=run)
+        last = orders.agg(F.max("part")).scalar()
+        return orders.filter(F.col("part") == last).agg(F.max("order_timestamp")).scalar()
+
+    def products(self, catalog: DataFrame) -> DataFrame:
+        """``catalog`` with the stock left after all sales and restocks."""
+        return apply_sales(catalog, self.units_sold.totals())
+
+    def restock(self, catalog: DataFrame, levels: DataFrame, number: int) -> None:
+        """Set the stock of the products in ``levels`` (product_id, stock_quantity) to these values.
+
+        Kept as a movement beside the sales, so earlier and later sales count as they
+        should. ``number`` names the restock; running it again changes nothing more.
+        """
+        sold = self.units_sold.totals(before=number, run="restock")
+        moved = restock_movements(catalog, sold, levels).withColumn("part", F.lit("all"))
+        self.units_sold.write(moved, number, "restock")
+
+    def compact(self, through: int, run: str = MAIN) -> None:
         for table in (self.minute_sums, self.product_minute_sums, self.units_sold):
-            table.compact(through)
+            table.compact(through, run)

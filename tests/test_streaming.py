@@ -171,6 +171,87 @@ def test_monitor_raises_each_alert_once(spark, run):
     assert not set(second) & {a for a in first if a[0] == "REVENUE_SPIKE"}
 
 
+def test_a_new_checkpoint_keeps_what_is_stored(spark, run):
+    land(run.inbox, "a.json", ORDERS[:20])
+    run.drain()
+    run.checkpoint += "-new"
+    land(run.inbox, "b.json", ORDERS[20:])
+    run.drain()
+    assert run.totals() == expected_minutes(spark)
+    assert run.store.orders.read().count() == 40
+    assert run.store.orders.read().select("run").distinct().count() == 2
+    run.store.compact(0)
+    assert run.totals() == expected_minutes(spark)
+
+
+def test_a_rerun_without_alerts_clears_the_old_ones(spark, run):
+    quiet = [order(i, i, (1, 1, 1.0)) for i in range(14)]
+    run.replay([*quiet, order("burst", 14, (1, 400, 1.0))], 0)
+    rules = seed_rules(spark)
+    monitor.evaluate_once(run.store, run.products, rules, at(15), 1)
+    assert run.store.alerts.read().filter("run = 'monitor'").count() > 0
+    nothing = run.store.alerts.read().filter("false").select(*[f.name for f in run.store.alerts.schema.fields], "part")
+    run.store.alerts.write(nothing, -1, monitor.MONITOR)
+    assert run.store.alerts.read().filter("run = 'monitor'").count() == 0
+
+
+def test_a_batch_that_broke_off_between_two_tables_is_made_whole(spark, run, monkeypatch):
+    run.replay(ORDERS[:20], 0)
+    broken = type(run.store.units_sold)
+    write = broken.write
+
+    def fails(self, df, batch_id, run="main"):
+        if self.path.endswith("units_sold"):
+            raise OSError("lost")
+        write(self, df, batch_id, run)
+
+    monkeypatch.setattr(broken, "write", fails)
+    with pytest.raises(OSError):
+        run.replay(ORDERS[20:], 1)
+    monkeypatch.setattr(broken, "write", write)
+    run.replay(ORDERS[20:], 1)
+    assert run.totals() == expected_minutes(spark)
+    assert sum(q for _, q in rows(run.store.units_sold.totals())) == sum(o["item_count"] for o in ORDERS)
+
+
+def test_one_id_with_two_timestamps_counts_once(spark, tmp_path):
+    pair = [order("same", 0, (1, 1, 2.0)), order("same", 120, (1, 1, 2.0))]
+    together, apart = Run(spark, tmp_path / "a"), Run(spark, tmp_path / "b")
+    together.replay(pair, 0)
+    for k, one in enumerate(pair):
+        apart.replay([one], k)
+    assert together.store.orders.read().count() == apart.store.orders.read().count() == 1
+
+
+def test_late_orders_do_not_turn_the_clock_back(spark, tmp_path):
+    run = Run(spark, tmp_path, stock=((1, 12, 10), (2, 100, 10)))
+    run.replay([order("now", 0, (2, 1, 1.0))], 0)
+    run.replay([order("late", -30 * 24 * 60, (1, 3, 1.0))], 1)
+    assert rows(run.store.alerts.read(), "detected_at", "entity_id") == [(at(0), "1")]
+
+
+def test_monitor_and_readers_see_the_stock_left(spark, tmp_path):
+    run = Run(spark, tmp_path, stock=[(p, 40, 10) for p in range(1, 20)])
+    run.replay([order(p, 0, (p, 50, 1.0)) for p in range(1, 20)], 0)
+    assert {q for _, q in rows(run.store.products(run.products), "product_id", "stock_quantity")} == {0}
+    monitor.evaluate_once(run.store, run.products, seed_rules(spark), at(1), 1)
+    alerts = rows(run.store.alerts.read(), "entity_id", "severity")
+    assert ("low_stock_count", "CRITICAL") in alerts
+    levels = spark.createDataFrame([(1, 30), (2, 5)], "product_id int, stock_quantity int")
+    run.store.restock(run.products, levels, 0)
+    run.store.restock(run.products, levels, 0)
+    run.replay([order("more", 2, (1, 4, 1.0))], 1)
+    stock = dict(rows(run.store.products(run.products), "product_id", "stock_quantity"))
+    assert (stock[1], stock[2], stock[3]) == (26, 5, 0)
+
+
+def test_a_stream_without_a_shared_folder_is_refused(spark, run):
+    run.inbox.mkdir()
+    decoded = events.decode(events.file_events(spark, str(run.inbox), None))
+    with pytest.raises(ValueError, match="share"):
+        ingest.start(decoded, run.handler)
+
+
 # --- stateful queries ------------------------------------------------------------------
 
 def native_query(spark, tmp_path, build, mode, batches):

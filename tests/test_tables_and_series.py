@@ -70,17 +70,16 @@ def test_encode_round_trip(spark):
 
 # --- shaping ----------------------------------------------------------------------
 
-def test_nest_splits_huge_orders_and_keeps_every_line(spark):
-    data = [("big", i % 40, 1 + i % 3, money("2.50")) for i in range(900)]
+def test_nest_makes_one_document_of_any_order(spark):
+    data = [("big", i % 40, 1 + i % 3, money("2.50")) for i in range(12_000)]
     data += [("copies", 7, 1, money("1.00"))] * 500 + [("small", 1, 2, money("3.00"))]
     lines = spark.createDataFrame(data, LINE_DDL)
-    nested = shape.nest_orders(lines, ["product_id", "quantity", "unit_price"], lines_per_document=100)
-    documents = nested.withColumn("n", F.size("items")).collect()
-    assert max(d.n for d in documents) <= 200
-    back = shape.order_lines(nested)
-    assert rows(back) == rows(lines)
-    (small,) = [d for d in documents if d.order_id == "small"]
-    assert (small.parts, small.total_amount, small.item_count) == (1, money("6.00"), 2)
+    nested = shape.nest_orders(lines, ["product_id", "quantity", "unit_price"])
+    sizes = {d.order_id: len(d["items"]) for d in nested.collect()}
+    assert nested.count() == 3 and sizes == {"big": 12_000, "copies": 500, "small": 1}
+    assert rows(shape.order_lines(nested)) == rows(lines)
+    (small,) = [d for d in nested.collect() if d.order_id == "small"]
+    assert (small.total_amount, small.item_count) == (money("6.00"), 2)
 
 
 def test_trailing_is_inclusive(spark):
@@ -178,7 +177,6 @@ def sales_of(spark, n, products=4, seed=1, minutes=3000):
 @pytest.mark.parametrize("crowded", [1_000_000, 100, 3])
 def test_running_stock_matches_a_loop_and_the_decrement(spark, monkeypatch, crowded):
     """Low limits make busy days and minutes crowded ones."""
-    monkeypatch.setattr(series, "CROWDED", crowded)
     monkeypatch.setattr(series, "TIE_RANGE", 50 if crowded == 3 else 1_000_000)
     products = product_frame(spark, [(i, 300, 10) for i in range(1, 5)])
     sales, data = sales_of(spark, 800)
@@ -217,7 +215,6 @@ def test_trailing_window_across_blocks(spark):
 
 @pytest.mark.parametrize("crowded", [1_000_000, 100, 3])
 def test_previous_value_across_hours(spark, monkeypatch, crowded):
-    monkeypatch.setattr(series, "CROWDED", crowded)
     monkeypatch.setattr(series, "TIE_RANGE", 7 if crowded == 3 else 1_000_000)
     rng = random.Random(8)
     data = [(i, rng.choice("xy"), at(rng.choice([rng.uniform(0, 900), 70])), float(i)) for i in range(300)]
@@ -298,3 +295,33 @@ def test_measures_by_group_match_the_total(spark):
     whole = evaluate(small_model(spark, orders), ["total_revenue", "order_count"], at(30)).first()
     assert sum(p.total_revenue for p in parts) == whole.total_revenue
     assert sum(p.order_count for p in parts) == whole.order_count
+
+
+def test_catalog_merge_adds_columns_and_keeps_one_row_per_id(spark):
+    stored = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "product_id int, name string, stock_quantity int")
+    incoming = spark.createDataFrame(
+        [(2, "B", 1, "x"), (3, "c", 2, "y"), (3, "c2", 2, "y"), (None, "none", 0, "z")],
+        "product_id int, name string, stock_quantity int, image_url string",
+    )
+    merged = merge.merge_catalog(stored, incoming)
+    assert rows(merged, "product_id", "name", "stock_quantity", "image_url") == [
+        (1, "a", 5, None), (2, "B", 6, "x"), (3, "c2", 2, "y")
+    ]
+
+
+def test_distinct_counts_over_two_columns_are_refused(spark, monkeypatch):
+    from retailpulse.plans import measures
+
+    other = measures.Base("orders", "distinct", lambda: F.col("customer_id"))
+    monkeypatch.setitem(measures.MEASURES, "customers", other)
+    orders = spark.createDataFrame([("o", "c", at(0))], "order_id string, customer_id string, order_timestamp timestamp")
+    with pytest.raises(ValueError, match="distinct"):
+        measures.evaluate({"orders": orders}, ["order_count", "customers"], at(1))
+
+
+def test_look_back_follows_the_measures():
+    from retailpulse.plans import measures
+
+    assert measures.lookback_minutes("sales_metrics") == 60
+    assert measures.lookback_minutes("sales_metrics", ["revenue_last_5_min", "revenue_prior_5_min"]) == 10
+    assert measures.lookback_minutes("alerts", ["revenue_last_5_min"]) == 0
