@@ -3,12 +3,14 @@
 import json
 import os
 from datetime import timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import T0, at, money, product_frame, rows
 from retailpulse.operators import metrics
+from retailpulse.session import shared_folder
 from retailpulse.sources import events
 from retailpulse.sources.tables import seed_rules
 from retailpulse.streaming import ingest, monitor, native
@@ -245,11 +247,10 @@ def test_monitor_and_readers_see_the_stock_left(spark, tmp_path):
     assert (stock[1], stock[2], stock[3]) == (26, 5, 0)
 
 
-def test_a_stream_without_a_shared_folder_is_refused(spark, run):
-    run.inbox.mkdir()
-    decoded = events.decode(events.file_events(spark, str(run.inbox), None))
+def test_a_session_without_a_shared_folder_is_refused():
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default))
     with pytest.raises(ValueError, match="share"):
-        ingest.start(decoded, run.handler)
+        shared_folder(bare)
 
 
 # --- stateful queries ------------------------------------------------------------------
