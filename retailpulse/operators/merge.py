@@ -49,10 +49,10 @@ def merge_catalog(
 
     Columns that only ``incoming`` has are added, empty for products it does not
     bring, and taken from it for those it does. Of several incoming rows with one key
-    the one whose text is largest is used; rows without a key are left out.
+    the largest is used, columns compared in order; rows without a key are left out.
     """
     others = [c for c in incoming.columns if c != key]
-    last = F.max_by(F.struct(*others), F.to_json(F.struct(*others)))
+    last = F.max(F.struct(*others))
     incoming = incoming.filter(F.col(key).isNotNull()).groupBy(key).agg(last.alias("_row")).select(key, "_row.*")
     old = target.withColumn("_old", F.lit(True)).alias("old")
     new = incoming.withColumn("_new", F.lit(True)).alias("new")
