@@ -113,10 +113,10 @@ class Machine:
     constant: float | None = None
 
     def margins(self, words: list[str]) -> np.ndarray:
-        """One margin per word; of a long word, the largest of its windows."""
+        """One margin per word; of a long word, the largest of its windows; of none, minus infinity."""
         marked, owner = [], []
         for k, word in enumerate(words):
-            for piece in windows(word):
+            for piece in windows(word) if word else []:
                 marked.append(piece)
                 owner.append(k)
         sums = np.zeros(len(marked))
@@ -124,7 +124,7 @@ class Machine:
         for rows, codes, scaled in occurrences(marked):
             sums[rows] = padded[looked_up(codes, self.codes)] @ scaled
         out = np.full(len(words), -np.inf)
-        np.maximum.at(out, owner, sums + self.bias)
+        np.maximum.at(out, np.array(owner, int), sums + self.bias)
         return out
 
     def probability(self, margin: float) -> float:
