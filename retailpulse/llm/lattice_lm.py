@@ -40,6 +40,9 @@ CLASSES = 8
 CHUNK_BYTES = 24_000_000
 #: Words up to this length go through the recursion in arrays of equal lengths, longer ones alone.
 ARRAY_LENGTH = 64
+#: Characters of the words in one array, and words gathered to fill arrays of every length.
+ARRAY_CELLS = 200_000
+GATHERED = 120_000
 FOLDS = 10
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -164,8 +167,10 @@ class Lattice:
         for k, word in enumerate(words):
             by_length[len(word) + 1].append(k)
         for length, rows in by_length.items():
-            for part in range(0, len(rows), 4000):
-                yield length, rows[part:part + 4000]
+            # Long arrays at a time, of bounded size over all cells.
+            step = max(1, ARRAY_CELLS // length)
+            for part in range(0, len(rows), step):
+                yield length, rows[part:part + step]
 
     def log_marginals(self, words: list[str], several: list[Weights]) -> np.ndarray:
         """Natural log of the summed probability of all segmentations, stop included; a row per weights."""
@@ -235,6 +240,19 @@ class Lattice:
                     counts[k] += share
 
 
+def gathered(batches, rows: int = GATHERED):
+    """Consecutive batches as tables of about so many rows."""
+    some, held = [], 0
+    for batch in batches:
+        some.append(batch)
+        held += batch.num_rows
+        if held >= rows:
+            yield pa.Table.from_batches(some).combine_chunks()
+            some, held = [], 0
+    if held:
+        yield pa.Table.from_batches(some).combine_chunks()
+
+
 def tokens(text: bytes) -> list[bytes]:
     """Words: runs of other bytes than ASCII white space, A-Z lower-cased."""
     return text.lower().split()
@@ -328,7 +346,7 @@ def piece_counts(words: DataFrame, several: list[Weights]) -> np.ndarray:
 
     def run(batches):
         lattice, counts = Lattice(several[0].names), np.zeros((len(several), len(several[0].names)))
-        for batch in batches:
+        for batch in gathered(batches):
             words = batch["word"].to_pylist()
             for k, weights in enumerate(several):
                 own = np.flatnonzero(batch[names[k]].to_numpy())
@@ -353,7 +371,7 @@ def word_logs(words: DataFrame, several: list[Weights], classes: list[Counts], t
 
     def run(batches):
         lattice = Lattice(several[0].names)
-        for batch in batches:
+        for batch in gathered(batches):
             counts = np.stack([batch[c].to_numpy() for c in names]).astype(float)
             logs = lattice.log_marginals(batch["word"].to_pylist(), several) / math.log(10)
             total = counts.sum(axis=0)
@@ -366,7 +384,7 @@ def word_logs(words: DataFrame, several: list[Weights], classes: list[Counts], t
                     # The sum of both in logs: the lattice's part may be too small for a double.
                     out.append(np.logaddexp(np.log(direct), (logs[k] + math.log10(rest)) * math.log(10)) / math.log(10))
             yield pa.RecordBatch.from_arrays(
-                [batch["word"], pa.array(total.astype(np.int64)), *[pa.array(p.astype(np.float32)) for p in out]],
+                [batch["word"].chunk(0), pa.array(total.astype(np.int64)), *[pa.array(p.astype(np.float32)) for p in out]],
                 names=["word", "c", *[f"p{k}" for k in range(n)]],
             )
 
