@@ -213,11 +213,16 @@ def fit_words(texts: list[list[str]], toxic: list[int], prior: float) -> Machine
     values, vectors = np.linalg.eigh(columns.T.astype(float) @ columns)
     keep = values > 1e-4 * values.max()
     back = vectors[:, keep] / np.sqrt(values[keep])
-    x = kernel(vocabulary, codes, columns) @ back
-    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    x = np.ones((len(vocabulary), back.shape[1] + 1), np.float32)
+    gram, pull = 1e-2 * np.eye(x.shape[1]), np.zeros(x.shape[1])
+    for part in range(0, len(x), 5000):
+        some = slice(part, part + 5000)
+        x[some, :-1] = kernel(vocabulary[some], codes, columns) @ back
+        own = x[some].astype(float)
+        gram += (own * (p + q)[some, None]).T @ own
+        pull += own.T @ (p - q)[some]
     # Start: every word takes its text's label.
-    gram = (x * (p + q)[:, None]).T @ x + 1e-2 * np.eye(x.shape[1])
-    v = np.linalg.solve(gram, x.T @ (p - q))
+    v = np.linalg.solve(gram, pull)
     members = [np.array([at[w] for w in words if w in at], int) for words in texts]
     hard: set[int] = set()
     for _ in range(ROUNDS):
@@ -234,7 +239,7 @@ def fit_words(texts: list[list[str]], toxic: list[int], prior: float) -> Machine
         rows = np.concatenate([np.array(witness, int), negative])
         label = np.concatenate([np.ones(len(witness)), -np.ones(len(negative))])
         weight = np.where(label > 0, 10 / len(witness), 10 / max(1, len(negative)))
-        v = squared_hinge(x[rows], label, weight, 1e-2)
+        v = squared_hinge(x[rows].astype(float), label, weight, 1e-2)
     f = x @ v
     margin = np.array([f[m].max() if len(m) else f.min() for m in members])
     weight = np.where(y > 0, prior / n_bad, (1 - prior) / n_good) * len(y)
@@ -271,12 +276,17 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int | None = FOLDS, per_class
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # At most 2 * per_class ids: small whatever the input.
     texts = texts.join(F.broadcast(chosen.select("doc_id", F.col("toxic").cast("int").alias("toxic"))), "doc_id")
-    rows = texts.mapInArrow(words, "doc_id long, toxic int, words array<string>").collect()
+    found = texts.mapInArrow(words, "doc_id long, toxic int, words array<string>").toArrow()
     chosen.unpersist()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["words"]))
+    # One string object per distinct word.
+    kept: dict[str, str] = {}
+    rows = sorted(
+        (i, [kept.setdefault(w, w) for w in own.as_py()], y)
+        for i, own, y in zip(found["doc_id"].to_pylist(), found["words"], found["toxic"].to_pylist())
+    )
     n_bad, n_good = counts.get(True, 0), counts.get(False, 0)
     prior = (n_bad + 1) / (n_bad + n_good + 2) if n_bad and n_good else (0.99 if n_bad else 0.01)
-    return fit_words([r["words"] for r in rows], [r["toxic"] for r in rows], prior)
+    return fit_words([r[1] for r in rows], [r[2] for r in rows], prior)
 
 
 def scored(docs: DataFrame, machine: Machine, column: str = "text", out: str = "score") -> DataFrame:
