@@ -1,12 +1,12 @@
 """Repeated passages removed line by line, found through content-defined chunks of lines.
 
-A rolling (cyclic) hash over the hashes of the last two lines decides after which
-line a chunk ends, and so do lines of many words; the same lines are cut alike
-wherever they stand. Of every chunk all beginnings and all ends are compared with
-those of every other: a passage that repeats in other surroundings is found from any
-cut within it. Lines that an earlier document (or earlier place) holds in the same
-way are marked after comparing their bytes, and runs of marked lines go if they have
-two lines or many words. DataFrame operations only.
+A chunk is two neighbouring lines with words and the blank ones between them, or
+one line of many words: where chunks start and end depends on the lines alone, so a
+passage is cut alike wherever it stands. A cyclic hash over a chunk's blank lines
+and the hashes of its lines make its key. A passage of two lines or more that an
+earlier document (or earlier place) holds consists of chunks that it holds too, and
+of every such chunk the lines go, after comparing their bytes; lines that repeat in
+places of their own make no chunk and stay. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -16,12 +16,8 @@ from pyspark.sql import functions as F
 
 from retailpulse.llm.common import packed, stored
 
-#: A chunk ends where the rolling hash leaves less than CUT_BELOW of CUT_OF.
-CUT_OF, CUT_BELOW = 4, 3
-#: One or two lines with so many words end a chunk, and a run of so many words goes even if it is one line.
+#: A single repeated line of so many words goes.
 PASSAGE_WORDS = 50
-#: Longest chunk without a cut; then it is cut by count.
-CHUNK_LINES = 16
 
 
 def rotated(value: str, by: str) -> Column:
@@ -38,55 +34,62 @@ def marked(docs: DataFrame) -> DataFrame:
 
 
 def chunk_lines(docs: DataFrame) -> DataFrame:
-    """(_id, _mark, pos, words, start, end, head, tail) of every line.
+    """(_id, _mark, s, n, key) of every chunk that would go if it repeats.
 
-    start and end are the first and last line of its chunk; head hashes the lines from
-    the chunk's start to this one, tail those from this one to the end.
+    Chunks start at line s and have n lines: two lines with words and the blank ones
+    between, or one line of many words. Where blank lines stand before or after,
+    a chunk is also given with those.
     """
     lines = marked(docs).select("_id", "_mark", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "line"))
     blanks = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit("")))
     words = F.when(F.trim("line") == "", 0).otherwise(blanks + 1).cast("int")
-    lines = lines.select("_id", "_mark", "pos", F.xxhash64("line").alias("h"), words.alias("words")).distinct()
+    lines = lines.select("_id", "_mark", "pos", F.xxhash64("line").alias("h"), words.alias("words"))
+    lines = lines.repartition("_id", "_mark").distinct()
     text = Window.partitionBy("_id", "_mark").orderBy("pos")
-    lines = lines.withColumns({
-        "before": F.lag("h").over(text), "words_before": F.lag("words", 1, 0).over(text), "words_after": F.lead("words", 1, 0).over(text),
-    })
-    rolling = rotated("before", "1").bitwiseXOR(F.col("h"))
-    cut = (F.coalesce(F.pmod(rolling, F.lit(CUT_OF)), F.lit(0)) < CUT_BELOW) \
-        | (F.col("words") + F.col("words_before") >= PASSAGE_WORDS) | (F.col("words_after") >= PASSAGE_WORDS)
-    lines = lines.withColumn("cut", cut)
-    lines = lines.withColumn("first", F.coalesce(F.lag("cut").over(text), F.lit(True)))
-    last_cut = F.max(F.when(F.col("first"), F.col("pos"))).over(text.rowsBetween(Window.unboundedPreceding, 0))
-    lines = lines.withColumn("since", last_cut)
-    lines = lines.withColumn("start", F.expr(f"since + (pos - since) div {CHUNK_LINES} * {CHUNK_LINES}").cast("int"))
-    lines = lines.withColumn("turned", rotated("h", "pos"))
-    chunk = Window.partitionBy("_id", "_mark", "start").orderBy("pos")
-    whole = chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    lines = lines.withColumns({
-        "to_here": F.bit_xor("turned").over(chunk.rowsBetween(Window.unboundedPreceding, 0)),
-        "all": F.bit_xor("turned").over(whole), "end": F.max("pos").over(whole),
-    })
-    lines = lines.withColumn("from_here", F.col("all").bitwiseXOR(F.col("to_here")).bitwiseXOR(F.col("turned")))
-    return lines.select(
-        "_id", "_mark", "pos", "words", "start", "end",
-        rotated("to_here", "-start").alias("head"), rotated("from_here", "-pos").alias("tail"),
+    wordy = F.when(F.col("words") > 0, F.col("pos"))
+    # Every line goes with the blank ones before it; ``at`` is the line with words, null behind the last.
+    lines = lines.withColumn("block", F.sum(F.when(F.col("words") > 0, 1).otherwise(0)).over(text) - F.when(F.col("words") > 0, 1).otherwise(0))
+    turned = F.when(F.col("words") == 0, rotated("h", "pos")).otherwise(0)
+    blocks = lines.withColumn("turned", turned).withColumn("wordy", wordy).groupBy("_id", "_mark", "block").agg(
+        F.max("wordy").alias("at"), F.max("words").alias("words"), F.max(F.when(F.col("words") > 0, F.col("h"))).alias("h"),
+        F.bit_xor("turned").alias("blanks"), F.count_if(F.col("words") == 0).cast("int").alias("gap"), F.max("pos").alias("last"),
     )
-
-
-def repeated_segments(lines: DataFrame) -> DataFrame:
-    """(_id, _mark, s, n, of): of each chunk the longest beginning and end that occur earlier, at ``of``.
+    blocks = blocks.withColumn("blanks", rotated("blanks", "-last - if(at IS NULL, 1, 0)"))
+    order = Window.partitionBy("_id", "_mark").orderBy("block")
+    after = {"gap_after": F.lead("gap", 1, 0).over(order), "blanks_after": F.lead("blanks", 1, 0).over(order)}
+    before = {c: F.lag(d).over(order) for c, d in (("h_before", "h"), ("gap_before", "gap"), ("blanks_before", "blanks"))}
+    blocks = blocks.withColumns(after | before).where("at IS NOT NULL")
+
+    def chunks(first: Column, n: Column, key: Column, gap: Column, blanks: Column) -> list[Column]:
+        """The chunk alone, with the blank lines before it, with those behind it, and with both."""
+        lead, tail = F.when(gap > 0, gap), F.when(F.col("gap_after") > 0, F.col("gap_after"))
+        found = []
+        for x, y in ((False, False), (True, False), (False, True), (True, True)):
+            more = (lead if x else F.lit(0)) + (tail if y else F.lit(0))
+            parts = [key, gap if x else F.lit(0), blanks if x else F.lit(0), F.col("gap_after") if y else F.lit(0), F.col("blanks_after") if y else F.lit(0)]
+            own = F.struct((first - (gap if x else F.lit(0))).cast("int").alias("s"), (n + more).cast("int").alias("n"), F.xxhash64(*parts).alias("key"))
+            found.append(F.when(more.isNotNull(), own))
+        return found
+
+    pair = F.xxhash64(F.col("h_before"), F.col("gap"), F.col("blanks"), F.col("h"))
+    pairs = chunks(F.col("at") - F.col("gap") - 1, F.col("gap") + 2, pair, F.col("gap_before"), F.col("blanks_before"))
+    pairs = [F.when(F.col("h_before").isNotNull(), c) for c in pairs]
+    single = [F.when(F.col("words") >= PASSAGE_WORDS, c) for c in chunks(F.col("at"), F.lit(1), F.xxhash64("h"), F.col("gap"), F.col("blanks"))]
+    blocks = blocks.select("_id", "_mark", F.explode(F.filter(F.array(*pairs, *single), lambda c: c.isNotNull())).alias("c"))
+    return blocks.select("_id", "_mark", "c.s", "c.n", "c.key")
+
+
+def repeated_segments(chunks: DataFrame) -> DataFrame:
+    """(_id, _mark, s, n, of): chunks that occur earlier, at ``of``.
 
     Earlier is by (null id last, id, hash of the text, line).
     """
     place = F.struct(F.col("_id").isNull().alias("absent"), "_id", "_mark", "s")
-    heads = lines.select("_id", "_mark", "start", F.col("start").alias("s"), (F.col("pos") - F.col("start") + 1).alias("n"), F.col("head").alias("key"), F.lit(0).alias("side"))
-    tails = lines.select("_id", "_mark", "start", F.col("pos").alias("s"), (F.col("end") - F.col("pos") + 1).alias("n"), F.col("tail").alias("key"), F.lit(1).alias("side"))
-    segments = heads.union(tails).withColumn("place", place)
+    segments = chunks.withColumn("place", place)
     firsts = segments.groupBy("key", "n").agg(F.min("place").alias("of"), F.max("place").alias("last"))
     firsts = firsts.where("of < last").drop("last")
     later = segments.join(firsts, ["key", "n"]).where("place > of")
-    longest = later.groupBy("_id", "_mark", "start", "side").agg(F.max(F.struct("n", "s", "of")).alias("best"))
-    return longest.select("_id", "_mark", "best.s", "best.n", "best.of").distinct()
+    return later.select("_id", "_mark", "s", "n", "of")
 
 
 def compared(docs: DataFrame, segments: DataFrame) -> DataFrame:
@@ -117,25 +120,10 @@ def _same_line(left: str, right: str, *columns: str) -> Column:
     return condition
 
 
-def keep_masks(lines: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(_id, _mark, keep, n_removed) of documents that lose lines; keep has one flag per line."""
-    touched = repeated.select("_id", "_mark").distinct()
-    own = lines.select("_id", "_mark", "pos", "words")
-    own = own.alias("l").join(touched.alias("d"), _same_line("l", "d", "_id", "_mark"), "left_semi")
-    found = repeated.withColumn("repeated", F.lit(True))
-    own = own.alias("l").join(found.alias("r"), _same_line("l", "r", "_id", "_mark", "pos"), "left")
-    own = own.select("l.*", F.coalesce("r.repeated", F.lit(False)).alias("repeated"))
-    # Blank lines belong to the run around them.
-    text = Window.partitionBy("_id", "_mark").orderBy("pos")
-    own = own.withColumn("run", F.sum(F.when(F.col("repeated"), 0).otherwise(1)).over(text.rowsBetween(Window.unboundedPreceding, 0)))
-    run = Window.partitionBy("_id", "_mark", "run", "repeated")
-    own = own.withColumns({"run_lines": F.count_if(F.col("words") > 0).over(run), "run_words": F.sum("words").over(run)})
-    goes = F.col("repeated") & ((F.col("run_lines") >= 2) | (F.col("run_words") >= PASSAGE_WORDS))
-    masks = own.withColumn("keep", ~goes).groupBy("_id", "_mark").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "keep"))), lambda x: x["keep"]).alias("keep"),
-        F.count_if(~F.col("keep")).alias("n_removed"),
-    )
-    return masks.where("n_removed > 0")
+def without_lines(lines: Column, gone: Column) -> Column:
+    """The lines left, in one text; ``gone`` has the numbers of the others."""
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+    return F.array_join(F.transform(kept, lambda k: F.get(lines, k)), "\n")
 
 
 def without_repeats(docs: DataFrame, out: str = "n_removed") -> DataFrame:
@@ -143,19 +131,19 @@ def without_repeats(docs: DataFrame, out: str = "n_removed") -> DataFrame:
 
     ``out`` counts the lines taken out. A passage stays where it comes first (ids
     ascending, null ids last). Null texts stay null. Rows equal in id and text are one
-    document and change alike. Blank lines repeat too but are not counted. A single
-    repeated line goes only if it has at least ``PASSAGE_WORDS`` words. All rows and
+    document and change alike. A passage is two or more neighbouring lines with words that
+    are neighbours at one earlier place too, with the same blank lines between; blank
+    lines around it go if that place has them all. A single repeated line goes only if
+    it has at least ``PASSAGE_WORDS`` words. All rows and
     other columns are kept; a column already named ``out`` is replaced. An empty table
     gives an empty one.
     """
-    lines = stored(chunk_lines(docs))
-    repeated = stored(compared(docs, stored(repeated_segments(lines))))
+    repeated = compared(docs, stored(repeated_segments(stored(chunk_lines(docs)))))
+    gone = stored(repeated.groupBy("_id", "_mark").agg(F.collect_list("pos").alias("gone")))
     kept = [c for c in docs.columns if c != out]
-    rows, masks = packed(docs, kept), keep_masks(lines, repeated)
-    joined = rows.join(masks, F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_mark") == F.col("_mark")), "left")
-    split = F.split("row.text", "\n", -1)
-    rest = F.filter(F.arrays_zip(split.alias("line"), F.col("keep").alias("keep")), lambda x: x["keep"])
-    left = F.array_join(F.transform(rest, lambda x: x["line"]), "\n")
-    text = F.when(F.col("keep").isNull(), F.col("row.text")).otherwise(left)
+    rows = packed(docs, kept)
+    joined = rows.join(gone, F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_mark") == F.col("_mark")), "left")
+    joined = joined.withColumn("lines", F.when(F.col("gone").isNotNull(), F.split("row.text", "\n", -1)))
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(without_lines(F.col("lines"), F.col("gone")))
     columns = [text.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in kept]
-    return joined.select(*columns, F.coalesce("n_removed", F.lit(0)).cast("long").alias(out))
+    return joined.select(*columns, F.coalesce(F.array_size("gone"), F.lit(0)).cast("long").alias(out))
