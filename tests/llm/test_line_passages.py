@@ -50,3 +50,12 @@ def test_passages_against_every_earlier_place(spark):
     want = brute_force(rows)
     assert without_repeats(spark, rows) == want
     assert sum(want[k] != t for k, t in rows) > 60 and sum(want[k] == t for k, t in rows) > 20
+
+
+def test_every_passage_of_three_short_lines_is_found(spark):
+    passages = ["\n".join(" ".join(f"p{k}l{j}w{i}" for i in range(18)) for j in range(3)) for k in range(120)]
+    rows = [(1 + k, f"before {k}\n{p}\nafter {k}") for k, p in enumerate(passages)]
+    rows += [(1000 + k, f"other {k}\n{p}\nlast {k}") for k, p in enumerate(passages)]
+    found = without_repeats(spark, rows)
+    assert all(found[k] == t for k, t in rows[:120])
+    assert all(found[1000 + k] == f"other {k}\nlast {k}" for k in range(120))
