@@ -18,6 +18,8 @@ from retailpulse.llm.common import packed, stored
 
 #: A single repeated line of so many words goes.
 PASSAGE_WORDS = 50
+#: What words lie between: ASCII white space.
+WHITE = " \t\n\v\f\r"
 
 
 def rotated(value: str, by: str) -> Column:
@@ -41,8 +43,7 @@ def chunk_lines(docs: DataFrame) -> DataFrame:
     a chunk is also given with those.
     """
     lines = marked(docs).select("_id", "_mark", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "line"))
-    blanks = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit("")))
-    words = F.when(F.trim("line") == "", 0).otherwise(blanks + 1).cast("int")
+    words = F.length(F.translate(F.regexp_replace("line", f"[^{WHITE}]++", "x"), WHITE, ""))
     lines = lines.select("_id", "_mark", "pos", F.xxhash64("line").alias("h"), words.alias("words"))
     lines = lines.repartition("_id", "_mark").distinct()
     text = Window.partitionBy("_id", "_mark").orderBy("pos")

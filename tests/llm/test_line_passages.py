@@ -59,3 +59,12 @@ def test_every_passage_of_three_short_lines_is_found(spark):
     found = without_repeats(spark, rows)
     assert all(found[k] == t for k, t in rows[:120])
     assert all(found[1000 + k] == f"other {k}\nlast {k}" for k in range(120))
+
+
+def test_words_lie_between_any_white_space(spark):
+    tabs = "\t".join(f"t{k}" for k in range(60))
+    rows = [(1, f"one\n{tabs}\ntwo"), (2, f"three\n{tabs}\nfour"), (3, "five\r\n\r\nshared line\r\nsix\r"), (4, "seven\r\n\r\nshared line\r\neight\r"),
+            (5, "nine  \n \t\nshared   line  with blanks" + " " * 60 + "\nten"), (6, "eleven\n \t\nshared   line  with blanks" + " " * 60 + "\ntwelve")]
+    found = without_repeats(spark, rows)
+    assert found[2] == "three\nfour" and all(found[k] == t for k, t in rows if k != 2)
+    assert found == brute_force(rows)
