@@ -32,7 +32,7 @@ DECAY = 0.5
 LANDMARKS = 192
 #: Most labelled texts of either class that the machine is fitted on, the lowest hashes of doc_id first.
 SAMPLE_PER_CLASS = 1500
-#: Most distinct words of the sample that are instances, those in most texts first.
+#: Most distinct words (or windows of them) of the sample that are instances, those in most texts first.
 INSTANCES = 60_000
 ROUNDS = 5
 FOLDS = 5
@@ -133,10 +133,9 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(self.slope * max(margin, -3.0) + self.shift, -30, 30))))
 
 
-def kernel(words: list[str], codes: np.ndarray, columns: np.ndarray) -> np.ndarray:
-    """Kernel of each word (its windows averaged) with the landmarks, given their code weights."""
-    marked = [windows(w)[0] for w in words]
-    out = np.zeros((len(words), columns.shape[1]), np.float32)
+def kernel(marked: list[str], codes: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Kernel of each window of a word with the landmarks, given their code weights."""
+    out = np.zeros((len(marked), columns.shape[1]), np.float32)
     padded = np.concatenate([columns, np.zeros((1, columns.shape[1]), np.float32)])
     for rows, found, scaled in occurrences(marked):
         for part in range(0, len(rows), 2000):
@@ -149,9 +148,8 @@ def kernel(words: list[str], codes: np.ndarray, columns: np.ndarray) -> np.ndarr
 
 
 def landmark_weights(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted codes of all landmarks and each landmark's weight of them."""
-    marked = [windows(w)[0] for w in landmarks]
-    found = list(occurrences(marked))
+    """Sorted codes of all landmarks (windows of words) and each landmark's weight of them."""
+    found = list(occurrences(landmarks))
     codes = np.unique(np.concatenate([c.ravel() for _, c, _ in found]))
     columns = np.zeros((len(codes), len(landmarks)), np.float32)
     for rows, own, scaled in found:
@@ -192,12 +190,19 @@ def logistic(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[flo
 
 
 def fit_words(texts: list[list[str]], toxic: list[int], prior: float) -> Machine:
-    """Machine of the distinct words of labelled texts; ``prior`` is the share of toxic ones."""
+    """Machine of the distinct words of labelled texts; ``prior`` is the share of toxic ones.
+
+    Every window of a word is an instance of its own, as in ``Machine.margins``.
+    """
     y = np.where(np.array(toxic, int) > 0, 1.0, -1.0)
     if not len(y) or len(set(y)) < 2:
         return Machine(np.zeros(1, np.uint64), np.zeros(1), 0.0, 1.0, 0.0, constant=float(prior))
     n_bad, n_good = int((y > 0).sum()), int((y < 0).sum())
     bad, good = defaultdict(int), defaultdict(int)
+    known: dict[str, list[str]] = {}
+    for word in set().union(*texts) - {""}:
+        known[word] = windows(word)
+    texts = [sorted(set().union(*(known[w] for w in words if w))) for words in texts]
     for words, label in zip(texts, y):
         for word in words:
             (bad if label > 0 else good)[word] += 1
