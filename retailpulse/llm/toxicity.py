@@ -32,8 +32,8 @@ DECAY = 0.5
 LANDMARKS = 192
 #: Most labelled texts of either class that the machine is fitted on, the lowest hashes of doc_id first.
 SAMPLE_PER_CLASS = 1500
-#: Most distinct words (or windows of them) of the sample that are instances, those in most texts first.
-INSTANCES = 60_000
+#: Instances whose features are computed at a time; only those of witnesses and hard negatives are kept.
+PART = 5000
 ROUNDS = 5
 FOLDS = 5
 #: Longer words are looked at in overlapping windows of this size.
@@ -206,32 +206,46 @@ def fit_words(texts: list[list[str]], toxic: list[int], prior: float) -> Machine
     for words, label in zip(texts, y):
         for word in words:
             (bad if label > 0 else good)[word] += 1
-    vocabulary = sorted({*bad, *good}, key=lambda w: (-(bad[w] + good[w]), w))[:INSTANCES]
+    vocabulary = sorted({*bad, *good}, key=lambda w: (-(bad[w] + good[w]), w))
     at = {w: k for k, w in enumerate(vocabulary)}
     p = np.array([bad[w] for w in vocabulary]) / n_bad
     q = np.array([good[w] for w in vocabulary]) / n_good
     score = (p - q) / np.sqrt((p + q) / 2 * (1 / n_bad + 1 / n_good) + 1e-9)
     typical = np.argsort(-score, kind="stable")[: LANDMARKS // 2]
-    common = [k for k in range(len(vocabulary)) if k not in set(typical)][: LANDMARKS // 2]
+    chosen = set(typical.tolist())
+    common = [k for k in range(len(vocabulary)) if k not in chosen][: LANDMARKS // 2]
     landmarks = [vocabulary[k] for k in [*typical, *common]]
     codes, columns = landmark_weights(landmarks)
     values, vectors = np.linalg.eigh(columns.T.astype(float) @ columns)
     keep = values > 1e-4 * values.max()
     back = vectors[:, keep] / np.sqrt(values[keep])
-    x = np.ones((len(vocabulary), back.shape[1] + 1), np.float32)
-    gram, pull = 1e-2 * np.eye(x.shape[1]), np.zeros(x.shape[1])
-    for part in range(0, len(x), 5000):
-        some = slice(part, part + 5000)
-        x[some, :-1] = kernel(vocabulary[some], codes, columns) @ back
-        own = x[some].astype(float)
+
+    def features(marked: list[str]) -> np.ndarray:
+        x = np.ones((len(marked), back.shape[1] + 1))
+        x[:, :-1] = kernel(marked, codes, columns) @ back
+        return x
+
+    def margins(v: np.ndarray) -> np.ndarray:
+        line = np.append(columns.astype(float) @ (back @ v[:-1]), 0.0)
+        out = np.full(len(vocabulary), v[-1])
+        for part in range(0, len(vocabulary), PART):
+            for rows, found, scaled in occurrences(vocabulary[part:part + PART]):
+                out[part + rows] += line[looked_up(found, codes)] @ scaled
+        return out
+
+    gram, pull = 1e-2 * np.eye(back.shape[1] + 1), np.zeros(back.shape[1] + 1)
+    for part in range(0, len(vocabulary), PART):
+        some = slice(part, part + PART)
+        own = features(vocabulary[some])
         gram += (own * (p + q)[some, None]).T @ own
         pull += own.T @ (p - q)[some]
     # Start: every word takes its text's label.
     v = np.linalg.solve(gram, pull)
-    members = [np.array([at[w] for w in words if w in at], int) for words in texts]
+    members = [np.array([at[w] for w in words], int) for words in texts]
     hard: set[int] = set()
+    kept: dict[int, np.ndarray] = {}
     for _ in range(ROUNDS):
-        f = x @ v
+        f = margins(v)
         witness = [int(m[f[m].argmax()]) for m, label in zip(members, y) if label > 0 and len(m)]
         for m, label in zip(members, y):
             if label < 0 and len(m):
@@ -244,8 +258,10 @@ def fit_words(texts: list[list[str]], toxic: list[int], prior: float) -> Machine
         rows = np.concatenate([np.array(witness, int), negative])
         label = np.concatenate([np.ones(len(witness)), -np.ones(len(negative))])
         weight = np.where(label > 0, 10 / len(witness), 10 / max(1, len(negative)))
-        v = squared_hinge(x[rows].astype(float), label, weight, 1e-2)
-    f = x @ v
+        new = sorted(set(rows.tolist()).difference(kept))
+        kept.update(zip(new, features([vocabulary[k] for k in new]).astype(np.float32)))
+        v = squared_hinge(np.stack([kept[k] for k in rows.tolist()]).astype(float), label, weight, 1e-2)
+    f = margins(v)
     margin = np.array([f[m].max() if len(m) else f.min() for m in members])
     weight = np.where(y > 0, prior / n_bad, (1 - prior) / n_good) * len(y)
     slope, shift = logistic(margin, y, weight)
