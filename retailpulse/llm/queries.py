@@ -8,8 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpulse.llm import cross_polytope, decontamination, lattice_lm, line_chunks, piece_transducer, secrets, simhash_pivots, toxicity, url_filter, wavelet
-from retailpulse.llm.common import held_out, table
+from retailpulse.llm import (
+    centroids, cross_polytope, decontamination, lattice_lm, line_chunks, piece_transducer, secrets, simhash_pivots, toxicity,
+    url_filter, vector_codes, wavelet,
+)
+from retailpulse.llm.common import held_out, stored, table
+from retailpulse.llm.vector_sql import centroid_sql, code_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -112,3 +116,31 @@ def op8_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
     )
+
+
+#: A label's rows are dealt to so many tasks where its total is joined to them.
+LABEL_SALTS = 16
+
+
+@query("op12_hilbert_codes", code_sql())
+def op12_hilbert_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    hexes = F.lower(F.array_join(F.transform("codes", lambda c: F.lpad(F.hex(c), 2, "0")), ""))
+    rows = found.rows.select("vec_id", "label", hexes.alias("code"), "error")
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(LABEL_SALTS)).cast("int"))
+    sums = rows.groupBy(F.col("label").alias("of")).agg(F.try_sum("error").alias("label_error"))
+    sums = sums.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1))))
+    joined = rows.join(sums, (F.col("salt") == F.col("part")) & F.col("label").eqNullSafe(F.col("of")))
+    return joined.select("vec_id", "code", "error", "label_error", F.lit(found.checksum()).alias("codebooks_sha256"))
+
+
+@query("op13_zone_centroids", centroid_sql())
+def op13_zone_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    rows = stored(found.rows)
+    # One row a cluster.
+    sums = {r.cluster: r.d for r in rows.groupBy("cluster").agg(F.try_sum("distance").alias("d")).collect()}
+    whole = None if None in sums.values() or sum(sums.values()) >= 1 << 63 else sum(sums.values())
+    known = [(k, sums[k], whole, text) for k, text in enumerate(found.checksums()) if k in sums]
+    facts = spark.createDataFrame(known, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    return rows.join(F.broadcast(facts), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
