@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailpulse.llm import (
-    centroids, cross_polytope, decontamination, lattice_lm, line_chunks, piece_transducer, secrets, simhash_pivots, toxicity,
-    url_filter, vector_codes, wavelet,
+    centroids, cross_polytope, decontamination, lattice_lm, license_index, line_chunks, piece_transducer, secrets, simhash_pivots,
+    toxicity, url_filter, vector_codes, wavelet,
 )
 from retailpulse.llm.common import held_out, stored, table
+from retailpulse.llm.license_sql import license_sql
 from retailpulse.llm.vector_sql import centroid_sql, code_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,6 +119,22 @@ def op8_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_license_index", license_sql())
+def op11_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_index.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("licenses", lambda s: s["base"])
+    starts = F.transform(base, lambda s: s["start"])
+
+    def joined(spans):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"), joined(F.col("licenses")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("licenses", lambda s: s["share"])), F.lit(0.0)).alias("score"),
+    )
+
+
 #: A label's rows are dealt to so many tasks where its total is joined to them.
 LABEL_SALTS = 16
 
