@@ -12,7 +12,6 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from retailpulse.llm.common import stored
 from retailpulse.llm.hilbert_blocks import assigned, finite, in_blocks, rounds_of, scaled
@@ -64,8 +63,7 @@ def cluster(
     kept = stored(kept.select(F.monotonically_increasing_id().alias("id"), rank.alias("rank"), row, scaled(column, scale).alias("v")))
     starts = kept.orderBy(F.col("rank").asc_nulls_last(), "v").limit(clusters).select("v").collect()
     if not starts:
-        fields = [*kept.schema["row"].dataType.fields]
-        empty = vectors.sparkSession.createDataFrame([], StructType(fields).add(out, "int").add(distance, "long"))
+        empty = kept.select("row.*", F.lit(None).cast("int").alias(out), F.lit(None).cast("long").alias(distance))
         return Clustering(empty, np.zeros((0, dims), np.int64))
     blocks = in_blocks(kept.select(F.lit(0).alias("part"), "id", "v"))
     centroids = rounds_of(blocks, {0: np.array([r.v for r in starts], np.int64)}, rounds)

@@ -13,7 +13,6 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from retailpulse.llm.common import stored
 from retailpulse.llm.hilbert_blocks import assigned, finite, in_blocks, rounds_of, scaled
@@ -72,8 +71,7 @@ def compress(
     ordered = kept.orderBy(F.col("own").asc_nulls_last(), "v").select("v")
     first = ordered.first()
     if first is None:
-        fields = [*kept.schema["row"].dataType.fields]
-        return Compressed(vectors.sparkSession.createDataFrame([], StructType(fields).add(codes, "array<int>").add(error, "long")), {})
+        return Compressed(kept.select("row.*", F.lit(None).cast("array<int>").alias(codes), F.lit(None).cast("long").alias(error)), {})
     dims = len(first.v)
     kept = kept.where(F.size("v") == dims)
     starts = np.array([r.v for r in ordered.where(F.size("v") == dims).limit(entries).collect()], np.int64)
