@@ -15,6 +15,8 @@ class StreamParams:
     trigger: str = "10 seconds"
     watermark: str = "10 minutes"
     window: str = "1 minute"
+    # After so many batches the files of all tables are gathered.
+    compact_every: int = 64
 
 
 @dataclass(frozen=True)

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailpulse.functions.clock import Clock, before
+from retailpulse.functions.clock import Clock, before, moment
 from retailpulse.functions.labels import severity_color
 from retailpulse.operators.series import previous_value
-from retailpulse.schemas import ALERTS
+from retailpulse.schemas import ALERT
 
 # Which columns identify "the same alert" for each producer.
 LOW_STOCK_KEY = ["alert_type", "entity_id"]
@@ -31,11 +31,38 @@ def suppress_recent(
 def unify(*producers: DataFrame) -> DataFrame:
     """Alert frames of several producers in the one alert schema."""
     columns = [
-        [F.col(f.name).cast(f.dataType).alias(f.name) for f in ALERTS.fields] for _ in producers
+        [F.col(f.name).cast(f.dataType).alias(f.name) for f in ALERT.fields] for _ in producers
     ]
     return reduce(DataFrame.unionByName, [df.select(*c) for df, c in zip(producers, columns)])
 
 
+def with_alert_id(alerts: DataFrame, *named: Column) -> DataFrame:
+    """Alerts with ``alert_id``: a hash of what names their origin and of their content.
+
+    The same alert of the same origin gets the same id again, so ids survive a repeated run.
+    """
+    content = [F.col(f.name).cast(f.dataType) for f in ALERT.fields if f.name != "resolved"]
+    return alerts.withColumn("alert_id", F.xxhash64(*named, *content))
+
+
+def open_alerts(alerts: DataFrame, at: Clock, chosen: Column | None = None) -> DataFrame:
+    """(alert_id, resolved_at, part) that resolve the open alerts, or those ``chosen``; part is the alert's day."""
+    rows = unresolved(alerts) if chosen is None else unresolved(alerts).filter(chosen)
+    return rows.select("alert_id", moment(at).alias("resolved_at"), F.date_format("detected_at", "yyyy-MM-dd").alias("part"))
+
+
+def fold_resolutions(alerts: DataFrame, resolutions: DataFrame) -> DataFrame:
+    """Alerts as they stand: ``resolved`` if raised so or resolved since, and ``resolved_at``, the first time.
+
+    An alert resolved twice is resolved once; resolutions of unknown alerts change nothing.
+    """
+    first = resolutions.groupBy("alert_id").agg(F.min("resolved_at").alias("resolved_at"))
+    others = [c for c in alerts.columns if c != "resolved_at"]
+    return alerts.select(*others).join(first, "alert_id", "left").select(
+        *[c if c != "resolved" else (F.col("resolved") | F.col("resolved_at").isNotNull()).alias(c) for c in others], "resolved_at"
+    )
+
+
 def unresolved(alerts: DataFrame, severity: str | None = None, kind: str | None = None) -> DataFrame:
     alerts = alerts.filter(~F.col("resolved"))
     if severity is not None:

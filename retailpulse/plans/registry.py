@@ -129,6 +129,12 @@ SELECT event_id AS alert_id,
        CASE WHEN event_type = 'signup' THEN CAST(2 * CAST(json_extract_string(props, '$.k') AS INT) AS DECIMAL(14,4)) END AS expected_high,
        ts AS detected_at, event_id % 3 = 0 AS resolved
 FROM events WHERE event_type IN ('error', 'signup', 'click')""",
+    "fx_resolutions": """
+SELECT event_id AS alert_id, ts + INTERVAL 5 MINUTE AS resolved_at FROM events WHERE event_id % 2 = 0
+UNION ALL SELECT event_id, ts + INTERVAL 9 MINUTE FROM events WHERE event_id % 4 = 0""",
+    "fx_alert_states": """
+SELECT a.* REPLACE (resolved OR first_at IS NOT NULL AS resolved), first_at AS resolved_at
+FROM fx_alerts a LEFT JOIN (SELECT alert_id, min(resolved_at) AS first_at FROM fx_resolutions GROUP BY alert_id) r ON a.alert_id = r.alert_id""",
     "fx_lines": """
 SELECT CAST(l_orderkey AS STRING) AS order_id, CAST(l_partkey AS INT) AS product_id,
        CAST(l_quantity AS INT) AS quantity,

@@ -227,6 +227,36 @@ def _(t):
     )
 
 
+@query("p10_alert_states", """
+SELECT alert_type, severity, resolved, resolved_at IS NOT NULL AS resolved_later, count(*) AS alerts,
+       max(date_diff('second', detected_at, resolved_at)) AS longest_seconds
+FROM fx_alert_states GROUP BY 1, 2, 3, 4""")
+def _(t):
+    lasted = F.unix_seconds("resolved_at") - F.unix_seconds("detected_at")
+    return t.alert_states.groupBy("alert_type", "severity", "resolved", F.col("resolved_at").isNotNull().alias("resolved_later")).agg(
+        F.count("*").alias("alerts"), F.max(lasted).alias("longest_seconds")
+    )
+
+
+@query("p10_resolved_feed", """
+SELECT alert_id, detected_at, severity, alert_type, entity_id, message,
+       CASE severity WHEN 'CRITICAL' THEN '#C0392B' WHEN 'HIGH' THEN '#E67E22' WHEN 'WARNING' THEN '#F1C40F' ELSE '#BDC3C7' END AS color
+FROM fx_alert_states WHERE NOT resolved ORDER BY detected_at DESC, alert_id DESC LIMIT 15""")
+def _(t):
+    return al.alert_feed(t.alert_states)
+
+
+@query("p10_resolved_measures", """
+SELECT nullif(count(*) FILTER (NOT resolved), 0) AS active_alerts,
+       nullif(count(*) FILTER (NOT resolved AND severity = 'CRITICAL'), 0) AS critical_alerts,
+       nullif(count(*) FILTER (NOT resolved AND alert_type = 'LOW_STOCK'), 0) AS low_stock_alerts_active,
+       nullif(count(*) FILTER (detected_at >= (SELECT as_of FROM fx_now) - INTERVAL 15 MINUTE), 0) AS alerts_last_15_min
+FROM fx_alert_states""")
+def _(t):
+    measures = ["active_alerts", "critical_alerts", "low_stock_alerts_active", "alerts_last_15_min"]
+    return evaluate({"alerts": t.alert_states}, measures, t.now)
+
+
 # --- joins and merges ------------------------------------------------------
 
 _J1 = """

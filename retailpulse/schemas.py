@@ -113,7 +113,8 @@ PRODUCT_SALES_METRICS = _struct(
     revenue=MONEY,
 )
 
-ALERTS = _struct(
+# What a producer says of an alert.
+ALERT = _struct(
     alert_type=StringType(),
     severity=StringType(),
     entity_type=StringType(),
@@ -126,6 +127,10 @@ ALERTS = _struct(
     resolved=BooleanType(),
 )
 
+ALERTS = StructType([StructField("alert_id", LongType()), *ALERT.fields])
+
+RESOLUTIONS = _struct(alert_id=LongType(), resolved_at=TimestampType())
+
 KPI_THRESHOLDS = _struct(
     metric_name=StringType(),
     description=StringType(),

@@ -39,6 +39,8 @@ def build_session(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
+        # A batch then uploads what it changed, not its whole state.
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     if master:
         builder = builder.master(master)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from retailpulse.functions.clock import latest
 from retailpulse.functions.numbers import round_half_up
+from retailpulse.operators.alerts import fold_resolutions
 from retailpulse.operators.inventory import apply_sales
 from retailpulse.operators.metrics import minute_sales, product_minute_sales
 from retailpulse.schemas import SEED_RULES
@@ -156,6 +157,19 @@ class Testbed:
             (F.col("event_id") % 3 == 0).alias("resolved"),
         )
 
+    @cached_property
+    def resolutions(self) -> DataFrame:
+        """Every second alert resolved after five minutes, every fourth once more after nine; one of no alert."""
+        again = F.sequence(F.lit(5), F.when(F.col("alert_id") % 4 == 0, 9).otherwise(5), F.lit(4))
+        chosen = self.events.select(F.col("event_id").alias("alert_id"), "ts").filter(F.col("alert_id") % 2 == 0)
+        return chosen.select("alert_id", "ts", F.explode(again).alias("after")).select(
+            "alert_id", (F.col("ts") + F.make_dt_interval(mins="after")).alias("resolved_at")
+        )
+
+    @cached_property
+    def alert_states(self) -> DataFrame:
+        return fold_resolutions(self.alerts, self.resolutions)
+
     @cached_property
     def lines(self) -> DataFrame:
         return self.raw("lineitem").select(

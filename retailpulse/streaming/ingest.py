@@ -7,7 +7,6 @@ state here. Each batch is safe to run again (see `store`).
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -15,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from retailpulse.config import DEFAULTS, Params
-from retailpulse.functions.clock import before, latest
 from retailpulse.operators.alerts import LOW_STOCK_KEY, suppress_recent
 from retailpulse.operators.inventory import (
     apply_sales,
@@ -26,32 +24,47 @@ from retailpulse.operators.inventory import (
 from retailpulse.operators.metrics import minute_sales, product_minute_sales, units_by_product
 from retailpulse.operators.shape import order_headers, order_lines, with_line_total
 from retailpulse.session import shared_folder
-from retailpulse.sources.events import accepted, quarantined
-from retailpulse.streaming.store import MAIN, BatchTable, Store
+from retailpulse.sources.events import accepted, is_complete, quarantined
+from retailpulse.streaming.store import ALL, MAIN, RESTOCK, BatchTable, Carried, Store
 
-ALL = "all"
+# Marks a stream whose own state let each order id through once.
+REMEMBERED = "remembered"
 
 
 def _day(column: str):
     return F.date_format(column, "yyyy-MM-dd")
 
 
+def remembered(decoded: DataFrame) -> DataFrame:
+    """Each order once, by the ids that the stream keeps in its state for as long as it lives.
+
+    What a batch costs depends on its own orders alone: they are looked up by key. The
+    same rejected text passes once, too. Which of several payloads with one id in one
+    batch passes is open; the batch's tables all follow the same one.
+    """
+    key = F.when(is_complete(), F.concat(F.lit("order "), "order_id")).otherwise(F.concat(F.lit("text "), F.sha2(F.col("json").cast("binary"), 256)))
+    kept = decoded.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
+    return kept.withColumn(REMEMBERED, F.lit(True))
+
+
 def first_seen(store: Store, orders: DataFrame, batch_id: int, run: str = MAIN) -> DataFrame:
     """Orders not stored by an earlier batch, one row per order id, whatever its timestamp.
 
-    Only stored ids are read back, no other column.
+    Stored ids are read back, no other column.
     """
-    part = F.date_format("order_timestamp", store.order_format).alias("part")
     others = [c for c in orders.columns if c != "order_id"]
     # The payload with the least text wins, so a second run picks the same.
     unique = (
         orders.groupBy("order_id")
         .agg(F.min_by(F.struct(*others), F.to_json(F.struct(*others))).alias("o"))
         .select("order_id", "o.*")
-        .select("*", part)
     )
-    stored = store.order_ids.read(before=batch_id, run=run).select("order_id")
-    return unique.join(stored, "order_id", "left_anti")
+    return unseen(store, unique, batch_id, run)
+
+
+def unseen(store: Store, orders: DataFrame, batch_id: int, run: str) -> DataFrame:
+    """Orders that neither another run nor a batch of ``run`` before ``batch_id`` has stored."""
+    return orders.join(store.order_ids.read(before=batch_id, run=run).select("order_id"), "order_id", "left_anti")
 
 
 def run_of(batch: DataFrame) -> str:
@@ -67,47 +80,38 @@ def batch_handler(
     """The ``foreachBatch`` function over decoded events.
 
     ``read_products`` is called per batch, so catalog changes apply at once;
-    stock is the catalog's stock less all units sold so far.
+    stock is the catalog's stock less all units sold so far. A batch already
+    committed is left as it is.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        fresh = None
+        run, known = run_of(batch), REMEMBERED in batch.columns
+        if store.log.committed(batch_id, run) or not known and batch.isEmpty():
+            return
+        # Computed once: with state before it, the batch is not to be run twice.
+        text = F.when(~is_complete(), F.col("json")).alias("json")
+        batch = store.frozen(batch.select(text, *[c for c in batch.columns if c != "json"]), run)
+        before = store.carried(batch_id, run)
+        fresh = accepted(batch).drop("arrived_at", REMEMBERED)
+        if not known:
+            fresh = first_seen(store, fresh, batch_id, run)
+        elif before.others - {RESTOCK}:
+            # The run's own ids are in its state; those of other runs are stored.
+            fresh = unseen(store, fresh, 0, run)
+        fresh = fresh.withColumn("part", F.date_format("order_timestamp", store.order_format)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if batch.isEmpty():
-                return
-            run = run_of(batch)
-            payload = [c for c in batch.columns if c not in ("json", "arrived_at")]
-            fresh = first_seen(store, accepted(batch).select(*payload), batch_id, run)
-            fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
             rejected = quarantined(batch).withColumn("part", F.lit(ALL))
-            write_all(
-                batch_id,
-                run,
-                (store.quarantine, rejected),
-                *order_tables(store, fresh, params),
-                *inventory_tables(store, read_products(), fresh, batch_id, params, run),
-            )
+            stock, carried = inventory_tables(store, read_products(), fresh, before, params)
+            outputs = [(store.quarantine, rejected), *order_tables(store, fresh, params), *stock]
+            store.write_batch(batch_id, run, outputs, before, carried)
         finally:
-            if fresh is not None:
-                fresh.unpersist()
-            batch.unpersist()
+            fresh.unpersist()
+        if (batch_id + 1) % params.stream.compact_every == 0:
+            store.compact(batch_id, run)
 
     return handle
 
 
-def write_all(batch_id: int, run: str, *outputs: tuple[BatchTable, DataFrame]) -> None:
-    """Write the batch's tables side by side; the first failure is raised.
-
-    No output reads what another one writes in the same batch, and each may be
-    written again, so their order does not matter.
-    """
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        jobs = [pool.submit(table.write, df, batch_id, run) for table, df in outputs]
-    for job in jobs:
-        job.result()
-
-
 def order_tables(store: Store, orders: DataFrame, params: Params) -> list[tuple[BatchTable, DataFrame]]:
     items = order_lines(orders, "order_timestamp", "part")
     window = params.stream.window
@@ -115,7 +119,7 @@ def order_tables(store: Store, orders: DataFrame, params: Params) -> list[tuple[
     product_minutes = product_minute_sales(items, window).withColumn("part", _day("window_start"))
     return [
         (store.orders, order_headers(orders, "part")),
-        (store.order_ids, orders.select("order_id", store.id_part().alias("part"))),
+        (store.order_ids, orders.select("order_id", F.lit(ALL).alias("part"))),
         (store.order_items, with_line_total(items)),
         (store.minute_sums, minutes),
         (store.product_minute_sums, product_minutes),
@@ -123,35 +127,35 @@ def order_tables(store: Store, orders: DataFrame, params: Params) -> list[tuple[
 
 
 def inventory_tables(
-    store: Store, products: DataFrame, orders: DataFrame, batch_id: int, params: Params, run: str = MAIN
-) -> list[tuple[BatchTable, DataFrame]]:
-    """Stock movements of the batch and the low-stock alerts they lead to.
+    store: Store, products: DataFrame, orders: DataFrame, before: Carried, params: Params
+) -> tuple[list[tuple[BatchTable, DataFrame]], DataFrame]:
+    """Stock movements of the batch and the low-stock alerts they lead to, and what the run carries on.
 
     The clock is the newest order of this and all earlier batches: late orders do
     not turn it back.
     """
     items = order_lines(orders)
-    newest = latest(orders, "order_timestamp")
-    now = F.when(newest.isNotNull(), F.greatest(newest, store.newest_order(batch_id, run)))
-    opening = apply_sales(products, store.units_sold.totals(before=batch_id, run=run))
+    newest = F.max("order_timestamp")
+    clock = orders.agg(F.when(newest.isNotNull(), F.greatest(newest, before.newest_order()))).first()[0]
+    now = F.lit(clock).cast("timestamp")
+    opening = apply_sales(products, before.sold())
 
     sold = units_by_product(items).withColumnRenamed("qty", "quantity")
     known = sold.join(products.select("product_id"), "product_id", "left_semi")
     unknown = unknown_products(products, items)
     log = sale_movements(opening, items, now)
     candidates = low_stock_alerts(apply_sales(opening, items), now)
-    quiet = params.cooldown.low_stock
-    history = store.alerts.read(before=batch_id, since=before(now, quiet), run=run)
-    history = history.filter(F.col("detected_at") <= now)
-    raised = suppress_recent(candidates, history, LOW_STOCK_KEY, now, quiet)
+    history = before.alerts().withColumn("alert_type", F.lit("LOW_STOCK"))
+    raised = suppress_recent(candidates, history, LOW_STOCK_KEY, now, params.cooldown.low_stock)
     # Nothing is alerted by a batch without a single new order.
     raised = raised.filter(F.col("detected_at").isNotNull())
-    return [
+    outputs = [
         (store.units_sold, known.withColumn("part", F.lit(ALL))),
         (store.unknown_products, unknown.withColumn("part", F.lit(ALL))),
         (store.inventory_log, log.withColumn("part", _day("event_timestamp"))),
         (store.alerts, raised.withColumn("part", _day("detected_at"))),
     ]
+    return outputs, before.next(known, clock, raised)
 
 
 def start(
@@ -163,12 +167,13 @@ def start(
 ) -> StreamingQuery:
     """Run the handler on every trigger, or once over what is there (``drain``).
 
+    Repeated orders are held back by the query's state (`remembered`).
     Progress is kept in ``checkpoint``, a folder that all executors share; without
     one, below the folder the session names in ``spark.checkpoint.dir``.
     """
     checkpoint = checkpoint or f"{shared_folder(decoded.sparkSession)}/order-ingest"
     writer = (
-        decoded.writeStream.foreachBatch(handler)
+        remembered(decoded).writeStream.foreachBatch(handler)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )

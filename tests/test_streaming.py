@@ -9,11 +9,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import T0, at, money, product_frame, rows
+from retailpulse.config import DEFAULTS, Params, StreamParams
+from retailpulse.operators import alerts as al
 from retailpulse.operators import metrics
+from retailpulse.plans.measures import evaluate
 from retailpulse.session import shared_folder
 from retailpulse.sources import events
 from retailpulse.sources.tables import seed_rules
 from retailpulse.streaming import ingest, monitor, native
+from retailpulse.streaming import store as store_module
 from retailpulse.streaming.store import Store
 
 
@@ -37,23 +41,30 @@ ORDERS = [order(i, i % 17 / 2, (1 + i % 3, 1 + i % 2, 2.5), (2, 1, 1.25)) for i
 
 
 class Run:
-    def __init__(self, spark, tmp_path, stock=((1, 500, 10), (2, 500, 10), (3, 500, 10))):
+    def __init__(self, spark, tmp_path, stock=((1, 500, 10), (2, 500, 10), (3, 500, 10)), params=DEFAULTS):
         self.spark, self.inbox = spark, tmp_path / "in"
         self.store = Store(spark, str(tmp_path / "out"))
         self.checkpoint = str(tmp_path / "cp")
         self.products = product_frame(spark, list(stock))
-        self.handler = ingest.batch_handler(self.store, lambda: self.products)
+        self.handler = ingest.batch_handler(self.store, lambda: self.products, params)
 
     def drain(self, files_per_batch=None):
         decoded = events.decode(events.file_events(self.spark, str(self.inbox), files_per_batch))
         query = ingest.start(decoded, self.handler, self.checkpoint, drain=True)
         query.awaitTermination()
 
-    def replay(self, documents, batch_id):
+    def batch(self, documents):
         raw = self.spark.createDataFrame(
             [(d if isinstance(d, str) else json.dumps(d),) for d in documents], "json string"
         ).withColumn("arrived_at", F.lit(T0).cast("timestamp"))
-        self.handler(events.decode(raw), batch_id)
+        return events.decode(raw)
+
+    def replay(self, documents, batch_id):
+        self.handler(self.batch(documents), batch_id)
+
+    def remembered_batch(self, documents, batch_id):
+        """As a stream hands it over whose state has taken out repeated ids."""
+        self.handler(ingest.remembered(self.batch(documents)), batch_id)
 
     def totals(self):
         return rows(self.store.sales_metrics(), "window_start", "revenue", "order_count", "item_count", "avg_order_value")
@@ -296,6 +307,140 @@ def test_native_deduplication_and_stock(spark, tmp_path):
     assert unique.count() == 1
 
 
+def files_read(monkeypatch, run, documents, batch_id):
+    """Files that a batch names to Spark, its own input and output apart."""
+    named = []
+    read = store_module._written
+
+    def counted(spark, path, schema):
+        found = read(spark, path, schema)
+        if found is not None:
+            named.extend(f for f in found.inputFiles())
+        return found
+
+    with monkeypatch.context() as m:
+        m.setattr(store_module, "_written", counted)
+        run.remembered_batch(documents, batch_id)
+    return len(named)
+
+
+def test_a_batch_reads_no_more_after_many_batches(spark, run, monkeypatch):
+    counts = [files_read(monkeypatch, run, ORDERS[k:k + 1], k) for k in range(14)]
+    assert counts[2] > 0 and set(counts[2:]) == {counts[2]}
+    assert run.store.orders.read().count() == 14
+    # The clock is one carried number, not a look at all orders.
+    newest = max(r[0] for r in rows(run.store.orders.read(), "order_timestamp"))
+    assert spark.range(1).select(run.store.carried(14).newest_order()).first()[0] == newest
+
+
+def test_a_repeat_after_any_time_counts_once(spark, run):
+    for k in range(3):
+        land(run.inbox, f"{k}.json", [*ORDERS[k * 10:k * 10 + 10], order(0, 999_999, (1, 9, 9.0)), "{broken", "{broken"])
+        run.drain()
+    assert run.store.orders.read().count() == 30
+    assert run.store.quarantine.read().count() == 1
+    # A new checkpoint forgets its state, so what other runs stored is looked up.
+    run.checkpoint += "-new"
+    land(run.inbox, "last.json", ORDERS)
+    run.drain()
+    assert run.store.orders.read().count() == 40
+    assert rows(run.store.units_sold.totals()) == rows(spark.createDataFrame(
+        [(p, sum(i["quantity"] for o in ORDERS for i in o["items"] if i["product_id"] == p)) for p in (1, 2, 3)], "product_id int, quantity long"
+    ))
+
+
+def test_half_a_batch_is_not_seen(spark, run, monkeypatch):
+    run.replay(ORDERS[:20], 0)
+    seen = run.totals(), rows(run.store.units_sold.totals()), run.store.orders.read().count(), run.store.order_items.read().count()
+    write = store_module.BatchTable.write
+
+    def fails(self, df, batch_id, run="main"):
+        if self.path.endswith("minute_sums"):
+            raise OSError("lost")
+        write(self, df, batch_id, run)
+
+    monkeypatch.setattr(store_module.BatchTable, "write", fails)
+    with pytest.raises(OSError):
+        run.replay(ORDERS[20:], 1)
+    assert os.path.isdir(f"{run.store.root}/orders/run=main/batch_id=1")
+    assert seen == (run.totals(), rows(run.store.units_sold.totals()), run.store.orders.read().count(), run.store.order_items.read().count())
+    monkeypatch.setattr(store_module.BatchTable, "write", write)
+    run.replay(ORDERS[20:], 1)
+    assert run.totals() == expected_minutes(spark)
+    assert run.store.orders.read().count() == 40
+
+
+def everything(store):
+    out = {}
+    for table in store.tables:
+        df = table.totals() if isinstance(table, store_module.AdditiveTable) else table.read()
+        out[table.path.rsplit("/", 1)[1]] = rows(df.drop("part"))
+    return out
+
+
+def test_all_tables_compact_and_clear(spark, tmp_path):
+    params = Params(stream=StreamParams(compact_every=2))
+    often, never = Run(spark, tmp_path / "often", ((1, 12, 10), (2, 20, 10)), params), Run(spark, tmp_path / "never", ((1, 12, 10), (2, 20, 10)))
+    for k in range(3):
+        for one in (often, never):
+            one.replay([*ORDERS[k * 13:k * 13 + 13], f"{{broken {k}"], k)
+    assert often.store.log.compacted().through == {"main": 1}
+    assert everything(often.store) == everything(never.store)
+    # Compacted batches are no longer read one by one.
+    assert often.store.log.batches(often.store.log.compacted()).count() == 1
+    broken = often.store.log.note
+    often.store.log.note = lambda now: (_ for _ in ()).throw(OSError("lost"))
+    with pytest.raises(OSError):
+        often.store.compact(2)
+    often.store.log.note = broken
+    assert everything(often.store) == everything(never.store)
+    often.store.compact(2)
+    assert everything(often.store) == everything(never.store)
+    often.store.clear()
+    assert not any(everything(often.store).values())
+    often.replay(ORDERS[:3], 3)
+    assert often.store.orders.read().count() == 3
+    assert rows(often.store.products(often.products), "product_id", "stock_quantity") == [(1, 11), (2, 15)]
+
+
+def test_alerts_have_an_identity_and_can_be_resolved(spark, tmp_path):
+    run = Run(spark, tmp_path, stock=((1, 12, 10), (2, 12, 10)))
+    run.replay([order("a", 0, (1, 3, 1.0))], 0)
+    run.replay([order("b", 11, (2, 12, 1.0))], 1)
+    store = run.store
+    first = rows(store.alerts.read(), "alert_id", "detected_at", "entity_id")
+    assert len({r[0] for r in first}) == len(first) == 3
+    feed = al.alert_feed(store.alerts.read()).collect()
+    assert [(r.entity_id, r.detected_at) for r in feed][-1] == ("1", at(0)) and len(feed) == 3
+    change = rows(al.value_change(store.alerts.read()), "entity_id", "detected_at", "previous_value", "change")
+    assert [(r[0], r[1], r[2], r[3]) for r in change if r[2] is not None] == [("1", at(11), money("9.0000"), money("0.0000"))]
+    assert al.alert_log(store.alerts.read()).count() == 3
+    assert store.resolve(at(12), 1, F.col("entity_id") == "2") == 1
+    assert store.resolve(at(13), 1) == 0 and store.resolve(at(13), 2) == 2 and store.resolve(at(14), 3) == 0
+    state = rows(store.alerts.read(), "entity_id", "detected_at", "resolved", "resolved_at")
+    assert state == [("1", at(0), True, at(13)), ("1", at(11), True, at(13)), ("2", at(11), True, at(12))]
+    assert al.alert_feed(store.alerts.read()).count() == 0
+    assert evaluate({"alerts": store.alerts.read()}, ["active_alerts"], at(15)).first()[0] in (None, 0)
+    # A repeated run raises the same alerts with the same ids, still resolved; new ones are open.
+    assert rows(store.alerts.read(), "alert_id", "detected_at", "entity_id") == first
+    run.replay([order("c", 30, (1, 1, 1.0))], 2)
+    assert al.unresolved(store.alerts.read()).count() == 2
+    store.compact(2)
+    assert al.unresolved(store.alerts.read()).count() == 2 and store.alerts.read().count() == 5
+
+
+def test_a_repeated_stream_step_keeps_its_alerts(spark, run):
+    ddl = "alert_type string, severity string, entity_type string, entity_id string, message string, detected_at timestamp, resolved boolean"
+    due = spark.createDataFrame([("LOW_STOCK", "HIGH", "PRODUCT", "1", "m", at(0), False)], ddl)
+    empty = [F.lit(None).alias(c) for c in ("detected_value", "expected_low", "expected_high")]
+    for name in ("main", "some-query"):
+        for _ in range(2):
+            step = monitor.alert_stream_step(run.store, due.withColumn("entity_id", F.lit(name)), ["alert_type", "entity_id"], 5, 7, name)
+            assert step.count() == 1
+            run.store.alerts.write(step.select("*", *empty, F.lit("2024-03-01").alias("part")), 7, name)
+            run.store.commit(7, name)
+
+
 def test_cooldown_step_continues_between_batches(spark, run):
     ddl = "alert_type string, severity string, entity_type string, entity_id string, message string, detected_at timestamp, resolved boolean"
     stamps = [0, 3, 6, 9, 11, 12, 16, 17, 30]
@@ -304,6 +449,7 @@ def test_cooldown_step_continues_between_batches(spark, run):
         due = monitor.alert_stream_step(run.store, spark.createDataFrame(data, ddl), ["alert_type", "entity_id"], 5, batch_id)
         empty = [F.lit(None).alias(c) for c in ("detected_value", "expected_low", "expected_high")]
         run.store.alerts.write(due.select("*", *empty, F.date_format("detected_at", "yyyy-MM-dd").alias("part")), batch_id)
+        run.store.commit(batch_id)
     assert sorted(r[0] for r in rows(run.store.alerts.read(), "detected_at")) == [at(m) for m in (0, 6, 11, 16, 30)]
 
 
