@@ -37,6 +37,22 @@ def restock_movements(catalog: DataFrame, sold: DataFrame, levels: DataFrame) ->
     return known.select("product_id", quantity.cast("bigint").alias("quantity"))
 
 
+def stock_after_movements(products: DataFrame, sales: DataFrame, restocks: DataFrame) -> DataFrame:
+    """Products with the stock left after sales and restocks in order of event time, never below zero.
+
+    ``sales`` (product_id, quantity, order_timestamp), ``restocks`` (product_id,
+    stock_quantity, restocked_at): a product has the level of its last restock, of
+    several at once the largest, less the units sold later than it.
+    """
+    last = restocks.filter(F.col("restocked_at").isNotNull()).groupBy("product_id").agg(F.max(F.struct("restocked_at", "stock_quantity")).alias("last"))
+    after = sales.filter(F.col("order_timestamp").isNotNull()).join(last, "product_id", "left").filter(
+        F.col("last").isNull() | (F.col("order_timestamp") > F.col("last.restocked_at"))
+    )
+    level = F.coalesce("last.stock_quantity", "stock_quantity").cast(products.schema["stock_quantity"].dataType)
+    levels = products.join(last, "product_id", "left").withColumn("stock_quantity", level).select(*products.columns)
+    return apply_sales(levels, after)
+
+
 def sale_movements(products: DataFrame, items: DataFrame, at: Clock | None = None) -> DataFrame:
     """Inventory log rows of one batch of sold items."""
     stock = F.greatest(F.lit(0), F.col("stock_quantity") - F.col("qty")).cast("int")

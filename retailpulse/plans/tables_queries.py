@@ -661,6 +661,22 @@ def _(t):
     return hydrate(product_documents(t), stored)
 
 
+@query("t9_stock_by_event_time", """
+WITH levels AS (SELECT product_id, max(order_timestamp) AS restocked_at FROM fx_purchases WHERE product_id % 2 = 0 AND event_id % 5 = 1 GROUP BY 1),
+     level AS (SELECT l.product_id, restocked_at, 40 + max(event_id % 50) AS q FROM levels l JOIN fx_purchases p
+               ON l.product_id = p.product_id AND p.order_timestamp = restocked_at AND event_id % 5 = 1 GROUP BY 1, 2),
+     sold AS (SELECT p.product_id, sum(quantity) AS q FROM fx_purchases p LEFT JOIN level l ON p.product_id = l.product_id
+              WHERE restocked_at IS NULL OR order_timestamp > restocked_at GROUP BY 1)
+SELECT CAST(p.product_id AS BIGINT) AS product_id, CAST(greatest(0, coalesce(l.q, stock_quantity) - coalesce(s.q, 0)) AS BIGINT) AS stock_quantity
+FROM fx_products p LEFT JOIN level l ON p.product_id = l.product_id LEFT JOIN sold s ON p.product_id = s.product_id""")
+def _(t):
+    """Every fifth purchase of an even product is followed by a restock at its own time."""
+    restocks = t.purchases.filter("product_id % 2 = 0 AND event_id % 5 = 1").select(
+        "product_id", (40 + F.col("event_id") % 50).cast("int").alias("stock_quantity"), F.col("order_timestamp").alias("restocked_at")
+    )
+    return inventory.stock_after_movements(t.products, t.purchases, restocks).select("product_id", "stock_quantity")
+
+
 @query("t9_current_stock", """
 WITH sold AS (SELECT product_id, sum(CASE WHEN event_id % 2 = 0 THEN quantity END) AS earlier,
                      sum(CASE WHEN event_id % 2 = 1 THEN quantity END) AS later FROM fx_purchases GROUP BY product_id)
