@@ -26,6 +26,8 @@ from retailpulse.llm.common import once_per_worker, slices
 from retailpulse.llm.lattice_lm import Lattice
 
 MARK = "▁"
+#: Characters that are encoded at a time.
+SLICE = 2_000_000
 
 
 class Decoder:
@@ -54,7 +56,9 @@ class Decoder:
 
 class Transducer(Decoder):
     #: Encoded chunks of a generation, and accepted neighbours, that are remembered at most.
-    REMEMBERED = 250_000
+    REMEMBERED = 150_000
+    #: Characters of a chunk that is remembered, so that the bytes held are bounded, too.
+    SHORT = 64
 
     def __init__(self, path: str):
         import sentencepiece
@@ -261,7 +265,7 @@ class Transducer(Decoder):
         found: dict[str, bytes] = {}
         groups: dict[int, list[str]] = {}
         for chunk in chunks:
-            if self.in_arrays and len(chunk) <= 64 and self.characters.issuperset(chunk):
+            if self.in_arrays and len(chunk) <= self.SHORT and self.characters.issuperset(chunk):
                 groups.setdefault(len(chunk), []).append(chunk)
             else:
                 found[chunk] = self.emitted(self.shortest_path(chunk.replace(" ", MARK)))
@@ -304,10 +308,10 @@ class Transducer(Decoder):
             here[chunk] = known
         found = self.learn(new)
         here.update(found)
-        self.lately.update(found)
+        self.lately.update((chunk, ids) for chunk, ids in found.items() if len(chunk) <= self.SHORT)
         if len(self.lately) > self.REMEMBERED:
             self.before, self.lately = self.lately, {}
-        if self.decided > 5 * self.REMEMBERED or len(self.steps) > self.REMEMBERED:
+        if self.decided > 2 * self.REMEMBERED or len(self.steps) > self.REMEMBERED:
             self.decided = 0
             self.accepted.clear()
             self.steps.clear()
@@ -328,7 +332,7 @@ def encode(docs: DataFrame, model: str, column: str = "text", out: str = "ids")
         for batch in batches:
             at = 0
             # Many texts at a time, for long arrays of new chunks.
-            for texts in slices([t or "" for t in batch.column(column).to_pylist()], 5_000_000):
+            for texts in slices([t or "" for t in batch.column(column).to_pylist()], SLICE):
                 part = batch.slice(at, len(texts))
                 at += len(texts)
                 coded = machine.encode(texts)
@@ -364,22 +368,21 @@ def digest(docs: DataFrame, model: str) -> DataFrame:
     round_trip tells whether the decoded text is the given one, null counting as empty
     and word marks as blanks.
     """
-    def sums(batches):
+    def run(batches):
+        machine = once_per_worker(("transducer", model), lambda: Transducer(model))
         for batch in batches:
-            ids = batch.column("ids")
-            values, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
-            raw = np.ascontiguousarray(values, "<i4")
-            found = [zlib.crc32(raw[s:e].data) for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            arrays = [batch.column(c) for c in ("doc_id", "given", "decoded")]
-            arrays += [pa.array(np.diff(ends).astype(np.int64)), pa.array(found, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "given", "decoded", "n_ids", "ids_crc32"])
-
-    plain = F.translate(F.coalesce("text", F.lit("")), MARK, " ").cast("binary")
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.crc32(plain).alias("given"))
-    coded = decode(encode(chosen, model).drop("text"), model)
-    coded = coded.withColumn("decoded", F.crc32(F.col("decoded").cast("binary")))
-    coded = coded.mapInArrow(sums, "doc_id long, given long, decoded long, n_ids long, ids_crc32 long")
-    return coded.select(
-        "doc_id", "n_ids", "ids_crc32", F.col("decoded").alias("decoded_crc32"),
-        (F.col("given") == F.col("decoded")).alias("round_trip"),
-    )
+            at = 0
+            # One worker does all three: texts, ids and decoded texts of a slice at a time.
+            for texts in slices([t or "" for t in batch.column("text").to_pylist()], SLICE):
+                found = []
+                for text, raw in zip(texts, machine.encode(texts)):
+                    decoded = machine.decode(np.frombuffer(raw, "<i4").tolist())
+                    found.append((len(raw) // 4, zlib.crc32(raw), zlib.crc32(decoded.encode()), decoded == text.replace(MARK, " ")))
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+                columns = [pa.array(values, kind) for values, kind in zip(zip(*found), kinds)]
+                ids = batch.column("doc_id").slice(at, len(texts))
+                at += len(texts)
+                yield pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", "n_ids", "ids_crc32", "decoded_crc32", "round_trip"])
+
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return chosen.mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, decoded_crc32 long, round_trip boolean")
