@@ -12,7 +12,9 @@ own commit protocol: lost tasks leave nothing behind.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -179,21 +181,35 @@ class Encoder:
     """
 
     REMEMBERED = 350_000
+    #: Characters that normalising only lower-cases and whose classes all Unicode versions agree on.
+    _SIMPLE = re.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017f]*")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.lately: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
-
-    def _encoded(self, pieces: list[bytes]) -> list[bytes]:
-        """Each piece on its own; one call takes many as the words of one text."""
-        out = [b""] * len(pieces)
-        for start in range(0, len(pieces), 2000):
-            words = [p.decode() for p in pieces[start:start + 2000]]
-            found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        self.parts: dict[str, bytes] = {}
+        # The vocabulary alone, for words that are already split as the tokenizer does.
+        self.model = Tokenizer(self.tokenizer.model)
+        made = json.loads(self.tokenizer.to_str())
+        steps = [s["type"] for s in made["normalizer"]["normalizers"] + made["pre_tokenizer"]["pretokenizers"]]
+        if steps != ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]:
+            raise ValueError(f"a tokenizer of other steps is expected: {steps}")
+        self.splits = regex.compile(made["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        by_byte = self.tokenizer.pre_tokenizer[1]
+        simple = [chr(c) for c in range(0x21, 0x180) if self._SIMPLE.fullmatch(chr(c))]
+        self.bytes_shown = {ord(c): by_byte.pre_tokenize_str(c)[0][0] for c in simple}
+
+    @staticmethod
+    def _ids(tokenizer, words: list[str]) -> list[bytes]:
+        """Each word on its own; one call takes many as the words of one text."""
+        out = [b""] * len(words)
+        for start in range(0, len(words), 2000):
+            found = tokenizer.encode(words[start:start + 2000], is_pretokenized=True, add_special_tokens=False)
             ids = np.array(found.ids, "<u4").tobytes()
             owners = np.array([-1 if w is None else w for w in found.word_ids], np.int64)
             cuts = [0, *(np.flatnonzero(np.diff(owners)) + 1).tolist(), len(owners)]
@@ -202,6 +218,20 @@ class Encoder:
                     out[start + int(owners[a])] = ids[4 * a:4 * b]
         return out
 
+    def _encoded(self, pieces: list[bytes]) -> list[bytes]:
+        """Simple pieces are split here and their parts looked up in the vocabulary, others go through the whole tokenizer."""
+        words = [p.decode() for p in pieces]
+        simple = [self._SIMPLE.fullmatch(w) is not None for w in words]
+        # As in the tokenizer: lower case, then the split, then bytes shown as characters.
+        parts = [self.splits.findall(w.lower()) if s else None for w, s in zip(words, simple)]
+        known = self.parts
+        new = list(dict.fromkeys(part for some in parts if some for part in some if part not in known))
+        known.update(zip(new, self._ids(self.model, [part.translate(self.bytes_shown) for part in new])))
+        if len(known) > self.REMEMBERED:
+            self.parts = {}
+        rest = iter(self._ids(self.tokenizer, [w for w, s in zip(words, simple) if not s]))
+        return [next(rest) if some is None else b"".join([known[part] for part in some]) for some in parts]
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         # A text with the start of a special token is left to the tokenizer: that is told apart by case.
         cut = [t.encode().lower().replace(b"\n", b" ").split(b" ") if "<|" not in t else None for t in texts]

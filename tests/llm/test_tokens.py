@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -91,3 +92,15 @@ def test_encode_and_decode_keep_rows_and_columns(spark):
     assert all(r.round_trip for r in piece_transducer.digest(docs, PIECES).collect())
     assert piece_transducer.digest(frame(spark, []), PIECES).count() == 0
     assert set(EXTRA) <= set(coded.columns)
+
+
+def test_ids_are_the_librarys_for_any_characters():
+    whole, rng = Tokenizer.from_file(WORDS), random.Random(1)
+    letters = [chr(c) for c in [*range(0x20, 0x250), 0x300, 0x301, 0x3A3, 0x3C2, 0x2019, 0x4E00, 0x1F600]]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(40))) for _ in range(1500)]
+    texts += ["İ", "ß'S don't I'LL x's_'re ŉ ĸ", "a\xadb\xa0c", "'s's'T", "tab\tand\nline", "<|endoftext|> x", ""]
+    encoder = wavelet.Encoder(WORDS)
+    encoder.REMEMBERED = 500
+    for some in (texts[:700], texts[700:], texts):
+        want = [whole.encode(t, add_special_tokens=False).ids for t in some]
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(some)] == want
