@@ -1,8 +1,9 @@
-"""Repeated passages removed line by line, found through content-defined chunks of lines.
+"""Repeated passages removed line by line, found through chunks of neighbouring lines.
 
 A chunk is two neighbouring lines with words and the blank ones between them, or
-one line of many words: where chunks start and end depends on the lines alone, so a
-passage is cut alike wherever it stands. A cyclic hash over a chunk's blank lines
+one line of many words, so every place between two lines is a boundary: chunks that a
+rolling hash bounds more widely lose passages shorter than the widest of them, and
+these are to go, too. A cyclic hash over a chunk's blank lines
 and the hashes of its lines make its key. A passage of two lines or more that an
 earlier document (or earlier place) holds consists of chunks that it holds too, and
 of every such chunk the lines go, after comparing their bytes; lines that repeat in
@@ -102,7 +103,8 @@ def compared(docs: DataFrame, segments: DataFrame) -> DataFrame:
     wanted = pairs.select("_id", "_mark", "pos").union(pairs.select("of_id", "of_mark", "of_pos")).distinct()
     wanted = wanted.groupBy("_id", "_mark").agg(F.collect_list("pos").alias("wanted"))
     texts = marked(docs).select(F.col("_id").alias("t_id"), F.col("_mark").alias("t_mark"), F.col("text").alias("_text"))
-    texts = texts.join(wanted, F.col("t_id").eqNullSafe(F.col("_id")) & (F.col("t_mark") == F.col("_mark")))
+    # Texts are always dealt by document, so that a job costs the same per byte at every size.
+    texts = texts.join(wanted.hint("merge"), F.col("t_id").eqNullSafe(F.col("_id")) & (F.col("t_mark") == F.col("_mark")))
     texts = texts.withColumn("lines", F.split("_text", "\n", -1))
     texts = texts.select("_id", "_mark", "lines", F.explode("wanted").alias("pos"))
     texts = texts.select("_id", "_mark", "pos", F.get("lines", F.col("pos")).alias("line"))
@@ -143,7 +145,7 @@ def without_repeats(docs: DataFrame, out: str = "n_removed") -> DataFrame:
     gone = stored(repeated.groupBy("_id", "_mark").agg(F.collect_list("pos").alias("gone")))
     kept = [c for c in docs.columns if c != out]
     rows = packed(docs, kept)
-    joined = rows.join(gone, F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_mark") == F.col("_mark")), "left")
+    joined = rows.join(gone.hint("merge"), F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_mark") == F.col("_mark")), "left")
     joined = joined.withColumn("lines", F.when(F.col("gone").isNotNull(), F.split("row.text", "\n", -1)))
     text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(without_lines(F.col("lines"), F.col("gone")))
     columns = [text.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in kept]
