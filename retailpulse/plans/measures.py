@@ -2,8 +2,9 @@
 
 A measure is an aggregate over one base table, optionally limited by a
 condition, or a formula over other measures. `evaluate` scans each base table
-once whatever the number of measures, groups by any columns and joins nothing:
-the tables' partial results are unioned and folded by key.
+once whatever the number of measures, groups by any columns, its own or those that
+relationships lead to (`relationships`), and takes sums before it joins; the tables'
+partial results are unioned and folded by key.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from retailpulse.functions.clock import Clock, before, is_today, is_yesterday
 from retailpulse.functions.labels import is_low_stock, trend_arrow, trend_color
 from retailpulse.functions.numbers import blank_as_zero, zero_as_blank
+from retailpulse.plans.relationships import RELATIONSHIPS, Relationship, Slicer, Star
 
 
 @dataclass(frozen=True)
@@ -181,16 +183,43 @@ def _one_table(table: DataFrame, wanted: dict[str, Base], by: list[str], as_of:
     return per_id.groupBy(*by).agg(*second)
 
 
+def _related(star: Star, name: str, wanted: dict[str, Base], by: list[str], as_of: Clock, slicers: list[Slicer]) -> DataFrame:
+    """All measures of one table, sliced, by columns of its own or of tables it is related to.
+
+    Sums and counts are taken per key before the last join, so a key with many rows
+    meets its description once. Distinct counts need the rows themselves.
+    """
+    rows, late = star.related(name, by, slicers)
+    if late is None:
+        return _one_table(rows, wanted, by, as_of)
+    before, key, join = late
+    if any(m.kind == "distinct" for m in wanted.values()):
+        return _one_table(join(rows.select("*", key)), wanted, by, as_of)
+    summed = _one_table(rows.select("*", key), wanted, [*before, "_many"], as_of)
+    return join(summed).groupBy(*by).agg(*[F.sum(n).alias(n) for n in wanted])
+
+
 def evaluate(
-    model: dict[str, DataFrame], names: list[str], as_of: Clock, by: list[str] | None = None
+    model: dict[str, DataFrame],
+    names: list[str],
+    as_of: Clock,
+    by: list[str] | None = None,
+    slicers: Iterable[Slicer] = (),
+    relationships: Iterable[Relationship] = RELATIONSHIPS,
 ) -> DataFrame:
-    """The named measures, per combination of ``by`` (or in one row)."""
+    """The named measures, per combination of ``by`` (or in one row), over the rows that all ``slicers`` select.
+
+    A column of ``by`` may belong to any table that relationships lead to; rows
+    without a partner there have it blank. A slicer acts on its own table and on those
+    whose relationships lead to it; others are not sliced.
+    """
     by = by or []
+    star, slicers = Star(model, relationships), list(slicers)
     bases = _bases(names)
     tables: dict[str, dict[str, Base]] = {}
     for name in bases:
         tables.setdefault(MEASURES[name].table, {})[name] = MEASURES[name]
-    parts = [_one_table(model[t], wanted, by, as_of) for t, wanted in tables.items()]
+    parts = [_related(star, t, wanted, by, as_of, slicers) for t, wanted in tables.items()]
     folded = parts[0]
     if len(parts) > 1:
         union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from retailpulse.functions.clock import before
 from retailpulse.functions.labels import severity_color, stock_row_color
 from retailpulse.functions.numbers import round_half_up
 from retailpulse.operators import alerts as al
-from retailpulse.operators import inventory, kpi, metrics, star
+from retailpulse.operators import calendar, inventory, kpi, metrics, star
 from retailpulse.plans import dashboard
 from retailpulse.plans import series_queries as sq
 from retailpulse.plans import tables_queries as tq
 from retailpulse.plans.measures import evaluate
 from retailpulse.plans.registry import query
+from retailpulse.plans.relationships import Slicer
 
 _DAY = "(SELECT date_trunc('day', as_of) FROM fx_now)"
 _NOW = "(SELECT as_of FROM fx_now)"
@@ -172,13 +174,69 @@ FULL OUTER JOIN (SELECT category, CAST(sum(quantity) AS BIGINT) AS units_sold, s
                  FROM fx_lines l JOIN fx_products p ON l.product_id = p.product_id GROUP BY category) s
   ON p.category = s.category""")
 def _(t):
-    # Lines meet the catalog after being summed per product and price.
-    lines = t.lines.groupBy("product_id", "unit_price").agg(F.sum("quantity").alias("quantity"))
-    items = lines.join(t.products.select("product_id", "category"), "product_id")
-    model = {"order_items": items, "products": t.stock}
+    model = {"order_items": t.lines, "products": t.stock}
     return evaluate(model, ["units_sold", "line_revenue", "total_stock", "low_stock_count"], t.now, by=["category"])
 
 
+# --- slicers of the dashboard: date, category, popularity tier ---------------------
+
+_SLICED = """
+SELECT l.*, c.category, c.name, o.order_timestamp FROM fx_lines l JOIN fx_catalog c ON l.product_id = c.product_id JOIN fx_heads o ON l.order_id = o.order_id
+WHERE {where}"""
+_LAST_YEAR = "order_timestamp >= (SELECT as_of FROM fx_today) - INTERVAL 525600 MINUTE AND order_timestamp < (SELECT as_of FROM fx_today)"
+
+
+def _star(t):
+    return {"orders": t.heads, "order_items": t.lines, "products": tq.catalog(t)}
+
+
+def _last_year(t):
+    return Slicer("orders", (F.col("order_timestamp") >= before(t.today, 525_600)) & (F.col("order_timestamp") < t.today))
+
+
+def _category(*names):
+    return Slicer("products", F.col("category").isin(*names))
+
+
+def _mid_tier():
+    return Slicer("products", (F.col("popularity_weight") >= 2) & (F.col("popularity_weight") < 3.5))
+
+
+@query("v5_top_products_sliced", f"""
+SELECT product_id, name, CAST(sum(quantity) AS BIGINT) AS units_sold, CAST(sum(quantity * unit_price) AS DOUBLE) AS line_revenue
+FROM ({_SLICED.format(where=_LAST_YEAR + " AND category IN ('ECONOMY', 'SMALL')")}) GROUP BY 1, 2 ORDER BY units_sold DESC, product_id LIMIT 10""")
+def _(t):
+    found = evaluate(_star(t), ["units_sold", "line_revenue"], t.today, ["product_id", "name"], [_last_year(t), _category("ECONOMY", "SMALL")])
+    return found.orderBy(F.desc("units_sold"), "product_id").limit(10)
+
+
+@query("v6_categories_sliced", f"""
+SELECT category, CAST(sum(quantity) AS BIGINT) AS units_sold, CAST(sum(quantity * unit_price) AS DOUBLE) AS line_revenue
+FROM ({_SLICED.format(where=_LAST_YEAR + " AND weight >= 2 AND weight < 3.5")}) GROUP BY 1""")
+def _(t):
+    return evaluate(_star(t), ["units_sold", "line_revenue"], t.today, ["category"], [_last_year(t), _mid_tier()])
+
+
+@query("v7_products_sliced", f"""
+SELECT c.product_id, c.name, c.category, units_sold, line_revenue, CAST(c.stock_quantity AS BIGINT) AS total_stock
+FROM (SELECT * FROM fx_catalog JOIN fx_products USING (product_id, name, category) WHERE category IN ('PROMO', 'LARGE') AND weight >= 2 AND weight < 3.5) c
+LEFT JOIN (SELECT product_id, CAST(sum(quantity) AS BIGINT) AS units_sold, CAST(sum(quantity * unit_price) AS DOUBLE) AS line_revenue
+           FROM ({_SLICED.format(where=_LAST_YEAR)}) GROUP BY 1) s ON c.product_id = s.product_id""")
+def _(t):
+    slicers = [_last_year(t), _category("PROMO", "LARGE"), _mid_tier()]
+    return evaluate(_star(t), ["units_sold", "line_revenue", "total_stock"], t.today, ["product_id", "name", "category"], slicers)
+
+
+@query("m_by_category_and_year", """
+SELECT category, CASE WHEN order_timestamp >= (SELECT date_trunc('year', as_of) - INTERVAL 1 YEAR FROM fx_today) THEN year(order_timestamp) END AS year,
+       CAST(sum(quantity) AS BIGINT) AS units_sold, CAST(sum(quantity * unit_price) AS DOUBLE) AS line_revenue
+FROM fx_lines l JOIN fx_products p ON l.product_id = p.product_id JOIN fx_heads o ON l.order_id = o.order_id GROUP BY 1, 2""")
+def _(t):
+    """Three tables away: lines to orders to dates, and lines to products; days that the calendar lacks have no year."""
+    dates = calendar.date_dimension(t.spark, t.today).select("date", "year")
+    return evaluate({**_star(t), "dates": dates}, ["units_sold", "line_revenue"], t.today, ["category", "year"])
+
+
 # --- dashboard pages --------------------------------------------------------------
 
 @query("v1_kpi_cards", f"""
