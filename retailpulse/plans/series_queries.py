@@ -8,7 +8,7 @@ from retailpulse.functions.clock import before
 from retailpulse.functions.labels import breaches
 from retailpulse.functions.numbers import round_half_up
 from retailpulse.operators import alerts as al
-from retailpulse.operators import anomaly, calendar, cooldown, inventory, kpi, metrics, series, shape, star
+from retailpulse.operators import anomaly, calendar, cooldown, inventory, kpi, metrics, series, shape, sketches, star
 from retailpulse.plans.registry import query
 
 
@@ -232,6 +232,43 @@ def _(t):
     return _rounded(lag, 3, "avg_lag_ms")
 
 
+def _minute_sketches(t):
+    """Orders of the events; the lag of an event is its product number in seconds, spread within the second."""
+    arrived = F.col("ts") + F.make_dt_interval(secs=F.get_json_object("props", "$.k").cast("decimal(18,6)") + F.col("event_id") % 1000 / 1000)
+    rows = t.events.select(F.concat(F.lit("C"), "user_id").alias("order_id"), "ts", arrived.alias("arrived_at"))
+    return rows, sketches.order_sketches(rows, "ts", "arrived_at", F.window("ts", "1 hour"))
+
+
+@query("a7_distinct_from_sketches", """
+SELECT date_trunc('day', ts) AS day, count(DISTINCT user_id) AS exact, true AS within_three_errors FROM events GROUP BY 1""")
+def _(t):
+    """Distinct ids per day, read off the merged sketches of its hours, beside the exact number."""
+    rows, found = _minute_sketches(t)
+    day = F.date_trunc("day", "window_start").alias("day")
+    estimated = sketches.merged(found, day).select("day", sketches.order_count().alias("estimate"))
+    exact = rows.groupBy(F.date_trunc("day", "ts").alias("day")).agg(F.count_distinct("order_id").alias("exact"))
+    off = F.abs(F.col("estimate") - F.col("exact"))
+    return estimated.join(exact, "day").select("day", "exact", (off <= 1 + 3 * sketches.DISTINCT_ERROR * F.col("exact")).alias("within_three_errors"))
+
+
+@query("t11_lag_from_sketches", """
+SELECT date_trunc('day', ts) AS day, count(*) AS n_events, true AS within_rank_error FROM events GROUP BY 1""")
+def _(t):
+    """Lag quantiles per day from the sketches of its hours; their ranks are counted in the rows."""
+    rows, found = _minute_sketches(t)
+    days = sketches.lag_summary(found, F.date_trunc("day", "window_start").alias("day"))
+    lag = F.unix_millis("arrived_at") - F.unix_millis("ts")
+    shares = {"p50_lag_ms": 0.5, "p95_lag_ms": 0.95, "p99_lag_ms": 0.99}
+    lags = rows.select(F.date_trunc("day", "ts").alias("day"), lag.alias("lag")).join(days, "day")
+    ranks = lags.groupBy("day", "n_events").agg(
+        *[F.count_if(F.col("lag") < F.col(c)).alias(f"low_{c}") for c in shares], *[F.count_if(F.col("lag") <= F.col(c)).alias(f"high_{c}") for c in shares]
+    )
+    # An answer is right if some rank of its value is near enough.
+    slack = F.lit(2 * sketches.RANK_ERROR) * F.col("n_events") + 1
+    near = [(F.col(f"low_{c}") <= s * F.col("n_events") + slack) & (F.col(f"high_{c}") >= s * F.col("n_events") - slack) for c, s in shares.items()]
+    return ranks.select("day", "n_events", (near[0] & near[1] & near[2]).alias("within_rank_error"))
+
+
 # --- anomaly detection -----------------------------------------------------------
 
 _ZFRAME = """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
+    BinaryType,
     BooleanType,
     DecimalType,
     DoubleType,
@@ -113,6 +114,8 @@ PRODUCT_SALES_METRICS = _struct(
     revenue=MONEY,
 )
 
+MINUTE_SKETCHES = _struct(window_start=TimestampType(), window_end=TimestampType(), orders=BinaryType(), lags=BinaryType())
+
 # What a producer says of an alert.
 ALERT = _struct(
     alert_type=StringType(),

@@ -22,6 +22,7 @@ from retailpulse.operators.inventory import (
     unknown_products,
 )
 from retailpulse.operators.metrics import minute_sales, product_minute_sales, units_by_product
+from retailpulse.operators.sketches import order_sketches
 from retailpulse.operators.shape import order_headers, order_lines, with_line_total
 from retailpulse.session import shared_folder
 from retailpulse.sources.events import accepted, is_complete, quarantined
@@ -52,12 +53,12 @@ def first_seen(store: Store, orders: DataFrame, batch_id: int, run: str = MAIN)
 
     Stored ids are read back, no other column.
     """
-    others = [c for c in orders.columns if c != "order_id"]
+    others = [c for c in orders.columns if c not in ("order_id", "arrived_at")]
     # The payload with the least text wins, so a second run picks the same.
     unique = (
         orders.groupBy("order_id")
-        .agg(F.min_by(F.struct(*others), F.to_json(F.struct(*others))).alias("o"))
-        .select("order_id", "o.*")
+        .agg(F.min_by(F.struct(*others), F.to_json(F.struct(*others))).alias("o"), F.min("arrived_at").alias("arrived_at"))
+        .select("order_id", "o.*", "arrived_at")
     )
     return unseen(store, unique, batch_id, run)
 
@@ -92,7 +93,7 @@ def batch_handler(
         text = F.when(~is_complete(), F.col("json")).alias("json")
         batch = store.frozen(batch.select(text, *[c for c in batch.columns if c != "json"]), run)
         before = store.carried(batch_id, run)
-        fresh = accepted(batch).drop("arrived_at", REMEMBERED)
+        fresh = accepted(batch).drop(REMEMBERED)
         if not known:
             fresh = first_seen(store, fresh, batch_id, run)
         elif before.others - {RESTOCK}:
@@ -117,12 +118,14 @@ def order_tables(store: Store, orders: DataFrame, params: Params) -> list[tuple[
     window = params.stream.window
     minutes = minute_sales(orders, window).withColumn("part", _day("window_start"))
     product_minutes = product_minute_sales(items, window).withColumn("part", _day("window_start"))
+    sketches = order_sketches(orders, "order_timestamp", "arrived_at", window).withColumn("part", _day("window_start"))
     return [
         (store.orders, order_headers(orders, "part")),
         (store.order_ids, orders.select("order_id", F.lit(ALL).alias("part"))),
         (store.order_items, with_line_total(items)),
         (store.minute_sums, minutes),
         (store.product_minute_sums, product_minutes),
+        (store.minute_sketches, sketches),
     ]
 
 

@@ -29,6 +29,7 @@ from retailpulse import schemas
 from retailpulse.operators.alerts import fold_resolutions, open_alerts, with_alert_id
 from retailpulse.operators.inventory import apply_sales, restock_movements
 from retailpulse.operators.metrics import average_order_value
+from retailpulse.operators.sketches import WINDOW, merged
 
 
 # The run of batches that no stream checkpoint names, and those of other writers.
@@ -164,9 +165,9 @@ class BatchTable:
         """
         compacted = self.log.compacted()
         fields = [*self.schema.fields, PART, *BATCH]
-        merged = _read(self.spark, f"{self.path}_compacted", StructType([*fields, SEQ]))
-        merged = merged.filter((F.col("seq") <= compacted.seq) & (F.col("seq") > compacted.cleared)).drop("seq")
-        rows = self._batches(compacted).select(*merged.columns).unionByName(merged)
+        gathered = _read(self.spark, f"{self.path}_compacted", StructType([*fields, SEQ]))
+        gathered = gathered.filter((F.col("seq") <= compacted.seq) & (F.col("seq") > compacted.cleared)).drop("seq")
+        rows = self._batches(compacted).select(*gathered.columns).unionByName(gathered)
         if before is not None:
             rows = rows.filter((F.col("run") != run) | (F.col("batch_id") < before))
         return _from_day(rows, since)
@@ -206,13 +207,13 @@ class AdditiveTable(BatchTable):
         super().__init__(spark, path, schema, log)
         self.keys, self.sums = keys, sums
 
-    def _merged(self, compacted: Compacted) -> DataFrame:
+    def _gathered(self, compacted: Compacted) -> DataFrame:
         """The newest compacted sums of each part."""
         parts = _read(self.spark, f"{self.path}_parts", StructType([PART, SEQ]))
         parts = parts.filter((F.col("seq") <= compacted.seq) & (F.col("seq") > compacted.cleared))
         newest = parts.groupBy("part").agg(F.max("seq").alias("seq"))
-        merged = _read(self.spark, f"{self.path}_compacted", StructType([*self.schema.fields, PART, SEQ]))
-        return merged.join(newest, ["part", "seq"], "left_semi").drop("seq")
+        gathered = _read(self.spark, f"{self.path}_compacted", StructType([*self.schema.fields, PART, SEQ]))
+        return gathered.join(newest, ["part", "seq"], "left_semi").drop("seq")
 
     def _sum(self, rows: DataFrame, *extra: str) -> DataFrame:
         types = {f.name: f.dataType for f in self.schema.fields}
@@ -226,17 +227,24 @@ class AdditiveTable(BatchTable):
         rows = self._batches(compacted)
         if before is not None:
             rows = rows.filter((F.col("run") != run) | (F.col("batch_id") < before))
-        merged = self._merged(compacted)
-        return self._sum(_from_day(rows.select(*merged.columns).unionByName(merged), since))
+        gathered = self._gathered(compacted)
+        return self._sum(_from_day(rows.select(*gathered.columns).unionByName(gathered), since))
 
     def compact(self, old: Compacted, now: Compacted) -> None:
         new = self._batches(old).filter(~now.uncovered())
         touched = new.select("part").distinct()
-        before = self._merged(old).join(touched, "part", "left_semi")
+        before = self._gathered(old).join(touched, "part", "left_semi")
         _write(self._sum(new.select(*before.columns).unionByName(before), "part"), f"{self.path}_compacted/seq={now.seq}")
         _write(touched.withColumn("touched", F.lit(True)), f"{self.path}_parts/seq={now.seq}")
 
 
+class SketchTable(AdditiveTable):
+    """Per-batch sketches by key, merged instead of summed."""
+
+    def _sum(self, rows: DataFrame, *extra: str) -> DataFrame:
+        return merged(rows, *extra, *self.keys)
+
+
 #: What a run carries from batch to batch: the newest order's time, the units sold and the last low-stock alert of each product.
 CARRIED = _struct(kind="string", product_id="integer", units="long", at="timestamp")
 CLOCK, SOLD, ALERT = "clock", "sold", "alert"
@@ -347,11 +355,16 @@ class Store:
         fields = [schemas.ORDER_LINE["product_id"], StructField("quantity", LongType())]
         return self._additive("units_sold", StructType(fields), ["product_id"], ["quantity"])
 
+    @cached_property
+    def minute_sketches(self) -> SketchTable:
+        """Sketches of order ids and arrival lags per minute (see ``operators.sketches``)."""
+        return SketchTable(self.spark, f"{self.root}/minute_sketches", schemas.MINUTE_SKETCHES, self.log, WINDOW, ["orders", "lags"])
+
     @property
     def tables(self) -> list[BatchTable]:
         return [
             self.orders, self.order_ids, self.order_items, self.inventory_log, self.resolutions, self.alerts, self.quarantine,
-            self.unknown_products, self.minute_sums, self.product_minute_sums, self.units_sold,
+            self.unknown_products, self.minute_sums, self.product_minute_sums, self.minute_sketches, self.units_sold,
         ]
 
     # --- batches -----------------------------------------------------------------------

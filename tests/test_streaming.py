@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import T0, at, money, product_frame, rows
 from retailpulse.config import DEFAULTS, Params, StreamParams
 from retailpulse.operators import alerts as al
-from retailpulse.operators import metrics
+from retailpulse.operators import metrics, sketches
 from retailpulse.plans.measures import evaluate
 from retailpulse.session import shared_folder
 from retailpulse.sources import events
@@ -94,6 +94,10 @@ def test_one_batch_or_many_give_the_same(spark, tmp_path):
     assert rows(one.store.product_sales_metrics()) == rows(many.store.product_sales_metrics())
     assert many.store.orders.read().count() == 40
     assert many.store.order_items.read().count() == 80
+    day = F.date_trunc("day", "window_start").alias("day")
+    for each in (one, many):
+        (minutes,) = sketches.lag_summary(each.store.minute_sketches.totals(), day).collect()
+        assert (minutes.order_count, minutes.n_events) == (40, 40) and minutes.p50_lag_ms > 0
     stock = {r.product_id: r.stock_after for r in many.store.inventory_log.read().orderBy("batch_id").collect()}
     sold = dict(rows(one.store.units_sold.totals()))
     assert stock == {p: 500 - q for p, q in sold.items()}
@@ -374,6 +378,8 @@ def everything(store):
     out = {}
     for table in store.tables:
         df = table.totals() if isinstance(table, store_module.AdditiveTable) else table.read()
+        if isinstance(table, store_module.SketchTable):
+            df = sketches.lag_summary(df, "window_start")
         out[table.path.rsplit("/", 1)[1]] = rows(df.drop("part"))
     return out
 
