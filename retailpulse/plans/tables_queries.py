@@ -122,6 +122,18 @@ def _(t):
     )
 
 
+@query("s9_disabled_rules", """
+SELECT metric_name, CAST(warning_threshold AS DOUBLE) AS warning_threshold, n AS violations
+FROM fx_rules JOIN (SELECT entity_id, count(*) AS n FROM fx_alerts WHERE alert_type = 'KPI_VIOLATION' GROUP BY entity_id) ON metric_name = entity_id
+WHERE window_minutes >= 5 AND comparison_operator = '<'""")
+def _(t):
+    """Rules switched off, or neither on nor off, are not scanned."""
+    switched = F.when(F.col("window_minutes") < 5, F.lit(None)).otherwise(F.col("comparison_operator") == "<")
+    scanned = tables.enabled_rules(t.rules.withColumn("enabled", switched))
+    seen = t.alerts.filter(F.col("alert_type") == "KPI_VIOLATION").groupBy(F.col("entity_id").alias("metric_name")).agg(F.count("*").alias("violations"))
+    return scanned.join(seen, "metric_name").select("metric_name", "warning_threshold", "violations")
+
+
 @query("s11_row_counts", """
 SELECT 'products' AS table_name, count(*) AS row_count FROM fx_products
 UNION ALL SELECT 'orders', count(*) FROM fx_orders

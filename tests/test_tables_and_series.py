@@ -325,3 +325,37 @@ def test_look_back_follows_the_measures():
     assert measures.lookback_minutes("sales_metrics") == 60
     assert measures.lookback_minutes("sales_metrics", ["revenue_last_5_min", "revenue_prior_5_min"]) == 10
     assert measures.lookback_minutes("alerts", ["revenue_last_5_min"]) == 0
+
+
+def test_catalog_versions(spark, tmp_path, monkeypatch):
+    from retailpulse.schemas import PRODUCT_DOCUMENT
+
+    def documents(*prices):
+        return spark.createDataFrame([(k, f"p{k}", p, "c", "d", "i", (4.5, 100)) for k, p in enumerate(prices, 1)], PRODUCT_DOCUMENT)
+
+    table = catalog.CatalogTable(spark, str(tmp_path / "catalog"))
+    assert table.version() == 0 and table.read() is None
+    assert table.refresh(documents(1.0, 2.0)) == 1
+    first = rows(table.read())
+    table.replace(table.read().withColumn("stock_quantity", F.lit(7)))
+    # Prices follow the documents, stock stays; a repeated refresh changes nothing.
+    assert table.refresh(documents(1.5, 2.0, 3.0)) == 3
+    third = rows(table.read(), "product_id", "price", "stock_quantity")
+    assert third == [(1, money("1.50"), 7), (2, money("2.00"), 7), (3, money("3.00"), first[0][table.read().columns.index("stock_quantity")])]
+    whole = rows(table.read())
+    table.refresh(documents(1.5, 2.0, 3.0))
+    assert rows(table.read()) == whole and table.version() == 4
+    overwrite = catalog.CatalogTable._overwrite
+    for broken in ("versions", "names"):
+        def fails(self, df, kind, version, broken=broken):
+            if kind == broken:
+                raise OSError("lost")
+            overwrite(self, df, kind, version)
+
+        monkeypatch.setattr(catalog.CatalogTable, "_overwrite", fails)
+        with pytest.raises(OSError):
+            table.refresh(documents(9.0))
+        monkeypatch.setattr(catalog.CatalogTable, "_overwrite", overwrite)
+        assert rows(table.read()) == whole and table.version() == 4
+    table.refresh(documents(9.0))
+    assert rows(table.read(), "product_id", "price") == [(1, money("9.00")), (2, money("2.00")), (3, money("3.00"))]
