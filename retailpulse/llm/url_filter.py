@@ -20,21 +20,45 @@ RULES = [
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 ]
-#: A small labelled URL table to train from: words of unwanted and of wanted hosts, combined below.
-UNWANTED = ["casino", "bets", "poker", "jackpot", "pills", "viagra", "pharma", "adult", "porn", "xxx", "sex", "escort",
-            "spam", "ads", "track", "clicks", "popup", "warez", "crack", "torrent", "malware", "phish", "loan", "replica"]
-WANTED = ["library", "museum", "school", "weather", "recipes", "garden", "history", "science", "journal", "council",
-          "archive", "travel", "sports", "music", "health", "energy", "theatre", "railway", "forest", "harbour",
-          "market", "village", "physics", "letters"]
-FRONTS = ["", "www.", "m.", "blog."]
-ENDS = [".example.com", ".example.net", ".example.org", ".com", ".net"]
-PATHS = ["/en/10", "/de/2045/", "/fr/317.html", "/es/8", "/", ""]
-GRAM = 4
-FEATURES = 4096
+# A small labelled URL table, whole hosts and paths. Among the wanted ones
+# are hosts that merely contain what unwanted ones are made of.
+BLOCKED = """
+ads-track.example.com/en/10  track.ads-server.example.net/click/77  popads.example.org/de/4/  click-tracker.net/c/1881  banner-ads.com/show
+ad-clicks.example.com/fr/20  best-adserver.net/imp/9  trk-clicks.info/r/55  adult-x.example.com/de/12  www.adult-cams.net/en/live
+xxx-videos.example.net/es/40  m.xxx-tube.com/watch/9  hot-adult-dating.org/join  free-sex-cams.net/  blog.sex-chat.example.org/fr/3
+porn-hd.example.com/en/18  m.porn-clips.net/v/3  escort-girls.example.net/city/5  cheap-pills.example.com/en/19  buy-cheap-pills.net/order/2
+pills-online.example.org/de/31.html  viagra-online.net/buy  www.cheap-viagra.example.com/fr/11  pharma-discount.net/cart/7  no-prescription-pills.com/
+casino-win.example.com/en/14  www.online-casino.net/bonus/50  casino-bonus.example.org/es/9/  win-big-casino.com/play  m.casino-spins.example.net/de/22
+free-bets.example.com/fr/8.html  best-bets-online.net/today  sports-bets.example.org/en/30  free-bets-bonus.com/claim/4  poker-win.example.net/de/7
+online-poker-cash.com/table/2  jackpot-slots.example.com/en/5  www.win-jackpot.net/spin  free-spins-slots.org/  spam-farm.example.com/en/13
+link-farm.example.net/page/1001  seo-spam.example.org/de/17  blog.spam-links.net/a/2  cheap-backlinks.com/buy/100  buy-followers.net/cheap
+payday-loan.example.com/apply  fast-cash-loans.net/en/1  cheap-loan-online.org/  quick-cash-now.com/win  free-iphone-win.net/claim
+win-prize-now.example.com/en/2  you-win-free.org/prize/1  replica-watches.example.net/fr/6  cheap-replica-bags.com/sale/3  www.replica-shop.net/
+warez-downloads.example.com/de/9  free-warez.net/file/77  crack-serial.example.org/en/4  keygen-crack.com/dl/3  torrent-free-movies.net/get/1
+malware-host.example.com/x/1  phish-login.example.net/verify  free-crypto-win.com/claim  m.hot-singles.example.org/es/2  lose-weight-pills.com/buy/1
+""".split()
+WANTED = """
+tionsh.example.net/de/101/  blog.lorem.example.com/en/1012  m.dolore.example.com/de/11282  www.amet.example.org/fr/317.html  ththan.example.net/de/10306
+m.consec.example.org/es/209  blog.tempor.example.net/en/450/  incid.example.com/fr/8  www.labore.example.net/de/22/  m.therin.example.org/en/70.html
+onder.example.org/fr/9  blog.thonth.example.com/es/12  stethe.example.net/en/3  www.errand.example.com/de/5  m.anther.example.net/fr/6/
+library.example.org/en/10  www.city-library.org/books/4  museum.example.com/de/7  natural-history-museum.org/visit  school.example.net/fr/19
+www.village-school.org/news/2  weather.example.com/en/today  garden-recipes.example.org/es/3  history.example.net/de/1066.html  science-journal.org/issue/12
+physics-letters.example.com/vol/8  www.town-council.gov/meetings  archive.example.org/item/1999  travel-notes.example.com/en/paris  music-theatre.example.net/de/5
+railway-timetable.org/line/4  forest-service.gov/maps/9  harbour-market.example.com/fr/2  news.example.com/en/2024/  blog.cooking.example.org/soup
+docs.example.com/guide/start  wiki.example.org/page/Main  forum.example.net/topic/55  open-data.example.gov/table/3  university.edu/courses/12
+essex.gov/en/10  www.sussex.ac.uk/study  middlesex-hospital.org/visit  roads.example.com/map/2  broads-authority.gov.uk/boating
+downloads.example.org/release/4  loads-and-beams.edu/notes/1  adsorption-journal.org/issue/3  salads.example.net/recipes/7  threads.example.com/en/81
+loans.gov/students  student-loans.example.gov/repay  library-loans.org/return  pharmacology.edu/lecture/2  hospital-pharmacy.example.org/hours
+track-and-field.example.com/results  racetrack-history.org/1932  soundtrack.example.net/album/6  adult-education.example.org/courses  adult-literacy.gov/help
+winter-sports.example.com/en/4  windsor.example.org/castle  betsy-ross.example.net/flag  alphabets.example.org/greek  tibet-studies.edu/texts/1
+spamalot-theatre.example.com/tickets  farm-museum.example.org/visit  wind-farm.example.net/de/3  firecracker-history.org/  biscuit-cracker.example.com/bake
+clickbeetle-survey.org/species/4  popular-science.example.com/en/9  freedom.example.org/speech  freeman-library.example.net/fr/1  cheapside-london.example.com/walk
+videos-for-schools.example.org/maths  pokerwork-crafts.example.net/wood  crossword-jackdaw.org/  singles-chart.example.com/1984  caterpillars.example.org/guide
+""".split()
+GRAM = 3
+FEATURES = 1 << 14
 #: Most rows the regression is fitted on, the lowest hashes first.
 TRAINING_ROWS = 4000
-#: Most hosts of the pages that join the labelled table, the lowest hashes first.
-OWN_HOSTS = 2000
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -78,17 +102,9 @@ def hashed(df: DataFrame, features: int) -> DataFrame:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """(host, path, verdict) of some 500 invented addresses made from the word lists above."""
-    def hosts(words):
-        names = [n for a, b in zip(words, words[5:] + words[:5]) for n in (a, f"{a}-{b}", f"the{a}", f"{b}-online-{a}")]
-        return [f"{FRONTS[n % len(FRONTS)]}{name}{ENDS[n % len(ENDS)]}" for n, name in enumerate(names)]
-
-    rows = [
-        (host, PATHS[(n + k) % len(PATHS)], verdict)
-        for words, verdict in ((UNWANTED, "block"), (WANTED, "allow"))
-        for n, host in enumerate(hosts(words)) for k in (0, 1, 3)
-    ]
-    values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in rows)
+    """(host, path, verdict) of the labelled addresses above."""
+    rows = [(*url.partition("/"), verdict) for urls, verdict in ((BLOCKED, "block"), (WANTED, "allow")) for url in urls]
+    values = ", ".join(f"('{host}', '{slash}{path}', '{verdict}')" for host, slash, path, verdict in rows)
     return spark.sql(f"SELECT * FROM VALUES {values} AS t(host, path, verdict)")
 
 
@@ -107,7 +123,7 @@ def fit(labelled: DataFrame, features: int = FEATURES, training_rows: int = TRAI
     rows = hashed(chosen, features).withColumn("label", (F.col("verdict") == "block").cast("double"))
     # Both verdicts weigh the same, whatever their share of the table.
     rows = rows.withColumn("weight", F.when(F.col("label") == 1, 0.5 / counts["block"]).otherwise(0.5 / counts["allow"]))
-    solver = LogisticRegression(maxIter=60, regParam=0.001, tol=1e-8, weightCol="weight")
+    solver = LogisticRegression(maxIter=60, regParam=0.02, tol=1e-8, weightCol="weight")
     return solver.fit(rows.select("features", "label", "weight"))
 
 
@@ -123,21 +139,15 @@ def judge(
     A rule fits its host and all subdomains if the path starts with the rule's; the
     longest wins. Other urls get the verdict of the regression: ``block`` if the
     probability ``score`` of being blocked is at least 0.5. ``labelled`` (host, path,
-    verdict) trains it, by default the small table of this module with at most
-    ``OWN_HOSTS`` of the pages' hosts, labelled by its words. Null urls and
+    verdict) trains it, by default the small table of this module; the judged pages
+    teach it nothing, so a url's verdict does not depend on the others. Null urls and
     those without ``://`` have empty host and path and are judged by the regression
     like any other; repeated rows are judged alike; an empty table gives an empty one.
     """
     host, path = host_and_path(F.col("url"))
     parts = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     parts = parts.withColumn("found", matching_rule(F.col("host"), F.col("path"), rules))
-    if labelled is None:
-        # One url of each of the pages' own hosts, labelled by the same words.
-        own = parts.where("host <> ''").groupBy("host").agg(F.min("path").alias("path"))
-        own = own.withColumn("verdict", F.when(F.col("host").rlike("|".join(UNWANTED)), "block").otherwise("allow"))
-        own = own.orderBy(F.xxhash64("host"), "host").limit(OWN_HOSTS)
-        labelled = labelled_urls(pages.sparkSession).union(own)
-    model = fit(labelled, features, training_rows)
+    model = fit(labelled_urls(pages.sparkSession) if labelled is None else labelled, features, training_rows)
     if isinstance(model, str):
         scored = parts.withColumn("score", F.lit(float(model == "block")))
     else:
