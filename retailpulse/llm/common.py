@@ -19,13 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors share.
 
-    Only where the session names none (tests, local runs) a scratch folder is taken.
+    Where the session names none, a run within one process (tests, local runs) takes a
+    scratch folder; on a cluster that is an error, for executors would not share it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         context = spark.sparkContext
         root = context.getCheckpointDir()
         if root is None:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise ValueError("start Spark with spark.checkpoint.dir, a folder that all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="retailpulse-"))
             root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
