@@ -1,13 +1,15 @@
-"""Language-model scores of texts: words by discounted counts, their remainder by a subword lattice.
-
-A token is a word or the end of a text. A word seen in training has its discounted
-relative frequency; the mass taken away is spread over all words by a unigram model
-over an existing vocabulary of pieces, which adds up all segmentations of a word: the
-first piece carries the word mark, the others follow until a stop. The marginal
-probability comes from a forward recursion in log space over the lattice of pieces.
-The vocabulary's own scores start the piece weights; expectation maximisation over
-all distinct training words (forward-backward over the same lattice) adapts them.
-Training texts of different classes (languages) have counts and piece weights of
+"""Language-model scores of texts: every word, seen or not, by the marginal of a subword lattice and by counts.
+
+A token is a word or the end of a text. A unigram model over an existing vocabulary of
+pieces adds up all segmentations of a word: the first piece carries the word mark, the
+others follow until a stop. The marginal probability comes from a forward recursion in
+log space over the lattice of pieces. The vocabulary's own scores start the piece
+weights; expectation maximisation over all distinct training words (forward-backward
+over the same lattice) adapts them. A word's probability is the lattice's marginal, its
+discounted frequency in its class and its frequency in all classes, by shares of a grid
+(``SHARES``) that make the training words likeliest when each occurrence is left out of
+the counts in turn: a count helps as far as it foretells words, the lattice does the rest.
+Training texts of different classes (languages) have counts, piece weights and shares of
 their own; a text's probability is the sum over the classes, whatever its own is.
 
 Counts meet the texts without any word being sent per document: texts are dealt into
@@ -33,10 +35,16 @@ BASE_ADDED = 0.1
 ITERATIONS = 2
 #: Added to the expected count of every piece.
 SMOOTHING = 0.02
-#: Share of the remainder that goes by the counts of all classes together.
-BACKGROUND = 0.2
-#: Most classes; the values with fewest training texts, and null, share the last.
-CLASSES = 8
+#: A class of its own holds at least this share of the training texts, so there are at most
+#: as many as its inverse; rarer values, and null, share the last class.
+MIN_SHARE = 1 / 16
+#: Shares of a word's probability tried: of the lattice, and of the counts of all classes. The rest is the class's own counts'.
+SHARES = [
+    (lattice, whole)
+    for lattice in (0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.8, 1.0)
+    for whole in (0.0, 0.02, 0.05, 0.1, 0.2, 0.4)
+    if lattice + whole <= 1
+]
 CHUNK_BYTES = 24_000_000
 #: Words up to this length go through the recursion in arrays of equal lengths, longer ones alone.
 ARRAY_LENGTH = 64
@@ -204,18 +212,23 @@ class Lattice:
             alpha[j] = float(np.logaddexp.reduce([alpha[i] + w for i, w, _ in arcs[j]])) if arcs[j] else -math.inf
         return alpha, arcs
 
-    def expected(self, words: list[str], weights: Weights) -> np.ndarray:
-        """Expected number of uses of each piece over all segmentations of ``words``."""
+    def expected(self, words: list[str], weights: Weights, marginals: np.ndarray | None = None) -> np.ndarray:
+        """Expected number of uses of each piece over all segmentations of ``words``.
+
+        Their log marginals, stop included, go to ``marginals``.
+        """
+        marginals = np.empty(len(words)) if marginals is None else marginals
         counts = np.zeros(self.size)
         for length, rows in self.grouped(words):
             if length > ARRAY_LENGTH:
                 for r in rows:
-                    self._expected_alone(MARK + words[r], weights, counts)
+                    marginals[r] = self._expected_alone(MARK + words[r], weights, counts) + weights.stop
                 continue
             chars, cells = self.cells([MARK + words[r] for r in rows])
             # Single precision is enough for expected counts.
             logs = self.weighed(chars, cells, weights, np.float32)
             alpha = self.forward(logs, len(rows), length)
+            marginals[rows] = alpha[-1] + weights.stop
             beta = np.full((length + 1, len(rows)), -np.inf, np.float32)
             beta[length] = 0.0
             for i, j in sorted(cells, key=lambda c: -c[0]):
@@ -229,7 +242,7 @@ class Lattice:
                         counts[self.fallback(int(chars[r, i]), weights)[1]] += share[r]
         return counts
 
-    def _expected_alone(self, word: str, weights: Weights, counts: np.ndarray) -> None:
+    def _expected_alone(self, word: str, weights: Weights, counts: np.ndarray) -> float:
         alpha, arcs = self.alone(word, weights)
         beta = [-math.inf] * len(word) + [0.0]
         for j in range(len(word), 0, -1):
@@ -238,6 +251,7 @@ class Lattice:
                 share = math.exp(min(0.0, alpha[i] + weight + beta[j] - alpha[-1]))
                 for k in ids:
                     counts[k] += share
+        return alpha[-1]
 
 
 def gathered(batches, rows: int = GATHERED):
@@ -276,18 +290,34 @@ class Counts:
     def size(self) -> int:
         return self.tokens + self.texts
 
-    @property
-    def remainder(self) -> float:
-        """Mass of the words that the discounted counts leave, a little for an empty class too."""
-        return (self.discount * self.types + 0.5) / (self.size + 1)
-
     @property
     def end(self) -> float:
         return (self.texts + 0.5) / (self.size + 1)
 
+    def direct(self, counts: np.ndarray, without: int = 0) -> np.ndarray:
+        """Discounted relative frequencies of words; with ``without`` 1, as if one occurrence of each were missing."""
+        mass = self.tokens - without - self.discount * self.types
+        return np.maximum(counts - without - self.discount, 0) / mass if mass > 0 else np.zeros(len(counts))
+
+
+def mixed(lattice: np.ndarray, own: np.ndarray, whole: np.ndarray, shares: tuple[float, float]) -> np.ndarray:
+    """Natural logs of words' probabilities, from the lattice's logs and the frequencies by counts."""
+    by_lattice, by_whole = shares
+    with np.errstate(divide="ignore"):
+        # In logs: the lattice's part may be too small for a double.
+        return np.logaddexp(np.log(max(0.0, 1 - by_lattice - by_whole) * own + by_whole * whole), lattice + math.log(by_lattice))
+
+
+def best_shares(likelihoods: np.ndarray) -> tuple[float, float]:
+    """The first of ``SHARES`` that none exceeds but by rounding."""
+    top = likelihoods.max()
+    return SHARES[int(np.argmax(likelihoods >= top - abs(top) * 1e-9))]
+
 
-def chunked(docs: DataFrame, folds: int, chunk_bytes: int, class_column: str | None) -> tuple[DataFrame, list[int]]:
-    """(chunk, doc_id, held_out, data, class) and the number of training texts of each class.
+def chunked(
+    docs: DataFrame, folds: int, chunk_bytes: int, class_column: str | None, min_share: float
+) -> tuple[DataFrame, int, list[int]]:
+    """(chunk, doc_id, held_out, data, class), the number of chunks and that of the training texts of each class.
 
     As many chunks as the size of all texts asks for.
     """
@@ -297,60 +327,79 @@ def chunked(docs: DataFrame, folds: int, chunk_bytes: int, class_column: str | N
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("data"), name.alias("name"))
     keyed = keyed.withColumn("held_out", held_out(folds))
     found = keyed.where("not held_out").groupBy("name").count()
-    # At most CLASSES names reach the driver.
-    top = found.where("name is not null").orderBy(F.desc("count"), "name").limit(CLASSES - 1).collect()
+    total = found.agg(F.sum("count")).first()[0] or 0
+    # At most 1 / min_share names reach the driver.
+    top = found.where("name is not null").where(F.col("count") >= max(1, min_share * total)).orderBy(F.desc("count"), "name").collect()
     names, texts = [r["name"] for r in top], [r["count"] for r in top]
-    texts.append((found.agg(F.sum("count")).first()[0] or 0) - sum(texts))
+    texts.append(total - sum(texts))
     number = F.lit(len(names))
     for k, value in enumerate(names):
         number = F.when(F.col("name") == value, k).otherwise(number)
     keyed = keyed.withColumn("class", number.cast("int")).drop("name")
-    return keyed.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "data"), F.lit(n)).cast("int")), texts
+    return keyed.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "data"), F.lit(n)).cast("int")), n, texts
 
 
 def counted(n_classes: int) -> list[str]:
     return [f"n{k}" for k in range(n_classes)]
 
 
-def chunk_words(keyed: DataFrame, n_classes: int) -> DataFrame:
-    """(chunk, word, n0, n1, ...): each chunk's distinct words with their number in each class's training texts."""
+def chunk_words(keyed: DataFrame, n_chunks: int, n_classes: int) -> DataFrame:
+    """(chunk, word, n0, n1, ...): each chunk's distinct words with their number in each class's training texts.
+
+    A task holds the words of one chunk at a time.
+    """
     names = counted(n_classes)
 
+    def emitted(chunk: int, counters: list[Counter]):
+        words = list(set().union(*counters))
+        for part in range(0, len(words), 50_000):
+            some = words[part:part + 50_000]
+            numbers = [pa.array([c.get(w, 0) for w in some], pa.int64()) for c in counters[:n_classes]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk] * len(some), pa.int32()), pa.array(some, pa.binary()).cast(pa.string()), *numbers],
+                names=["chunk", "word", *names],
+            )
+
     def run(batches):
-        seen: dict[int, list[Counter]] = defaultdict(lambda: [Counter() for _ in range(n_classes + 1)])
+        now, counters = None, [Counter() for _ in range(n_classes + 1)]
         for batch in batches:
             columns = [batch[c].to_pylist() for c in ("chunk", "held_out", "class", "data")]
             for chunk, held, number, data in zip(*columns):
+                if chunk != now:
+                    yield from emitted(now, counters)
+                    now, counters = chunk, [Counter() for _ in range(n_classes + 1)]
                 if held:
-                    seen[chunk][n_classes].update(dict.fromkeys(tokens(data), 0))
+                    counters[n_classes].update(dict.fromkeys(tokens(data), 0))
                 else:
-                    seen[chunk][number].update(tokens(data))
-        for chunk in list(seen):
-            counters = seen.pop(chunk)
-            words = list(set().union(*counters))
-            for part in range(0, len(words), 50_000):
-                some = words[part:part + 50_000]
-                numbers = [pa.array([c.get(w, 0) for w in some], pa.int64()) for c in counters[:n_classes]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * len(some), pa.int32()), pa.array(some, pa.binary()).cast(pa.string()), *numbers],
-                    names=["chunk", "word", *names],
-                )
+                    counters[number].update(tokens(data))
+        yield from emitted(now, counters)
 
     schema = "chunk int, word string, " + ", ".join(f"{n} long" for n in names)
-    return keyed.repartition("chunk").mapInArrow(run, schema)
+    dealt = keyed.select("chunk", "held_out", "class", "data").repartition(n_chunks, "chunk")
+    return dealt.sortWithinPartitions("chunk").mapInArrow(run, schema)
+
 
+def piece_counts(words: DataFrame, several: list[Weights], classes: list[Counts], tokens_of_all: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per class: expected piece counts over its words, and the log likelihood of its tokens under each of ``SHARES``.
 
-def piece_counts(words: DataFrame, several: list[Weights]) -> np.ndarray:
-    """Expected piece counts over the words of each class; one row per class and piece reaches the driver."""
-    names = counted(len(several))
+    Each token is left out of the counts that judge it. One row per class and piece reaches the driver.
+    """
+    names, size = counted(len(several)), len(several[0].names)
 
     def run(batches):
-        lattice, counts = Lattice(several[0].names), np.zeros((len(several), len(several[0].names)))
+        lattice, counts = Lattice(several[0].names), np.zeros((len(several), size + len(SHARES)))
         for batch in gathered(batches):
             words = batch["word"].to_pylist()
+            numbers = np.stack([batch[c].to_numpy() for c in names]).astype(float)
+            total = numbers.sum(axis=0)
             for k, weights in enumerate(several):
-                own = np.flatnonzero(batch[names[k]].to_numpy())
-                counts[k] += lattice.expected([words[r] for r in own], weights)
+                own = np.flatnonzero(numbers[k])
+                logs = np.empty(len(own))
+                counts[k, :size] += lattice.expected([words[r] for r in own], weights, logs)
+                direct = classes[k].direct(numbers[k, own], 1)
+                whole = (total[own] - 1) / max(1, tokens_of_all - 1)
+                for g, shares in enumerate(SHARES):
+                    counts[k, size + g] += numbers[k, own] @ mixed(logs, direct, whole, shares)
         kind, piece = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(kind.astype(np.int32)), pa.array(piece.astype(np.int32)), pa.array(counts[kind, piece])],
@@ -358,31 +407,26 @@ def piece_counts(words: DataFrame, several: list[Weights]) -> np.ndarray:
         )
 
     found = words.select("word", *names).mapInArrow(run, "class int, piece int, n double")
-    counts = np.zeros((len(several), len(several[0].names)))
-    for row in found.groupBy("class", "piece").agg(F.sum("n").alias("n")).collect():
-        counts[row["class"], row["piece"]] = row["n"]
-    return counts
+    found = found.groupBy("class", "piece").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros((len(several), size + len(SHARES)))
+    counts[found["class"].to_numpy(), found["piece"].to_numpy()] = found["n"].to_numpy()
+    return counts[:, :size], counts[:, size:]
 
 
-def word_logs(words: DataFrame, several: list[Weights], classes: list[Counts], tokens_of_all: int) -> DataFrame:
+def word_logs(words: DataFrame, several: list[Weights], classes: list[Counts], shares: list[tuple], tokens_of_all: int) -> DataFrame:
     """(word, c, p0, p1, ...): the count of each of ``words`` and its log10 probability in each class."""
     names, n = counted(len(several)), len(several)
-    background = BACKGROUND if tokens_of_all else 0.0
 
     def run(batches):
         lattice = Lattice(several[0].names)
         for batch in gathered(batches):
             counts = np.stack([batch[c].to_numpy() for c in names]).astype(float)
-            logs = lattice.log_marginals(batch["word"].to_pylist(), several) / math.log(10)
+            logs = lattice.log_marginals(batch["word"].to_pylist(), several)
             total = counts.sum(axis=0)
-            out = []
-            for k, own in enumerate(classes):
-                rest = own.remainder * (1 - background)
-                direct = np.maximum(counts[k] - own.discount, 0) / (own.size + 1)
-                direct += own.remainder * background * total / max(1, tokens_of_all)
-                with np.errstate(divide="ignore"):
-                    # The sum of both in logs: the lattice's part may be too small for a double.
-                    out.append(np.logaddexp(np.log(direct), (logs[k] + math.log10(rest)) * math.log(10)) / math.log(10))
+            out = [
+                (mixed(logs[k], own.direct(counts[k]), total / max(1, tokens_of_all), shares[k]) + math.log(1 - own.end)) / math.log(10)
+                for k, own in enumerate(classes)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch["word"].chunk(0), pa.array(total.astype(np.int64)), *[pa.array(p.astype(np.float32)) for p in out]],
                 names=["word", "c", *[f"p{k}" for k in range(n)]],
@@ -398,6 +442,7 @@ def score(
     iterations: int = ITERATIONS,
     chunk_bytes: int = CHUNK_BYTES,
     class_column: str | None = None,
+    min_share: float = MIN_SHARE,
 ) -> DataFrame:
     """Scores of every row of ``docs`` (doc_id, text, perhaps ``class_column``, anything else).
 
@@ -406,11 +451,12 @@ def score(
     learned from held-out rows. Null texts count as empty: their only token is the
     end. Repeated rows are scored, and counted, each. Without training rows the
     lattice of the vocabulary's own scores decides alone. A text's own class is never
-    looked at when it is scored. An empty table gives an empty one.
+    looked at when it is scored. ``iterations`` is at least one. An empty table gives an
+    empty one.
     """
-    keyed, texts = chunked(docs, folds, chunk_bytes, class_column)
+    keyed, n_chunks, texts = chunked(docs, folds, chunk_bytes, class_column, min_share)
     names = counted(len(texts))
-    asked = stored(chunk_words(keyed, len(texts)))
+    asked = stored(chunk_words(keyed, n_chunks, len(texts)))
     words = stored(asked.groupBy("word").agg(*[F.sum(n).alias(n) for n in names]))
     total = sum((F.col(n) for n in names), F.lit(0))
     found = words.agg(*[
@@ -424,17 +470,19 @@ def score(
     ]
     whole = classes.pop()
     several = [start_weights(vocabulary)] * len(classes)
+    shares = [(1.0, 0.0)] * len(classes)
     for _ in range(iterations if whole.types else 0):
-        counts = piece_counts(words.where(total > 0), several)
+        counts, likelihoods = piece_counts(words.where(total > 0), several, classes, whole.tokens)
         several = [
             normalised(w.names, c + SMOOTHING, float(own.types)) if own.types else w
             for w, c, own in zip(several, counts, classes)
         ]
+        shares = [best_shares(found) if own.types else (1.0, 0.0) for found, own in zip(likelihoods, classes)]
     scale = math.log10(whole.size + BASE_ADDED * (whole.types + (whole.texts > 0) + 1))
     end_base = math.log10(whole.texts + BASE_ADDED) - scale
     ends = np.array([math.log10(own.end) for own in classes])
     priors = np.log10([(own.texts + 0.5) / (whole.texts + 0.5 * len(classes)) for own in classes])
-    lexicon = asked.select("chunk", "word").join(word_logs(words, several, classes, whole.tokens), "word")
+    lexicon = asked.select("chunk", "word").join(word_logs(words, several, classes, shares, whole.tokens), "word")
 
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
         index = {w: k for k, w in enumerate(known["word"].cast(pa.binary()).to_pylist())}
@@ -457,4 +505,6 @@ def score(
         })
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return keyed.groupBy("chunk").cogroup(lexicon.groupBy("chunk")).applyInArrow(run, schema)
+    # As many tasks as chunks on both sides, so that a task's share does not grow with the input.
+    asking, answers = (side.repartition(n_chunks, "chunk").groupBy("chunk") for side in (keyed.drop("class"), lexicon))
+    return asking.cogroup(answers).applyInArrow(run, schema)

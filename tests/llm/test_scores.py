@@ -59,6 +59,99 @@ def test_expected_counts_spell_the_word(lattice, weights):
     assert spelt == pytest.approx(2 * 6 + 121, rel=1e-4)
 
 
+def scores_one_by_one(rows, probe):
+    """log10 probability of ``probe`` (a text) after training on ``rows`` (class, text), all segmentations listed."""
+    start = start_weights(PIECES)
+    number = {n: k for k, n in enumerate(start.names)}
+
+    def ways(text):
+        if not text:
+            yield []
+        for end in range(1, len(text) + 1):
+            if text[:end] in number:
+                for rest in ways(text[end:]):
+                    yield [number[text[:end]], *rest]
+
+    texts, names = Counter(c for c, _ in rows), sorted({c for c, _ in rows})
+    counts = {k: Counter(w for c, text in rows if c == k for w in text.split()) for k in names}
+    every = sum(counts.values(), Counter())
+    n_all = sum(every.values())
+    logs, stops = {k: start.logs for k in names}, {k: start.stop for k in names}
+
+    def marginal(k, word):
+        return sum(math.exp(logs[k][way].sum() + stops[k]) for way in ways(MARK + word))
+
+    def discounted(k, word, without):
+        ones, twos = (sum(n == x for n in counts[k].values()) for x in (1, 2))
+        d = ones / (ones + 2 * twos) if twos else 0.5
+        return max(counts[k][word] - without - d, 0) / (sum(counts[k].values()) - without - d * len(counts[k]))
+
+    def word_probability(k, word, shares, without):
+        lattice, whole = shares
+        by_counts = (1 - lattice - whole) * discounted(k, word, without) + whole * (every[word] - without) / (n_all - without)
+        return by_counts + lattice * marginal(k, word)
+
+    shares, first = {}, np.array([n.startswith(MARK) for n in start.names])
+    for _ in range(2):
+        for k in names:
+            likely = [sum(n * math.log(word_probability(k, w, s, 1)) for w, n in counts[k].items()) for s in lattice_lm.SHARES]
+            shares[k] = lattice_lm.SHARES[int(np.argmax(likely))]
+        for k in names:
+            uses = np.full(len(number), lattice_lm.SMOOTHING)
+            for word in counts[k]:
+                for way in ways(MARK + word):
+                    np.add.at(uses, way, math.exp(logs[k][way].sum() + stops[k]) / marginal(k, word))
+            later = uses[~first].sum() + len(counts[k])
+            new = np.log(uses)
+            new[first] -= math.log(uses[first].sum())
+            new[~first] -= math.log(later)
+            logs[k], stops[k] = new, math.log(len(counts[k]) / later)
+    total = 0.0
+    for k in names:
+        size = sum(counts[k].values()) + texts[k]
+        end = (texts[k] + 0.5) / (size + 1)
+        # The class of all rare names has no text here, but its prior counts.
+        value = (texts[k] + 0.5) / (len(rows) + 0.5 * (len(names) + 1)) * end
+        for word in probe.split():
+            value *= (1 - end) * word_probability(k, word, shares[k], 0)
+        total += value
+    return math.log10(total)
+
+
+def test_scores_are_those_of_all_segmentations_listed(spark):
+    a = ["the cat sat", "the cat ran on", "a dog sat on the mat", "dogs ran", "the end", "cats sat on it", "mats", "the dog"]
+    b = ["la casa es", "el gato es el rey", "la mesa", "gatos y casas", "el fin", "es la hora", "el mes", "y la mesa es"]
+    ids = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 10]
+    rows = [(c, text) for c, texts in (("a", a), ("b", b)) for text in texts]
+    held = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 10 == 0][:4]
+    probes = ["the cat sat on it", "gatas en mesas", "", "unseen dogs"]
+    table = [(i, text, c) for i, (c, text) in zip(ids, rows)] + [(i, text, None) for i, text in zip(held, probes)]
+    found = lattice_lm.score(spark.createDataFrame(table, "doc_id long, text string, lang string"), PIECES, class_column="lang")
+    got = {r.doc_id: r.score for r in found.where("held_out").collect()}
+    for i, text in zip(held, probes):
+        # The empty last class adds its small prior: its words have the starting weights alone.
+        start, empty = start_weights(PIECES), 0.5 / (16 + 1.5) * 0.5
+        lattice = Lattice(start.names)
+        for word in text.split():
+            empty *= 0.5 * math.exp(lattice.log_marginals([word], [start])[0][0])
+        assert got[i] == pytest.approx(math.log10(10 ** scores_one_by_one(rows, text) + empty), abs=1e-4)
+
+
+def test_rare_classes_share_the_last_one(spark):
+    ids = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 10][:100]
+    docs = spark.createDataFrame([(i, "x", "big" if k < 90 else f"rare{k}") for k, i in enumerate(ids)], "doc_id long, text string, lang string")
+    _, n_chunks, texts = lattice_lm.chunked(docs, 10, 1000, "lang", lattice_lm.MIN_SHARE)
+    assert (n_chunks, texts) == (1, [90, 10])
+
+
+def test_a_task_gives_each_chunk_its_own_words(spark):
+    docs = spark.createDataFrame([(i, f"w{i} same") for i in range(200)], "doc_id long, text string")
+    keyed, n_chunks, _ = lattice_lm.chunked(docs, 10, 100, None, lattice_lm.MIN_SHARE)
+    found = {(r.chunk, r.word) for r in lattice_lm.chunk_words(keyed, n_chunks, 2).collect()}
+    assert n_chunks > 10
+    assert found == {(r.chunk, w) for r in keyed.collect() for w in (f"w{r.doc_id}", "same")}
+
+
 def base_scores(rows):
     train, texts = Counter(), 0
     for doc_id, text in rows:
