@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,14 +15,15 @@ def average_order_value(revenue: str = "revenue", orders: str = "order_count"):
     return F.try_divide(F.col(revenue), F.col(orders)).cast("decimal(10,2)")
 
 
-def minute_sales(orders: DataFrame, window: str = "1 minute") -> DataFrame:
-    """Revenue, orders, units and average order value per event-time minute."""
-    sums = orders.groupBy(F.window("order_timestamp", window).alias("w")).agg(
+def minute_sales(orders: DataFrame, window: str = "1 minute", by: Sequence[str] = ()) -> DataFrame:
+    """Revenue, orders, units and average order value per event-time minute (and ``by``)."""
+    sums = orders.groupBy(*by, F.window("order_timestamp", window).alias("w")).agg(
         F.sum("total_amount").cast("decimal(14,2)").alias("revenue"),
         F.count("*").alias("order_count"),
         F.sum("item_count").alias("item_count"),
     )
     return sums.select(
+        *by,
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),
         "revenue",

@@ -7,14 +7,17 @@ Both order what arrives by event time and hold it back until the watermark has p
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from decimal import Decimal
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
+from retailpulse.operators.metrics import minute_sales
 from retailpulse.session import send_with_task
 
 send_with_task(__name__)
@@ -23,6 +26,9 @@ MICROS_PER_MINUTE = 60_000_000
 # Rows travel through the state as text; microseconds are kept.
 JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 SALE, RESTOCK = 0, 1
+SECONDS_PER_MINUTE = 60
+# Minutes that a minute's own figures look back on, itself included.
+FIVE_MINUTES, HOUR = 5, 60
 
 
 def _tuples(frames: Iterator[pd.DataFrame], *columns: str) -> list[tuple]:
@@ -171,3 +177,84 @@ def keyed_stock_stream(lines: DataFrame, restocks: DataFrame, products: DataFram
     out = StructType([lines.schema["product_id"]]).add("at", "long").add("stock", "long")
     found = moves.groupBy("product_id").transformWithStateInPandas(_Stock(), out, "Update", "EventTime", initialState=start)
     return found.select("product_id", F.timestamp_micros("at").alias("as_of"), F.col("stock").cast("int").alias("stock_quantity"))
+
+
+class _Trailing(StatefulProcessor):
+    """Per series: the minutes that later ones still look back on."""
+
+    def __init__(self, n_minutes: int):
+        self.n_minutes = n_minutes
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.recent = handle.getListState("recent", "at long, cents long, orders long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        kept = sorted(self.recent.get()) if self.recent.exists() else []
+        out = []
+        for minute in sorted(_tuples(rows, "at", "cents", "orders")):
+            oldest = minute[0] - (max(self.n_minutes, HOUR) - 1) * SECONDS_PER_MINUTE
+            kept = [m for m in kept if m[0] >= oldest] + [minute]
+            out.append((*key, *minute, *_looked_back(kept, self.n_minutes)))
+        self.recent.put(kept)
+        yield pd.DataFrame(out, columns=["series", "at", "cents", "orders", *TRAILING])
+
+    def close(self) -> None:
+        pass
+
+
+TRAILING = ["n_history", "mean_revenue", "std_revenue", "cents_5m", "orders_5m", "cents_1h", "orders_1h"]
+
+
+def _looked_back(minutes: list[tuple], n_minutes: int) -> tuple:
+    """``TRAILING`` of the last of some minutes (time, cents, orders)."""
+    now = minutes[-1][0]
+
+    def last(n: int) -> list[tuple]:
+        return [m for m in minutes if m[0] >= now - (n - 1) * SECONDS_PER_MINUTE]
+
+    before = [float(Decimal(cents).scaleb(-2)) for _, cents, _ in last(n_minutes)[:-1]]
+    mean = std = math.nan
+    if before:
+        mean = float(Decimal(sum(m[1] for m in last(n_minutes)[:-1])).scaleb(-2)) / len(before)
+        std = math.sqrt(math.fsum((x - mean) ** 2 for x in before) / len(before))
+    sums = [sum(m[k] for m in last(n)) for n in (FIVE_MINUTES, HOUR) for k in (1, 2)]
+    return len(before), mean, std, *sums
+
+
+def trailing_stream(orders: DataFrame, n_minutes: int = 30, delay: str = "10 minutes", series: str | None = None) -> DataFrame:
+    """Every closed minute with its spike test and its rolling sales (append mode).
+
+    Two stateful operators in a row: orders are summed per event-time minute until the
+    watermark closes it; the closed minute then meets the last hour of its series in
+    state. The rows are those of ``series.trailing_zscore`` and ``series.rolling_sales``
+    over all orders that were at most ``delay`` late. ``series``, a column of ``orders``,
+    parts them into series of their own; null is one of them. A series keeps at most an
+    hour of minutes (or ``n_minutes``, if more). Orders without a time are left out.
+
+    Returns series, window_start, revenue, order_count, n_history, mean_revenue,
+    std_revenue, z, revenue_5m, orders_5m, revenue_1h and orders_1h.
+    """
+    name = (F.col(series) if series else F.lit("all")).cast("string").alias("series")
+    marked = orders.filter(F.col("order_timestamp").isNotNull()).withWatermark("order_timestamp", delay)
+    closed = minute_sales(marked.select("order_timestamp", "total_amount", "item_count", name), by=["series"])
+    cents = (F.coalesce("revenue", F.lit(0)) * 100).cast("long").alias("cents")
+    minutes = closed.select("series", F.unix_seconds("window_start").alias("at"), cents, F.col("order_count").alias("orders"))
+    schema = "series string, at long, cents long, orders long, n_history long, mean_revenue double, std_revenue double"
+    schema += ", cents_5m long, orders_5m long, cents_1h long, orders_1h long"
+    found = minutes.groupBy("series").transformWithStateInPandas(_Trailing(n_minutes), schema, "Append", "None")
+
+    def money(column: str) -> Column:
+        return (F.col(column).cast("decimal(18,0)") / 100).cast("decimal(14,2)")
+
+    def known(column: str) -> Column:
+        return F.when(F.col("n_history") > 0, F.col(column))
+
+    z = F.when(
+        (F.col("n_history") >= 4) & (F.col("std_revenue") > 0),
+        (money("cents").cast("double") - F.col("mean_revenue")) / F.col("std_revenue"),
+    )
+    return found.select(
+        "series", F.timestamp_seconds("at").alias("window_start"), money("cents").alias("revenue"), F.col("orders").alias("order_count"),
+        "n_history", known("mean_revenue").alias("mean_revenue"), known("std_revenue").alias("std_revenue"), z.alias("z"),
+        money("cents_5m").alias("revenue_5m"), "orders_5m", money("cents_1h").alias("revenue_1h"), "orders_1h",
+    )

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import T0, at, product_frame, rows
-from retailpulse.operators import cooldown, inventory
+from retailpulse.operators import cooldown, inventory, metrics, series
 from retailpulse.streaming import keyed
 
 ALERT = "alert_type string, entity_id string, number long, value decimal(14,4), detected_at timestamp"
@@ -143,3 +143,56 @@ def test_stock_after_movements_matches_a_loop(spark):
         products, spark.createDataFrame([tuple(s.values()) for s in sales], LINE), spark.createDataFrame([tuple(r.values()) for r in levels], LEVEL)
     )
     assert dict(rows(found, "product_id", "stock_quantity")) == stock
+
+
+ORDER = "shop string, total_amount decimal(12,2), item_count int, order_timestamp timestamp"
+
+
+def random_orders(seed, n=300):
+    rng = random.Random(seed)
+    # Gaps of minutes and of hours, and a minute of its own size now and then.
+    found = []
+    for _ in range(n):
+        minute = rng.choice([rng.randrange(0, 50), rng.randrange(90, 130), rng.randrange(300, 330)])
+        amount = rng.choice([rng.randrange(100, 9_000), 1_000_000 if rng.random() < 0.05 else 77]) / 100
+        found.append({"shop": rng.choice(["a", "b", None]), "total_amount": amount, "item_count": 1, "order_timestamp": at(minute + rng.random() * 0.9)})
+    return found
+
+
+@pytest.mark.parametrize("by, cut, restart", [(None, [300], False), ("shop", [70, 200, 300], True)])
+def test_trailing_stream_equals_the_batch(spark, tmp_path, by, cut, restart):
+    orders = random_orders(6)
+    if restart:
+        # Roughly in order, so that minutes close in several batches, with rows up to half an hour late.
+        orders.sort(key=lambda o: o["order_timestamp"] + timedelta(minutes=random.Random(str(o)).randrange(30)))
+    build = lambda: keyed.trailing_stream(read(spark, tmp_path / "in", ORDER), delay="40 minutes" if restart else "9 hours", series=by)
+    query = Query(spark, tmp_path, build, "append")
+    end = [{"shop": "end", "total_amount": 1, "item_count": 1, "order_timestamp": at(m)} for m in (2000, 4000)]
+    start = 0
+    try:
+        for n, stop in enumerate(cut):
+            land(tmp_path / "in", n, orders[start:stop])
+            query.settle(restart)
+            start = stop
+        for n, mark in enumerate(end):
+            land(tmp_path / "in", 100 + n, [mark])
+            query.settle()
+    finally:
+        query.stop()
+    batches = {batch for batch, some in query.out if any(r.window_start < at(1000) for r in some)}
+    assert len(batches) > 1 or not restart
+    whole = spark.read.schema(ORDER).json(str(tmp_path / "in")).filter(F.col("order_timestamp") < F.lit(at(1000)))
+    whole = whole.withColumn("series", F.coalesce(by, F.lit("null")) if by else F.lit("all"))
+    minutes = metrics.minute_sales(whole, by=["series"])
+    tests = {(r.series, r.window_start): r for r in series.trailing_zscore(minutes, ["series"]).collect()}
+    sales = {(r.series, r.window_start): r for r in series.rolling_sales(minutes, ["series"]).collect()}
+    got = {(r.series or "null", r.window_start): r for r in query.rows() if r.window_start < at(1000)}
+    assert got.keys() == tests.keys() and len(got) == sum(r.window_start < at(1000) for r in query.rows())
+    assert any(r.z is not None and r.z > 3 for r in got.values())
+    for key, r in got.items():
+        test, sale = tests[key], sales[key]
+        assert (r.revenue, r.order_count, r.n_history) == (test.revenue, test.order_count, test.n_history)
+        assert (r.revenue_5m, r.orders_5m, r.revenue_1h, r.orders_1h) == (sale.revenue_5m, sale.orders_5m, sale.revenue_1h, sale.orders_1h)
+        for column in ("mean_revenue", "std_revenue", "z"):
+            value, want = r[column], test[column]
+            assert (value is None) == (want is None) and (want is None or value == pytest.approx(want, rel=1e-6, abs=1e-6)), (key, column)
