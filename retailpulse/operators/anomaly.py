@@ -59,7 +59,7 @@ def zscore_spikes(judged: DataFrame) -> DataFrame:
 
 
 def forest_by_frame(metrics: DataFrame, frame: list[str], params: AnomalyParams = DEFAULT) -> DataFrame:
-    """Isolation-forest verdict on the latest minute of each frame."""
+    """Isolation-forest verdict on the latest minute of each frame, and how many minutes it finds odd."""
     scored = forest_scores(metrics, frame, ["revenue", "order_count"], "window_start", params)
     revenue = F.col("revenue").cast("double")
     latest = F.max_by(F.struct("window_start", revenue.alias("revenue"), "decision"), "window_start")
@@ -69,7 +69,8 @@ def forest_by_frame(metrics: DataFrame, frame: list[str], params: AnomalyParams
         F.avg(revenue).alias("mean_revenue"),
         F.stddev_pop(revenue).alias("std_revenue"),
         F.median(revenue).alias("median_revenue"),
-    ).select(*frame, "n_rows", "_latest.*", "mean_revenue", "std_revenue", "median_revenue")
+        F.count_if(F.col("decision") < 0).alias("n_outliers"),
+    ).select(*frame, "n_rows", "_latest.*", "mean_revenue", "std_revenue", "median_revenue", "n_outliers")
     spike = (
         (F.col("n_rows") >= params.forest_min_rows)
         & (F.col("decision") < 0)

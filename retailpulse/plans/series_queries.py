@@ -312,6 +312,23 @@ def _(t):
     return anomaly.forest_by_frame(framed, ["day"])
 
 
+@query("d2_forest_frames", """
+SELECT date_trunc('day', window_start) AS day, count(*) AS n_rows, max(window_start) AS window_start,
+       CAST(arg_max(revenue, window_start) AS DOUBLE) AS revenue,
+       floor(avg(CAST(revenue AS DOUBLE)) * 100 + 0.5) / 100 AS mean_revenue,
+       floor(stddev_pop(CAST(revenue AS DOUBLE)) * 100 + 0.5) / 100 AS std_revenue,
+       floor(median(CAST(revenue AS DOUBLE)) * 100 + 0.5) / 100 AS median_revenue, TRUE AS share_holds
+FROM fx_sales GROUP BY 1""")
+def _(t):
+    """What of the forest's verdict is not random: the frame, its latest minute, and at most the asked share of odd minutes."""
+    framed = t.sales_metrics.withColumn("day", F.date_trunc("day", "window_start"))
+    judged = anomaly.forest_by_frame(framed, ["day"])
+    share_holds = F.col("n_outliers") <= F.col("n_rows") * anomaly.DEFAULT.contamination + 1
+    return _rounded(judged, 2, "mean_revenue", "std_revenue", "median_revenue").select(
+        "day", "n_rows", "window_start", "revenue", "mean_revenue", "std_revenue", "median_revenue", share_holds.alias("share_holds")
+    )
+
+
 @query("d3_cold_start_switch", f"""
 WITH framed AS (SELECT date_trunc('hour', window_start) AS frame, * FROM fx_sales),
 {_ZFRAME}

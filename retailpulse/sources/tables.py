@@ -93,7 +93,9 @@ def save_co_located(tables: dict[str, DataFrame], key: str, buckets: int, mode:
 
     Joins and groupings of the saved tables by ``key`` then need no shuffle: a task reads
     one bucket of each. Rows are dealt once here, so every bucket is one file. Choose
-    ``buckets`` so that a bucket fits a task (some hundred MB), the same for all tables.
+    ``buckets`` so that a bucket fits a task (some hundred MB), the same for all tables. A
+    key with a large share of the rows makes one large bucket, which a join without a
+    shuffle cannot split: leave such tables as plain files.
     """
     for name, rows in tables.items():
         dealt = rows.repartition(buckets, key)
