@@ -138,11 +138,11 @@ MEASURES: dict[str, Base | Formula] = {
 # stock health icon, severity colour and stock row colour (functions.labels).
 
 
-def _bases(names: Iterable[str]) -> list[str]:
+def bases_of(names: Iterable[str]) -> list[str]:
     found: list[str] = []
     for name in names:
         measure = MEASURES[name]
-        for base in [name] if isinstance(measure, Base) else _bases(measure.needs):
+        for base in [name] if isinstance(measure, Base) else bases_of(measure.needs):
             if base not in found:
                 found.append(base)
     return found
@@ -213,19 +213,33 @@ def evaluate(
     without a partner there have it blank. A slicer acts on its own table and on those
     whose relationships lead to it; others are not sliced.
     """
-    by = by or []
-    star, slicers = Star(model, relationships), list(slicers)
-    bases = _bases(names)
+    by, bases = by or [], bases_of(names)
+    return with_formulas(model, [], bases, names, as_of, by, slicers, relationships)
+
+
+def with_formulas(
+    model: dict[str, DataFrame],
+    parts: list[DataFrame],
+    bases: list[str],
+    names: list[str],
+    as_of: Clock,
+    by: Iterable[str] = (),
+    slicers: Iterable[Slicer] = (),
+    relationships: Iterable[Relationship] = RELATIONSHIPS,
+) -> DataFrame:
+    """The measures ``names`` from ``bases``, evaluated here, and the base measures that ``parts`` already hold."""
+    by, star, slicers = list(by), Star(model, relationships), list(slicers)
     tables: dict[str, dict[str, Base]] = {}
     for name in bases:
         tables.setdefault(MEASURES[name].table, {})[name] = MEASURES[name]
-    parts = [_related(star, t, wanted, by, as_of, slicers) for t, wanted in tables.items()]
+    parts = [*parts, *(_related(star, t, wanted, by, as_of, slicers) for t, wanted in tables.items())]
+    found = bases_of(names)
     folded = parts[0]
     if len(parts) > 1:
         union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        folded = union.groupBy(*by).agg(*[F.max(name).alias(name) for name in bases])
+        folded = union.groupBy(*by).agg(*[F.max(name).alias(name) for name in found])
 
-    known: dict[str, Column] = {name: F.col(name) for name in bases}
+    known: dict[str, Column] = {name: F.col(name) for name in found}
 
     def column(name: str) -> Column:
         measure = MEASURES[name]

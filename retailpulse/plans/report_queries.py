@@ -12,6 +12,7 @@ from retailpulse.operators import calendar, inventory, kpi, metrics, star
 from retailpulse.plans import dashboard
 from retailpulse.plans import series_queries as sq
 from retailpulse.plans import tables_queries as tq
+from retailpulse.plans.day_sums import day_sums, evaluate_from_days
 from retailpulse.plans.measures import evaluate
 from retailpulse.plans.registry import query
 from retailpulse.plans.relationships import Slicer
@@ -152,6 +153,19 @@ def _(t):
     return _plain_numbers(evaluate(tq.model(t), [name for name, _ in SCALARS.values()], t.now))
 
 
+@query("m_all_from_day_sums", "SELECT " + ", ".join(f"{sql} AS {name}" for name, sql in SCALARS.values()))
+def _(t):
+    """Closed days from their sums, the last two days from the orders."""
+    model = tq.model(t)
+    closed = F.date_trunc("day", t.now) - F.expr("INTERVAL 1 DAY")
+    before = model["orders"].filter(F.col("order_timestamp") < closed)
+    known = model["orders"].select("order_id", "order_timestamp")
+    items = model["order_items"].drop("order_timestamp").join(known, "order_id", "left")
+    items = items.filter(F.coalesce(F.col("order_timestamp") < closed, F.lit(True))).drop("order_timestamp")
+    sums = day_sums(before, items)
+    return _plain_numbers(evaluate_from_days(model, sums, closed, [name for name, _ in SCALARS.values()], t.now))
+
+
 @query("m_by_day", """
 SELECT date_trunc('day', order_timestamp) AS day, CAST(sum(total_amount) AS DOUBLE) AS total_revenue,
        count(DISTINCT order_id) AS order_count,

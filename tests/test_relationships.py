@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import at, money, rows
+from retailpulse.plans.day_sums import STORED, day_sums, evaluate_from_days
 from retailpulse.plans.measures import evaluate
 from retailpulse.plans.relationships import Relationship, Slicer, Star
 
@@ -66,3 +67,26 @@ def test_sums_are_taken_before_the_catalog_is_joined(model):
     plan = evaluate(model, ["units_sold"], at(0), ["category"])._jdf.queryExecution().optimizedPlan().toString()
     join = plan.index("Join")
     assert plan.rindex("Aggregate") > join and "sum(" in plan[join:]
+
+
+@pytest.mark.parametrize("closed_days", [0, 1, 2, 3, 10])
+def test_measures_from_day_sums_read_no_order_of_a_closed_day(spark, model, closed_days):
+    now, midnight = at(60 * 24 * 2 + 30), at(60 * 24 * closed_days - 12 * 60)
+    known = model["orders"].select("order_id", "order_timestamp")
+    model["order_items_of_orders"] = model["order_items"].join(known, "order_id")
+    names = [*STORED, "average_order_value", "revenue_vs_yesterday_pct", "total_stock"]
+    want = evaluate(model, names, now).collect()
+    sums = day_sums(model["orders"], model["order_items"])
+    sums = spark.createDataFrame(sums.collect(), sums.schema)
+    # What the closed days' rows say now does not matter any more.
+    closed = F.col("order_timestamp") < F.lit(midnight)
+    spoilt = model | {"orders": model["orders"].withColumn("total_amount", F.when(closed, F.col("total_amount") * 1000).otherwise(F.col("total_amount")))}
+    assert evaluate_from_days(spoilt, sums, midnight, names, now).collect() == want
+
+
+def test_measures_from_day_sums_without_any_order(spark, model):
+    empty = {name: rows_.limit(0) for name, rows_ in model.items()}
+    empty["order_items_of_orders"] = empty["order_items"].join(empty["orders"], "order_id")
+    sums = day_sums(empty["orders"], empty["order_items"])
+    assert sums.count() == 0
+    assert evaluate_from_days(empty, sums, at(0), list(STORED), at(0)).collect() == evaluate(empty, list(STORED), at(0)).collect()
