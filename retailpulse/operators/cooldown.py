@@ -25,8 +25,8 @@ send_with_task(__name__)
 MICROS_PER_MINUTE = 60_000_000
 # A span of one level holds this many spans of the level below; the lowest
 # span is this many cooldowns long.
-FAN = 64
-LEVELS = (1, 2)
+FAN = 16
+LEVELS = (1, 2, 3)
 ANY_TIME = -(2**62)
 
 

@@ -4,6 +4,7 @@ import random
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import at
 from retailpulse.operators import cooldown
@@ -61,3 +62,15 @@ def test_cut_into_batches_gives_the_same(spark):
     last = a.groupBy("entity_id").agg({"detected_at": "max"}).toDF("entity_id", "last_at")
     b = emitted_times(frame(spark, second), ["entity_id"], "detected_at", 5, last)
     assert found(a) | found(b) == whole
+
+
+def test_a_busy_key_of_a_million_alerts(spark):
+    n, step = 1_000_000, 173_000  # two days of one key, six alerts a second
+    start = 1_709_294_400_000_000
+    alerts = spark.range(n).select(
+        F.lit("LOW_STOCK").alias("alert_type"), F.timestamp_micros(F.lit(start) + F.col("id") * step).alias("detected_at")
+    )
+    found = cooldown.emitted_times(alerts, ["alert_type"], "detected_at", 5)
+    got = sorted(r[0] for r in found.select(F.unix_micros("detected_at")).collect())
+    hop = -(-5 * 60_000_000 // step)
+    assert got == [start + k * step for k in range(0, n, hop)]
