@@ -26,7 +26,7 @@ MICROS_PER_MINUTE = 60_000_000
 # A span of one level holds this many spans of the level below; the lowest
 # span is this many cooldowns long.
 FAN = 16
-LEVELS = (1, 2, 3)
+LEVELS = (1, 2)
 ANY_TIME = -(2**62)
 
 
