@@ -359,3 +359,18 @@ def test_catalog_versions(spark, tmp_path, monkeypatch):
         assert rows(table.read()) == whole and table.version() == 4
     table.refresh(documents(9.0))
     assert rows(table.read(), "product_id", "price") == [(1, money("9.00")), (2, money("2.00")), (3, money("3.00"))]
+
+
+def test_ingestion_lag_takes_the_exact_percentile_of_a_large_group(spark):
+    """60,000 distinct lags and 40 rows without an arrival: ranks are those of the sorted lags."""
+    n = 60_000
+    sent = F.timestamp_seconds(F.lit(1_700_000_000))
+    numbered = spark.range(n, numPartitions=7).select((F.col("id") * 7919 % n).alias("k"))
+    known = numbered.select(sent.alias("sent"), F.timestamp_millis(F.lit(1_700_000_000_000) + F.col("k") * F.col("k")).alias("came"))
+    lost = spark.range(40).select(sent.alias("sent"), F.lit(None).cast("timestamp").alias("came"))
+    (row,) = metrics.ingestion_lag(known.union(lost), "sent", "came", F.to_date("sent").alias("day")).collect()
+    lags = [k * k for k in range(n)]
+    assert (row.n_events, row.max_lag_ms, row.p95_lag_ms) == (n + 40, lags[-1], lags[n * 95 // 100 - 1])
+    assert row.avg_lag_ms == sum(lags) / n
+    (none,) = metrics.ingestion_lag(lost, "sent", "came", "sent").collect()
+    assert (none.n_events, none.avg_lag_ms, none.max_lag_ms, none.p95_lag_ms) == (40, None, None, None)
