@@ -1,11 +1,13 @@
-"""Near-copies by the exact similarity of their word shingles.
+"""Near-copies by SimHash pivots and the exact similarity of their word shingles.
 
 Texts as sets of five-word shingles are near-copies if they share at least 0.8 of
-all their shingles (Jaccard). SimHash distances do not tell such pairs: they differ in
-4 to 18 of 64 bits. Candidates share one of 40 keys of five minima each: a pair at 0.8
-lacks them all once in eight million times, a more similar one less often, and a pair at
-0.1 has one once in 2,500 times. Groups of candidates are then compared pair by pair with
-their shingles, which decides alone what is a near-copy.
+all their shingles (Jaccard). SimHash fingerprints, wide enough for that similarity, are
+searched by their distances to pivots (``simhash_pivots``): one of 64 keys of pivot
+coordinates, then the Hamming distance. At exactly 0.8 one pair in 200 has no such key, at
+0.85 one in 3,000. So that these are not lost, pairs that share one of 40 keys of five
+minima are candidates, too; a pair at 0.8 lacks all of those once in eight million times.
+Groups of candidates are then compared pair by pair with their shingles, which decides
+alone what is a near-copy.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from retailpulse.llm.common import packed, stored, text_bytes
 from retailpulse.llm.graph import components
-from retailpulse.llm.simhash_pivots import merged
+from retailpulse.llm.simhash_pivots import merged, wide_links, wide_print
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -59,33 +61,44 @@ def block_keys(own: np.ndarray) -> list[int]:
 
 
 def prints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, mark, node, keys) of every row; node is a hash of the text's words, mark one of the text.
+    """(doc_id, mark, node, keys, print) of every row; node is a hash of the text's words, mark one of the text.
 
-    Words are runs of other bytes than ASCII white space, A-Z lower-cased. Texts without
-    words share node zero and have no keys.
+    Words are runs of other bytes than ASCII white space, A-Z lower-cased; print is the
+    wide SimHash of the shingles. Texts without words share node zero and have no keys.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, keys = [], []
+            nodes, keys, wide = [], [], []
             for text in batch["data"]:
                 found = text.as_py().lower().split()
+                own = shingles(found, words)
                 nodes.append(xxhash.xxh64_intdigest(b" ".join(found)) if found else 0)
-                own = np.array(block_keys(shingles(found, words)) if found else [], np.uint64)
-                keys.append(own.view(np.int64))
-            arrays = [batch["doc_id"], batch["mark"], pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "mark", "node", "keys"])
+                keys.append(np.array(block_keys(own) if found else [], np.uint64).view(np.int64))
+                wide.append(wide_print(own).tobytes())
+            arrays = [
+                batch["doc_id"], batch["mark"], pa.array(np.array(nodes, np.uint64).view(np.int64)),
+                pa.array(keys, pa.list_(pa.int64())), pa.array(wide, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "mark", "node", "keys", "print"])
 
     mark = F.xxhash64(text_bytes()).alias("mark")
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark, text_bytes().alias("data"))
-    return chosen.mapInArrow(run, "doc_id long, mark long, node long, keys array<long>")
+    return chosen.mapInArrow(run, "doc_id long, mark long, node long, keys array<long>, print binary")
 
 
-def candidates(rows: DataFrame) -> DataFrame:
-    """(node, root) of the nodes of ``rows`` (node, keys) that share a key with another, by chains of shared keys."""
-    keyed = rows.groupBy("node").agg(F.first("keys").alias("keys")).select("node", F.explode("keys").alias("key"))
+def minima_links(nodes: DataFrame) -> DataFrame:
+    """Links (a, b) from each of ``nodes`` (node, keys) to the smallest one it shares a key with."""
+    keyed = nodes.select("node", F.explode("keys").alias("key"))
     firsts = keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
     links = keyed.join(firsts, "key").where("node > first")
-    return components(links.select(F.col("first").alias("a"), F.col("node").alias("b")))
+    return links.select(F.col("first").alias("a"), F.col("node").alias("b"))
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """(node, root) of the nodes of ``rows`` (node, keys, print) that have a candidate, by chains of candidates."""
+    some = rows.where(F.size("keys") > 0).groupBy("node").agg(F.first("keys").alias("keys"), F.first("print").alias("print"))
+    nodes = stored(some)
+    return components(wide_links(nodes).union(minima_links(nodes)))
 
 
 def shingle_sets(docs: DataFrame, reps: DataFrame, words: int = WORDS) -> DataFrame:

@@ -9,6 +9,11 @@ agree on three whole blocks, so they agree on the coordinates of one of the 20
 choices of three blocks: an equality key loses no link. Pairs with equal keys are
 discarded when any pivot coordinate differs by more than the radius, and the
 survivors are verified by their Hamming distance.
+
+Texts that share four fifths of their shingles differ in 4 to 18 of 64 bits, too many
+for such blocks. They take WIDE fingerprints of hash functions of their own: each has a
+key for the pivot coordinates of every eight of its fields, so that 64 keys are
+independent, and the distance is that of the next CHECKED fingerprints.
 """
 
 from __future__ import annotations
@@ -33,6 +38,13 @@ CHOICES = list(combinations(range(len(BLOCKS)), 3))
 #: Rows of one key that one task compares; larger keys are cut into pairs of such parts.
 PART_ROWS = 4096
 
+WIDE, WIDE_FIELDS, CHECKED, WIDE_ROWS = 16, 8, 2, 1024
+#: Bits of the checked fingerprints in which linked texts may differ: at similarity 0.8, 19 or 20 are expected, of others 64.
+WIDE_RADIUS = 32
+SALTS = np.random.default_rng(11).integers(0, 1 << 64, WIDE, dtype=np.uint64)
+#: The eight bits of each byte, lowest first, one to a byte.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").ravel()
+
 
 def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
     """64-bit SimHash of the word shingles of ``text``, repeats included.
@@ -215,6 +227,98 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = RADIUS, part_
     return prints.join(labels, "fp").select("doc_id", "mark", "fp", "root", "component_id")
 
 
+def wide_print(own: np.ndarray) -> np.ndarray:
+    """WIDE SimHashes of 64 bits of a set of shingles (their 64-bit hashes)."""
+    ones = np.zeros(WIDE * 64, np.int64)
+    for part in range(0, len(own), 255):
+        mixed = (own[part:part + 255, None] ^ SALTS) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(29)
+        # Sums of 255 bits fit into their byte.
+        ones += _SPREAD.take(mixed.view(np.uint8)).sum(axis=0, dtype=np.uint64).view(np.uint8)
+    return np.packbits(ones * 2 > len(own), bitorder="little").view("<u8")
+
+
+def wide_keyed(nodes: DataFrame) -> DataFrame:
+    """(key, node, c0, c1): for each row of ``nodes`` (node, print) its keys, each with the fingerprints that are checked."""
+    tables = FIELDS // WIDE_FIELDS
+    weights = 3 ** np.arange(WIDE_FIELDS, dtype=np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node = batch["node"].to_numpy(zero_copy_only=False)
+            prints = np.frombuffer(b"".join(batch["print"].to_pylist()), "<u8").reshape(len(node), WIDE)
+            for word in range(WIDE):
+                distances = pivot_distances(prints[:, word])
+                ones = (distances[:, :1] + 2 - distances[:, 1:]).astype(np.int64) // 2
+                codes = ones.reshape(len(node), tables, WIDE_FIELDS) @ weights
+                keys = codes * (WIDE * tables) + word * tables + np.arange(tables)
+                checked = [np.repeat(prints[:, (word + k) % WIDE].view(np.int64), tables) for k in range(1, CHECKED + 1)]
+                arrays = [keys.ravel(), np.repeat(node, tables), *checked]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["key", "node", "c0", "c1"])
+
+    return nodes.select("node", "print").mapInArrow(run, "key long, node long, c0 long, c1 long")
+
+
+def labels_of_run(checked: list[np.ndarray], radius: int) -> np.ndarray:
+    """Label of each row: the first row of its component of rows that differ in at most ``radius`` bits."""
+    n = len(checked[0])
+    labels = np.arange(n)
+    for start in range(0, n - 1, 64):
+        end = min(start + 64, n)
+        distance = sum(np.bitwise_count(c[start:end, None] ^ c[None, start:]) for c in checked)
+        near = (distance <= radius) & (labels[start:end, None] != labels[None, start:])
+        left, right = np.nonzero(near)
+        merged(labels, start + left, start + right)
+    return labels
+
+
+def wide_links(nodes: DataFrame, radius: int = WIDE_RADIUS, part_rows: int = WIDE_ROWS) -> DataFrame:
+    """Links (a, b) between the nodes of ``nodes`` (node, print) that share a key and are within the radius.
+
+    Of the links within a key a spanning forest is given. Large keys become pairs of
+    parts of bounded size.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = {c: batch[c].to_numpy(zero_copy_only=False) for c in batch.schema.names}
+            if rest is not None:
+                table = {c: np.concatenate([rest[c], table[c]]) for c in table}
+            starts = np.flatnonzero(np.logical_or.reduce([np.diff(table[c]) != 0 for c in by])) + 1
+            bounds = [0, *starts.tolist()]
+            yield from linked(table, bounds)
+            rest = {c: v[bounds[-1]:] for c, v in table.items()}
+        if rest is not None:
+            yield from linked(rest, [0, len(rest["node"])])
+
+    def linked(table, bounds):
+        a, b = [], []
+        unsigned = [table[c].view(np.uint64) for c in ("c0", "c1")]
+        for start, end in zip(bounds, bounds[1:]):
+            if end - start > 1:
+                labels = labels_of_run([u[start:end] for u in unsigned], radius)
+                joined = np.flatnonzero(labels != np.arange(len(labels)))
+                a.append(table["node"][start:end][joined])
+                b.append(table["node"][start:end][labels[joined]])
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b)], names=["a", "b"])
+
+    by = ["key", "lo", "hi"]
+    rows = wide_keyed(nodes)
+    # Few keys are large: no more than the rows by part_rows.
+    large = rows.groupBy("key").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts")).where("parts > 1")
+    rows = rows.join(F.broadcast(large), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node", "c0", "c1")
+    ordered = rows.repartition(*by).sortWithinPartitions(*by)
+    return ordered.mapInArrow(run, "a long, b long")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the smallest doc_id stays.
 

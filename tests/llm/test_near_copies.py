@@ -2,9 +2,11 @@ import importlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from odd import frame, odd_texts
 from retailpulse.llm import near_copies
+from retailpulse.llm.simhash_pivots import wide_links
 from test_duplicates import component_of
 
 
@@ -56,6 +58,32 @@ def test_stage_keeps_one_of_each_near_copy(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
 
 
+@pytest.mark.parametrize("part_rows", [8, 4096])
+def test_simhash_pivots_propose_the_near_copies(spark, part_rows):
+    """The pivots alone link similar texts and no others; rows without words have no print to search."""
+    rows = altered_texts()
+    sets = {k: plain_shingles(t) for k, t in rows}
+    nodes = near_copies.prints(frame(spark, rows)).select(F.col("doc_id").alias("node"), "print")
+    linked = [tuple(r) for r in wide_links(nodes, part_rows=part_rows).collect()]
+    shared = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in linked}
+    assert min(shared.values()) > 0.2
+    group = component_of(sets, linked)
+    pairs = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert sum(group[a] == group[b] for a, b in pairs) >= 0.99 * len(pairs) and len(pairs) > 50
+
+
+@pytest.mark.parametrize("kept", ["keys", "print"])
+def test_both_ways_to_candidates_are_taken(spark, kept):
+    """A pair that only one of the two finds is a candidate."""
+    words = [f"w{k}" for k in range(300)]
+    rows = near_copies.prints(frame(spark, [(1, " ".join(words)), (2, " ".join([*words, "more"]))]))
+    other = F.transform("keys", lambda k: k + F.col("doc_id")) if kept == "print" else F.col("keys")
+    blank = F.when(F.col("doc_id") == 1, F.unhex(F.lit("00" * 128))).otherwise(F.unhex(F.lit("FF" * 128)))
+    rows = rows.withColumn("keys", other).withColumn("print", blank if kept == "keys" else F.col("print"))
+    found = near_copies.candidates(rows).collect()
+    assert len(found) == 2 and len({r.root for r in found}) == 1
+
+
 def test_near_copies_of_odd_rows(spark):
     rows = odd_texts()
     found = near_copies.near_copies(frame(spark, rows)).collect()
