@@ -12,12 +12,15 @@ own commit protocol: lost tasks leave nothing behind.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -172,6 +175,18 @@ def opened(data: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
     return doc_ids, np.frombuffer(sections[2], "<u4"), matrix
 
 
+@contextmanager
+def without_collector() -> Iterator[None]:
+    """No search for reference cycles: none arise here, and a search visits hundreds of thousands of new lists."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class Encoder:
     """Token ids of texts as bytes of unsigned 32-bit numbers.
 
@@ -202,14 +217,15 @@ class Encoder:
         self.splits = regex.compile(made["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         by_byte = self.tokenizer.pre_tokenizer[1]
         simple = [chr(c) for c in range(0x21, 0x180) if self._SIMPLE.fullmatch(chr(c))]
+        self.line_feed = by_byte.pre_tokenize_str("\n")[-1][0][-1]
+        (self.line_feed_id,) = self.model.encode([self.line_feed], is_pretokenized=True, add_special_tokens=False).ids
         self.bytes_shown = {ord(c): by_byte.pre_tokenize_str(c)[0][0] for c in simple}
 
-    @staticmethod
-    def _ids(tokenizer, words: list[str]) -> list[bytes]:
-        """Each word on its own; one call takes many as the words of one text."""
+    def _whole(self, words: list[str]) -> list[bytes]:
+        """Each word on its own through the whole tokenizer; one call takes many as the words of one text."""
         out = [b""] * len(words)
         for start in range(0, len(words), 2000):
-            found = tokenizer.encode(words[start:start + 2000], is_pretokenized=True, add_special_tokens=False)
+            found = self.tokenizer.encode(words[start:start + 2000], is_pretokenized=True, add_special_tokens=False)
             ids = np.array(found.ids, "<u4").tobytes()
             owners = np.array([-1 if w is None else w for w in found.word_ids], np.int64)
             cuts = [0, *(np.flatnonzero(np.diff(owners)) + 1).tolist(), len(owners)]
@@ -218,44 +234,69 @@ class Encoder:
                     out[start + int(owners[a])] = ids[4 * a:4 * b]
         return out
 
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Each word by the vocabulary alone; no part of a piece holds a line feed, so its id tells the words of a call apart."""
+        out = []
+        for start in range(0, len(words), 2000):
+            some = words[start:start + 2000]
+            ended = [self.line_feed] * (2 * len(some))
+            ended[::2] = some
+            (found,) = self.model.encode_batch_fast([ended], is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            data, ends = ids.tobytes(), (np.flatnonzero(ids == self.line_feed_id) * 4).tolist()
+            if len(ends) != len(some):
+                raise ValueError("the vocabulary does not keep line feeds apart")
+            out += [data[a:b] for a, b in zip([0, *[e + 4 for e in ends]], ends)]
+        return out
+
+    def _split(self, word: str) -> list[str]:
+        """Parts of a simple lower-case piece; letters, also with punctuation after them, need no expression."""
+        if word.isalpha():
+            return [word]
+        letters = word.rstrip(string.punctuation)
+        if letters.isalpha():
+            return [letters, word[len(letters):]]
+        return self.splits.findall(word)
+
     def _encoded(self, pieces: list[bytes]) -> list[bytes]:
         """Simple pieces are split here and their parts looked up in the vocabulary, others go through the whole tokenizer."""
         words = [p.decode() for p in pieces]
-        simple = [self._SIMPLE.fullmatch(w) is not None for w in words]
-        # As in the tokenizer: lower case, then the split, then bytes shown as characters.
-        parts = [self.splits.findall(w.lower()) if s else None for w, s in zip(words, simple)]
+        parts = [self._split(w.lower()) if self._SIMPLE.fullmatch(w) is not None else None for w in words]
         known = self.parts
         new = list(dict.fromkeys(part for some in parts if some for part in some if part not in known))
-        known.update(zip(new, self._ids(self.model, [part.translate(self.bytes_shown) for part in new])))
+        known.update(zip(new, self._ids([part.translate(self.bytes_shown) for part in new])))
         if len(known) > self.REMEMBERED:
             self.parts = {}
-        rest = iter(self._ids(self.tokenizer, [w for w, s in zip(words, simple) if not s]))
-        return [next(rest) if some is None else b"".join([known[part] for part in some]) for some in parts]
+        rest = iter(self._whole([w for w, some in zip(words, parts) if some is None]))
+        return [
+            next(rest) if some is None else known[some[0]] if len(some) == 1 else b"".join([known[part] for part in some])
+            for some in parts
+        ]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
+        with without_collector():
+            cut, here = self._looked_up(texts)
+        for text, own in zip(texts, cut):
+            if own is None:
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                yield b"".join(map(here.__getitem__, own))
+
+    def _looked_up(self, texts: list[str]) -> tuple[list[list[bytes] | None], dict[bytes, bytes]]:
+        """The pieces of each text (none: it is left to the tokenizer) and the ids of all pieces."""
         # A text with the start of a special token is left to the tokenizer: that is told apart by case.
         cut = [t.encode().lower().replace(b"\n", b" ").split(b" ") if "<|" not in t else None for t in texts]
-        here = dict.fromkeys(set().union(*[c for c in cut if c]))
-        new = []
-        for piece in here:
-            known = self.lately.get(piece)
-            if known is None:
-                known = self.before.get(piece)
-                if known is None:
-                    new.append(piece)
-                    continue
-                self.lately[piece] = known
-            here[piece] = known
-        found = dict(zip(new, self._encoded(new)))
+        pieces = list(set().union(*[c for c in cut if c]))
+        here = dict(zip(pieces, map(self.lately.get, pieces)))
+        unseen = [piece for piece, ids in here.items() if ids is None]
+        found = {piece: ids for piece, ids in zip(unseen, map(self.before.get, unseen)) if ids is not None}
+        new = [piece for piece in unseen if piece not in found]
+        found.update(zip(new, self._encoded(new)))
         here.update(found)
         self.lately.update(found)
         if len(self.lately) > self.REMEMBERED:
             self.before, self.lately = self.lately, {}
-        for text, pieces in zip(texts, cut):
-            if pieces is None:
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            else:
-                yield b"".join(map(here.__getitem__, pieces))
+        return cut, here
 
 
 def write_shards(

@@ -1,3 +1,4 @@
+import gc
 import random
 import zlib
 
@@ -104,3 +105,17 @@ def test_ids_are_the_librarys_for_any_characters():
     for some in (texts[:700], texts[700:], texts):
         want = [whole.encode(t, add_special_tokens=False).ids for t in some]
         assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(some)] == want
+
+
+def test_simple_pieces_are_split_as_the_expression_does():
+    """Every simple character alone, among letters and before them; the collector is on again afterwards."""
+    encoder, rng = wavelet.Encoder(WORDS), random.Random(3)
+    simple = [chr(c) for c in range(0x21, 0x180) if encoder._SIMPLE.fullmatch(chr(c))]
+    pieces = [p for c in simple for p in (c, f"ab{c}", f"{c}ab", f"ab{c}{c}", f"ab{c}é")]
+    pieces += ["".join(rng.choice(simple + list("abc.,'")) for _ in range(rng.randrange(1, 9))) for _ in range(5000)]
+    assert all(encoder._split(p.lower()) == encoder.splits.findall(p.lower()) for p in pieces)
+    words = [p.lower().translate(encoder.bytes_shown) for p in pieces[:4500]]
+    want = [encoder.model.encode([w], is_pretokenized=True, add_special_tokens=False).ids for w in words]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder._ids(words)] == want
+    list(encoder.encode(["some text"]))
+    assert gc.isenabled()
