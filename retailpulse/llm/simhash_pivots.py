@@ -315,7 +315,8 @@ def wide_links(nodes: DataFrame, radius: int = WIDE_RADIUS, part_rows: int = WID
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node", "c0", "c1")
-    ordered = rows.repartition(*by).sortWithinPartitions(*by)
+    # By node, so that all keys of a group of near copies lead to the same few smallest nodes.
+    ordered = rows.repartition(*by).sortWithinPartitions(*by, "node")
     return ordered.mapInArrow(run, "a long, b long")
 
 
