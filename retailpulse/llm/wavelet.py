@@ -190,14 +190,21 @@ def without_collector() -> Iterator[None]:
 class Encoder:
     """Token ids of texts as bytes of unsigned 32-bit numbers.
 
-    The vocabulary's splitting never joins what a blank or line feed separates, and it
-    lower-cases, so texts are cut there, A-Z lower-cased, and the pieces' ids are
-    remembered: those seen lately, in two generations of bounded size.
+    The vocabulary's splitting never joins what a blank or line feed separates, nor
+    letters or digits and punctuation other than an apostrophe, and it lower-cases. So
+    texts are cut there, A-Z lower-cased, and the pieces' ids are remembered: those seen
+    lately, in two generations of bounded size. Cutting, numbering the pieces of many
+    texts and putting their ids together work on whole arrays.
     """
 
     REMEMBERED = 350_000
     #: Characters that normalising only lower-cases and whose classes all Unicode versions agree on.
     _SIMPLE = re.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017f]*")
+    _LOWER = bytes.maketrans(string.ascii_uppercase.encode() + b"\n", string.ascii_lowercase.encode() + b" ")
+    _ALNUM = np.isin(np.arange(256), list((string.ascii_lowercase + string.digits).encode()))
+    _MARKS = np.isin(np.arange(256), list(string.punctuation.replace("'", "").encode()))
+    #: Second bytes of the Latin-1 letters after 0xC3: all but those of the signs for times and divided by.
+    _LATIN = np.isin(np.arange(256), [c for c in range(0x80, 0xC0) if c not in (0x97, 0xB7)])
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -207,7 +214,6 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.lately: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
         # The vocabulary alone, for words that are already split as the tokenizer does.
         self.model = Tokenizer(self.tokenizer.model)
         made = json.loads(self.tokenizer.to_str())
@@ -217,8 +223,12 @@ class Encoder:
         self.splits = regex.compile(made["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         by_byte = self.tokenizer.pre_tokenizer[1]
         simple = [chr(c) for c in range(0x21, 0x180) if self._SIMPLE.fullmatch(chr(c))]
-        self.line_feed = by_byte.pre_tokenize_str("\n")[-1][0][-1]
-        (self.line_feed_id,) = self.model.encode([self.line_feed], is_pretokenized=True, add_special_tokens=False).ids
+        suffix = made["model"]["end_of_word_suffix"]
+        if not suffix:
+            raise ValueError("a vocabulary that marks the ends of words is expected")
+        ends = [token_id for token, token_id in made["model"]["vocab"].items() if token.endswith(suffix)]
+        self.ends_word = np.zeros(max(made["model"]["vocab"].values()) + 1, bool)
+        self.ends_word[ends] = True
         self.bytes_shown = {ord(c): by_byte.pre_tokenize_str(c)[0][0] for c in simple}
 
     def _whole(self, words: list[str]) -> list[bytes]:
@@ -235,18 +245,16 @@ class Encoder:
         return out
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        """Each word by the vocabulary alone; no part of a piece holds a line feed, so its id tells the words of a call apart."""
+        """Each word by the vocabulary alone; its last id is one that ends words, which tells the words of a call apart."""
         out = []
         for start in range(0, len(words), 2000):
             some = words[start:start + 2000]
-            ended = [self.line_feed] * (2 * len(some))
-            ended[::2] = some
-            (found,) = self.model.encode_batch_fast([ended], is_pretokenized=True, add_special_tokens=False)
+            (found,) = self.model.encode_batch_fast([some], is_pretokenized=True, add_special_tokens=False)
             ids = np.array(found.ids, "<u4")
-            data, ends = ids.tobytes(), (np.flatnonzero(ids == self.line_feed_id) * 4).tolist()
+            data, ends = ids.tobytes(), ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
             if len(ends) != len(some):
-                raise ValueError("the vocabulary does not keep line feeds apart")
-            out += [data[a:b] for a, b in zip([0, *[e + 4 for e in ends]], ends)]
+                raise ValueError("the vocabulary does not end every word once")
+            out += [data[a:b] for a, b in zip([0, *ends], ends)]
         return out
 
     def _split(self, word: str) -> list[str]:
@@ -261,42 +269,64 @@ class Encoder:
     def _encoded(self, pieces: list[bytes]) -> list[bytes]:
         """Simple pieces are split here and their parts looked up in the vocabulary, others go through the whole tokenizer."""
         words = [p.decode() for p in pieces]
-        parts = [self._split(w.lower()) if self._SIMPLE.fullmatch(w) is not None else None for w in words]
-        known = self.parts
-        new = list(dict.fromkeys(part for some in parts if some for part in some if part not in known))
-        known.update(zip(new, self._ids([part.translate(self.bytes_shown) for part in new])))
-        if len(known) > self.REMEMBERED:
-            self.parts = {}
+        parts = [
+            [w] if w.isascii() and w.isalpha() else self._split(w.lower()) if self._SIMPLE.fullmatch(w) is not None else None
+            for w in words
+        ]
+        new = list(dict.fromkeys(part for some in parts if some for part in some))
+        shown = [part if part.isascii() else part.translate(self.bytes_shown) for part in new]
+        known = dict(zip(new, self._ids(shown)))
         rest = iter(self._whole([w for w, some in zip(words, parts) if some is None]))
         return [
             next(rest) if some is None else known[some[0]] if len(some) == 1 else b"".join([known[part] for part in some])
             for some in parts
         ]
 
+    def _cut(self, texts: list[str]) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+        """The pieces of all texts, without the blanks between them, and how many there are up to each text's end."""
+        data = [t.encode() for t in texts]
+        whole = b" ".join([*data, b""]).translate(self._LOWER)
+        chars = np.frombuffer(whole, np.uint8)
+        blank, marks, joins = chars == 0x20, self._MARKS[chars], self._ALNUM[chars]
+        ends = blank.copy()
+        ends[1:] |= marks[:-1] & joins[1:]
+        joins[1:] |= self._LATIN[chars[1:]] & (chars[:-1] == 0xC3)
+        ends[1:] |= joins[:-1] & marks[1:]
+        at = np.flatnonzero(ends)
+        blanks = blank[at].cumsum() - blank[at]
+        offsets = pa.py_buffer(np.concatenate([[0], at - blanks]))
+        letters = pa.py_buffer(whole.translate(None, b" "))
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, offsets, letters])
+        lasts = np.cumsum([len(d) + 1 for d in data], dtype=np.int64) - 1
+        return pieces, np.searchsorted(at, lasts, side="right")
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
+        # A text with the start of a special token is left to the tokenizer: that is told apart by case.
+        special = ["<|" in t for t in texts]
+        pieces, counts = self._cut(["" if s else t for t, s in zip(texts, special)])
+        numbered = pieces.dictionary_encode()
         with without_collector():
-            cut, here = self._looked_up(texts)
-        for text, own in zip(texts, cut):
-            if own is None:
+            known = self._looked_up(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = pa.array(known, pa.large_binary()).take(numbered.indices)
+        bounds = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)
+        ends, data = bounds[counts].tolist(), memoryview(ids.buffers()[2] or b"")
+        for text, left, start, end in zip(texts, special, [0, *ends], ends):
+            if left:
                 yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
             else:
-                yield b"".join(map(here.__getitem__, own))
-
-    def _looked_up(self, texts: list[str]) -> tuple[list[list[bytes] | None], dict[bytes, bytes]]:
-        """The pieces of each text (none: it is left to the tokenizer) and the ids of all pieces."""
-        # A text with the start of a special token is left to the tokenizer: that is told apart by case.
-        cut = [t.encode().lower().replace(b"\n", b" ").split(b" ") if "<|" not in t else None for t in texts]
-        pieces = list(set().union(*[c for c in cut if c]))
-        here = dict(zip(pieces, map(self.lately.get, pieces)))
-        unseen = [piece for piece, ids in here.items() if ids is None]
-        found = {piece: ids for piece, ids in zip(unseen, map(self.before.get, unseen)) if ids is not None}
-        new = [piece for piece in unseen if piece not in found]
-        found.update(zip(new, self._encoded(new)))
-        here.update(found)
-        self.lately.update(found)
+                yield bytes(data[start:end])
+
+    def _looked_up(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of different pieces, which are remembered."""
+        known = list(map(self.lately.get, pieces))
+        unseen = [k for k, ids in enumerate(known) if ids is None]
+        before = [self.before.get(pieces[k]) for k in unseen]
+        new = iter(self._encoded([pieces[k] for k, ids in zip(unseen, before) if ids is None]))
+        for k, ids in zip(unseen, before):
+            self.lately[pieces[k]] = known[k] = next(new) if ids is None else ids
         if len(self.lately) > self.REMEMBERED:
             self.before, self.lately = self.lately, {}
-        return cut, here
+        return known
 
 
 def write_shards(

@@ -119,3 +119,26 @@ def test_simple_pieces_are_split_as_the_expression_does():
     assert [np.frombuffer(b, "<u4").tolist() for b in encoder._ids(words)] == want
     list(encoder.encode(["some text"]))
     assert gc.isenabled()
+
+
+def test_words_are_looked_up_once_whatever_marks_stand_around_them():
+    """Cutting at marks before the look-up: fewer pieces than words with their marks, and the library's ids."""
+    encoder, seen = wavelet.Encoder(WORDS), []
+    inner = encoder._encoded
+    encoder._encoded = lambda pieces: seen.extend(pieces) or inner(pieces)
+    texts = ["River, (river) river.\nRIVER; été! «été», été", "river:bank/river don't, <river", "", "river <|endoftext|>", "a.'s b×, 5÷, ß"]
+    want = [Tokenizer.from_file(WORDS).encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == want
+    assert [p for p in seen if b"river" in p] == [b"river"]
+    assert len(seen) == len(set(seen)) and b"don't" in seen
+    assert list(encoder.encode(texts)) == list(encoder.encode(texts)) and list(encoder.encode([])) == []
+
+
+def test_marks_and_letters_of_all_kinds_side_by_side():
+    whole, rng, encoder = Tokenizer.from_file(WORDS), random.Random(11), wavelet.Encoder(WORDS)
+    encoder.REMEMBERED = 500
+    letters = "abé's ,.!×÷İßÀ5²<>≠̸́̇Å'\"tRlLmMdDvVeE\n|_ªº\x00\x85　東"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(25))) for _ in range(4000)]
+    for some in (texts[:2000], texts[2000:], texts):
+        want = [whole.encode(t, add_special_tokens=False).ids for t in some]
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(some)] == want
